@@ -4,6 +4,8 @@ inside whole-stage code generation; none depends on the session's ANSI flag or t
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,7 +18,8 @@ LISTED_TRUE = ("true", "1", "yes", "vrai", "oui")
 LISTED_FALSE = ("false", "0", "no", "faux", "non")
 MILLISECONDS_ABOVE = 100000000000
 
-# First instants (0001-01-01) and last (9999-12-31 23:59:59) Spark can print, in seconds.
+_EPOCH = "1970-01-01 00:00:00"
+# 0001-01-01 and 9999-12-31 23:59:59, the ends of what Spark can print, in seconds.
 _MIN_SECOND, _MAX_SECOND = -62135596800, 253402300799
 _NUMBER = "decimal(38,0)"
 
@@ -25,10 +28,6 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _epoch() -> Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
-
 def clean_text(c: Column | str) -> Column:
     """Strip outer spaces (only spaces); blank becomes NULL."""
     return F.nullif(F.trim(_col(c)), F.lit(""))
@@ -59,44 +58,58 @@ def safe_id(c: Column | str) -> Column:
     return safe_number(c).try_cast("bigint")
 
 
+def _fail_on(problem: str, c: Column) -> Column:
+    """NULL for NULL; any value stops the job with a message that shows it."""
+    return F.when(
+        c.isNotNull(), F.raise_error(F.concat(F.lit(f"{problem}: "), c.cast("string")))
+    )
+
+
 def strict_id(c: Column | str, on_bad: str = "fail") -> Column:
     """Text to BIGINT where bad text stops the job (``"fail"``) or becomes NULL (``"null"``)."""
-    text = _col(c)
-    number = safe_id(text)
+    number = safe_id(c)
     if on_bad == "null":
         return number
     if on_bad != "fail":
         raise ValueError(f"on_bad must be 'fail' or 'null', not {on_bad!r}")
-    complaint = F.raise_error(F.concat(F.lit("not an id: "), text.cast("string"))).cast("bigint")
-    return F.when(text.isNull() | number.isNotNull(), number).otherwise(complaint)
+    return F.coalesce(number, _fail_on("not an id", _col(c)).cast("bigint"))
+
+
+def word_map(meanings: Mapping[str, object]) -> Column:
+    """A constant map Column; one literal instead of one comparison per word."""
+    return F.expr(f"map({', '.join(f'{_sql(w)}, {_sql(m)}' for w, m in meanings.items())})")
+
+
+def _sql(value: object) -> str:
+    if isinstance(value, bool):
+        return str(value).lower()
+    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _meaning(true: Sequence[str], false: Sequence[str], word: Column) -> Column:
+    return F.try_element_at(
+        word_map({**dict.fromkeys(true, True), **dict.fromkeys(false, False)}), word
+    )
 
 
 def safe_boolean(c: Column | str) -> Column:
     """Boolean words only, any case, untrimmed; anything else NULL."""
-    word = F.lower(_col(c))
-    return (
-        F.when(word.isin(*BOOLEAN_TRUE), F.lit(True))
-        .when(word.isin(*BOOLEAN_FALSE), F.lit(False))
-    )
+    return _meaning(BOOLEAN_TRUE, BOOLEAN_FALSE, F.lower(_col(c)))
 
 
 def robust_boolean(c: Column | str) -> Column:
     """Boolean words, French words, or a number that rounds to 1 or 0; anything else NULL."""
     word = F.lower(_col(c).cast("string"))
     number = safe_number(c)
-    return (
-        F.when(word.isin(*BOOLEAN_TRUE, *FRENCH_TRUE) | (number == 1), F.lit(True))
-        .when(word.isin(*BOOLEAN_FALSE, *FRENCH_FALSE) | (number == 0), F.lit(False))
+    return F.coalesce(
+        _meaning(BOOLEAN_TRUE + FRENCH_TRUE, BOOLEAN_FALSE + FRENCH_FALSE, word),
+        F.when(number.isin(0, 1), number == 1),
     )
 
 
 def list_boolean(c: Column | str) -> Column:
     """Trimmed word list only, without the number rule; anything else NULL."""
-    word = F.lower(F.trim(_col(c)))
-    return (
-        F.when(word.isin(*LISTED_TRUE), F.lit(True))
-        .when(word.isin(*LISTED_FALSE), F.lit(False))
-    )
+    return _meaning(LISTED_TRUE, LISTED_FALSE, F.lower(F.trim(_col(c))))
 
 
 def epoch_to_ts(c: Column | str, on_bad: str = "fail") -> Column:
@@ -106,15 +119,15 @@ def epoch_to_ts(c: Column | str, on_bad: str = "fail") -> Column:
     with ``on_bad="null"``.
     """
     number = safe_number(c)
-    if on_bad == "null":
-        n = number.try_cast("bigint")
-        second = F.when(n > MILLISECONDS_ABOVE, n / 1000).otherwise(n)
-        n = F.when(second.between(_MIN_SECOND, _MAX_SECOND), n)
-    else:
-        n = number.cast("bigint")
-    return F.when(n > MILLISECONDS_ABOVE, F.timestamp_add("MILLISECOND", n, _epoch())).otherwise(
-        F.timestamp_add("SECOND", n, _epoch())
+    holds = F.when(number.between(_MIN_SECOND, _MAX_SECOND * 1000), number)
+    number = (
+        holds
+        if on_bad == "null"
+        else F.coalesce(holds, _fail_on("not an epoch", number).cast(_NUMBER))
     )
+    n = number.cast("bigint")
+    millis = F.when(n > MILLISECONDS_ABOVE, n).otherwise(n * 1000)
+    return F.timestamp_add("MILLISECOND", millis, F.lit(_EPOCH).cast("timestamp_ntz"))
 
 
 def recency(c: Column | str) -> Column:

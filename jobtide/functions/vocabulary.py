@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.functions.parsing import clean_text
+from jobtide.functions.parsing import clean_text, word_map
 
 Vocabulary = Mapping[str, Sequence[str]]
 
@@ -197,15 +196,15 @@ INDUSTRIES: Mapping[int, str] = {
 
 
 def normalize(c: Column | str, vocabulary: Vocabulary) -> Column:
-    """Class a spelling belongs to, compared trimmed and case-blind; unknown text only trimmed."""
+    """Class a spelling belongs to, compared trimmed and case-blind; unknown text only trimmed.
+
+    A lookup in a constant map: the text is folded once, whatever the vocabulary's size.
+    """
     text = F.col(c) if isinstance(c, str) else c
-    word = F.lower(F.trim(text))
-    branches = reduce(
-        lambda chain, entry: chain.when(word.isin(*entry[1]), F.lit(entry[0])),
-        vocabulary.items(),
-        F,
+    classes = {word: label for label, words in vocabulary.items() for word in words}
+    return F.coalesce(
+        F.try_element_at(word_map(classes), F.lower(F.trim(text))), clean_text(text)
     )
-    return branches.otherwise(clean_text(text))
 
 
 def industry_dimension(spark: SparkSession) -> DataFrame:

@@ -6,6 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def having(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows that have all ``columns``.
+
+    Plain null tests, which Spark pushes into the Parquet scan and through joins (an outer join
+    whose other side is required becomes an inner one); ``dropna`` is pushed nowhere.
+    """
+    for column in columns:
+        df = df.where(F.col(column).isNotNull())
+    return df
+
+
 def coverage(df: DataFrame, column: str) -> DataFrame:
     """One row: how many rows there are, and how many have ``column``."""
     return df.agg(
@@ -15,7 +26,7 @@ def coverage(df: DataFrame, column: str) -> DataFrame:
 
 def counts_by(df: DataFrame, keys: list[str], name: str = "nb_job_postings") -> DataFrame:
     """Rows per key, over the rows that have all ``keys``."""
-    return df.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias(name))
+    return having(df, *keys).groupBy(*keys).agg(F.count("*").alias(name))
 
 
 def distinct_counts_by(
@@ -26,7 +37,7 @@ def distinct_counts_by(
     Spark spreads this over (key, counted) first, so one dominant key is no single task.
     """
     return (
-        df.where(F.col(key).isNotNull())
+        having(df, key)
         .groupBy(key)
         .agg(F.countDistinct(counted).alias(name))
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from jobtide import schemas
 from jobtide.functions.parsing import safe_id
+from jobtide.operators.aggregates import having
 from jobtide.operators.joins import heavy_keys, salted_left_join
 
 _PROFILE = (
@@ -27,17 +28,17 @@ ANALYTICS = (
 
 def job_postings(silver: DataFrame) -> DataFrame:
     """Postings that have an id."""
-    return silver.select(*schemas.JOB_POSTINGS).where(F.col("job_id").isNotNull())
+    return having(silver.select(*schemas.JOB_POSTINGS), "job_id")
 
 
 def job_industries(silver: DataFrame) -> DataFrame:
     """Complete (job, industry) pairs."""
-    return silver.select("job_id", "industry_id").dropna(subset=["job_id", "industry_id"])
+    return having(silver.select("job_id", "industry_id"), "job_id", "industry_id")
 
 
 def job_skills(silver: DataFrame) -> DataFrame:
     """Complete (job, skill) pairs."""
-    return silver.select("job_id", "skill_abr").dropna(subset=["job_id", "skill_abr"])
+    return having(silver.select("job_id", "skill_abr"), "job_id", "skill_abr")
 
 
 def company_profile(companies: DataFrame, employee_counts: DataFrame) -> DataFrame:
@@ -50,10 +51,10 @@ def company_profile(companies: DataFrame, employee_counts: DataFrame) -> DataFra
         F.col("company_id").try_cast("bigint").alias("company_id"),
         "employee_count",
         "follower_count",
-    ).where(F.col("company_id").isNotNull())
+    )
     return (
-        companies.where(F.col("company_id").isNotNull())
-        .join(counts, "company_id", "left")
+        having(companies, "company_id")
+        .join(having(counts, "company_id"), "company_id", "left")
         .select(*_PROFILE)
     )
 

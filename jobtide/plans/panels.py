@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from jobtide.functions import display
 from jobtide.functions.vocabulary import UNKNOWN_INDUSTRY, has_industry_name, industry_dimension
+from jobtide.operators.aggregates import having
 from jobtide.operators.joins import lookup_label
 from jobtide.operators.ranking import top_n
 from jobtide.operators.shares import number_rows, repeat_rows, share_of_total
@@ -34,12 +35,12 @@ def industry_names(report: DataFrame) -> DataFrame:
 
 def title_choices(analytics: DataFrame) -> DataFrame:
     """Choices of the titles panel: labels of industries with a titled posting."""
-    return industry_names(analytics.dropna(subset=["industry_id", "title"]))
+    return industry_names(having(analytics, "industry_id", "title"))
 
 
 def salary_choices(analytics: DataFrame) -> DataFrame:
     """Choices of the salary panel: labels of industries with a paid posting."""
-    return industry_names(analytics.dropna(subset=["industry_id", "max_salary"]))
+    return industry_names(having(analytics, "industry_id", "max_salary"))
 
 
 def titles_panel(analytics: DataFrame, industry_name: str) -> DataFrame:

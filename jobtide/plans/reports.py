@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtide.operators.aggregates import counts_by, coverage, distinct_counts_by, rounded_mean
+from jobtide.operators.aggregates import (
+    counts_by,
+    coverage,
+    distinct_counts_by,
+    having,
+    rounded_mean,
+)
 from jobtide.operators.ranking import top_n, top_n_per_group
 
 # Report lengths.
@@ -34,7 +40,7 @@ def top_titles(analytics: DataFrame, measure: str = "nb_job_postings") -> DataFr
 def top_paid_titles(analytics: DataFrame, measure: str = "avg_max_salary") -> DataFrame:
     """The best paid titles of each industry, unsorted; postings without title form a group."""
     paid = (
-        analytics.dropna(subset=["industry_id", "max_salary"])
+        having(analytics, "industry_id", "max_salary")
         .groupBy("industry_id", "title")
         .agg(rounded_mean(F.col("max_salary")).alias(measure))
     )

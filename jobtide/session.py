@@ -2,24 +2,27 @@
 
 from __future__ import annotations
 
-import os
+from collections.abc import Mapping
 
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | str = 8, memory: str = "12g") -> SparkSession:
-    """Local Spark with as many shuffle partitions as cores; AQE stays on."""
-    os.environ.setdefault("PYSPARK_SUBMIT_ARGS", f"--driver-memory {memory} pyspark-shell")
-    spark = (
+def local_session(
+    cpus: int | str = 8, memory: str = "12g", config: Mapping[str, str] | None = None
+) -> SparkSession:
+    """Local Spark with as many shuffle partitions as cores; adaptive execution stays on."""
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("jobtide")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
-        .config("spark.sql.shuffle.partitions", str(cpus) if cpus != "*" else "8")
+        .config("spark.sql.shuffle.partitions", "8" if cpus == "*" else str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
     )
+    for name, value in (config or {}).items():
+        builder = builder.config(name, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

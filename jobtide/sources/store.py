@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _INPUTS = (
     "job_postings", "benefits", "employee_counts", "job_skills",
@@ -90,9 +92,9 @@ class TableStore:
         return self.spark.table(name) if self.root is None else self.spark.read.parquet(name)
 
     def use(self, layer: str) -> None:
-        """Make ``layer`` current, so that its tables can be named without a prefix in SQL.
+        """Make ``layer`` current, so that SQL text can name its tables without a prefix.
 
-        Folder tables become temporary views on the tables found below the layer's folder.
+        Folder tables become temporary views.
         """
         if self.root is None:
             self.spark.catalog.setCurrentDatabase(f"{self.namespace}_{layer}")
@@ -101,5 +103,21 @@ class TableStore:
             self.read(layer, table).createOrReplaceTempView(table)
 
     def preview(self, layer: str, table: str, n: int = 20) -> DataFrame:
-        """A look at the content: the first ``n`` rows found."""
+        """A look at the content: ``n`` rows, whichever are found first."""
         return self.read(layer, table).limit(n)
+
+    def row_counts(self, layer: str) -> DataFrame:
+        """Rows of every table of a layer, counted in one job."""
+        counts = [
+            self.read(layer, table).agg(F.lit(table).alias("table"), F.count("*").alias("rows"))
+            for table in TABLES[layer]
+        ]
+        return reduce(DataFrame.unionByName, counts)
+
+
+def fetch(df: DataFrame, max_rows: int = 10_000):
+    """A finished report as a pandas frame; refuses results larger than ``max_rows``."""
+    rows = df.limit(max_rows + 1).toPandas()
+    if len(rows) > max_rows:
+        raise ValueError(f"more than {max_rows} rows: write the result to a table instead")
+    return rows

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobtide.schemas import CSV_TABLES, text_schema
+from jobtide.schemas import CSV_TABLES, JSON_TABLES, text_schema
 from jobtide.sources.readers import csv_options
+from jobtide.sources.store import TableStore
 
 
 def stream_csv(
@@ -32,17 +33,44 @@ def stream_json_documents(
     return reader.json(folder)
 
 
-def append_new_files(stream: DataFrame, target: str, checkpoint: str) -> None:
-    """Load everything that arrived since the last call into the Parquet folder ``target``.
+def append_new_files(
+    stream: DataFrame, target: str, checkpoint: str, managed: bool = False
+) -> None:
+    """Load everything that arrived since the last call into ``target`` and return.
 
-    ``checkpoint`` remembers the loaded files and the sink commits each batch as a whole, so a
-    rerun, also after a failure, neither repeats nor loses rows. Keep both on shared storage.
+    ``target`` is a Parquet folder, or a table name with ``managed``. ``checkpoint`` remembers
+    the loaded files and the sink commits each batch as a whole, so a rerun, also after a
+    failure, neither repeats nor loses rows. Keep both on shared storage, and do not write the
+    target by other means.
     """
-    (
+    writer = (
         stream.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
-        .start(target)
-        .awaitTermination()
     )
+    query = writer.toTable(target) if managed else writer.start(target)
+    query.awaitTermination()
+
+
+def load_new_files(
+    store: TableStore,
+    base: str,
+    checkpoints: str,
+    max_files_per_trigger: int | None = None,
+    **csv,
+) -> None:
+    """Bring all eight bronze tables up to date from the folders ``<base>/<table>/``.
+
+    The rerun-safe counterpart of a full bronze load: files loaded by an earlier call are
+    skipped, new ones are appended.
+    """
+    for table in (*CSV_TABLES, *JSON_TABLES):
+        folder = f"{base}/{table}"
+        if table in CSV_TABLES:
+            stream = stream_csv(store.spark, folder, table, max_files_per_trigger, **csv)
+        else:
+            stream = stream_json_documents(store.spark, folder, max_files_per_trigger)
+        append_new_files(
+            stream, store.name("bronze", table), f"{checkpoints}/{table}", store.root is None
+        )
