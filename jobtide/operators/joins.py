@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 ROWS_PER_SALT = 1_000_000
 MAX_HEAVY_KEYS = 1_000
+MAX_SALTS = 10_000
 _KEY, _SALT, _SALTS = "__key", "__salt", "__salts"
 
 
@@ -20,8 +21,10 @@ def heavy_keys(
 
     At most ``limit`` rows, the largest first: small enough to broadcast whatever the input
     size, and still holding every key that owns more than 1/``limit`` of the table. Only the key
-    column is read, and it is counted before it is shuffled.
+    column is read, and it is counted before it is shuffled. The order is total, so every
+    reading of the result gives the same rows.
     """
+    salts = F.least(F.ceil(F.col("__n") / rows_per_salt), F.lit(MAX_SALTS))
     return (
         df.select(key.alias(_KEY))
         .where(F.col(_KEY).isNotNull())
@@ -30,7 +33,7 @@ def heavy_keys(
         .where(F.col("__n") > rows_per_salt)
         .orderBy(F.desc("__n"), _KEY)
         .limit(limit)
-        .select(_KEY, F.ceil(F.col("__n") / rows_per_salt).cast("int").alias(_SALTS))
+        .select(_KEY, salts.cast("int").alias(_SALTS))
     )
 
 
@@ -46,9 +49,12 @@ def salted_left_join(
 
     Left rows of a heavy key are dealt over its salts by a hash of ``spread_by`` (stable, so a
     recomputed task deals them the same way); the matching right rows, and only those, are
-    repeated once per salt. NULL keys match nothing and are dealt over all partitions. The
-    result is the plain join's whatever ``heavy`` holds: it only steers where rows go.
-    ``right_key`` is dropped from the result.
+    repeated once per salt. NULL keys match nothing and are dealt over all partitions.
+
+    ``heavy`` comes from ``heavy_keys`` over ``left`` or any relation with the same keys. It only
+    steers where rows go: keys missing from it, or listed though they are light, change nothing
+    in the result. Keys just below the limit are left to adaptive execution, which splits
+    oversized partitions of the left side. ``right_key`` is dropped from the result.
     """
     heavy = F.broadcast(heavy)  # bounded by heavy_keys(limit=...)
     spread = F.xxhash64(*spread_by)

@@ -63,9 +63,10 @@ def job_postings(
     tie_break: TieBreak = None,
     undated: str = "first",
     on_bad_id: str = "fail",
+    key: Sequence[str | Column] = ("job_id",),
 ) -> DataFrame:
     """One clean row per job. Rows are dropped first, so that only kept ones are cleaned."""
-    kept = latest_postings(bronze, tie_break, undated)
+    kept = latest_postings(bronze, tie_break, undated, key)
     return kept.select(
         *[clean_posting_column(c, on_bad_id).alias(c) for c in schemas.JOB_POSTINGS]
     )

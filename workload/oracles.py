@@ -438,11 +438,6 @@ FINAL = {
                     WHEN contains(formatted_work_type, 'Volunteer') THEN '#ec4899'
                     ELSE '#64748b' END AS colour
         FROM contract_counts""",
-    "contract_share": f"""
-        SELECT *, {BLOCKS} AS percent FROM (
-            SELECT formatted_work_type, n AS nb_job_postings,
-                   CAST(n AS DOUBLE) / CAST(sum(n) OVER () AS DOUBLE) AS pct
-            FROM contract_counts)""",
     "csv_bronze_roundtrip": f"SELECT {ALL_POSTING} FROM b_postings",
     "json_bronze_roundtrip": "SELECT * FROM s_companies",
     "json_lines_bronze": "SELECT * FROM s_industries",

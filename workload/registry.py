@@ -14,12 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobtide import schemas
-from jobtide.functions import display
 from jobtide.functions import parsing as p
 from jobtide.functions import vocabulary as v
 from jobtide.operators.flatten import explode_elements, variant_field
 from jobtide.operators.joins import heavy_keys
-from jobtide.operators.shares import share_of_total
 from jobtide.plans import gold, panels, reports, silver
 from jobtide.sources import readers
 from jobtide.sources.store import scratch_path
@@ -421,13 +419,6 @@ def contract_kpis(spark, sf_dir):
     return panels.contract_kpis(_analytics(spark, sf_dir))
 
 
-@query
-def contract_share(spark, sf_dir):
-    """Share of each contract type in all postings, with whole percent."""
-    shares = share_of_total(reports.postings_by_contract(_analytics(spark, sf_dir)), "nb_job_postings")
-    return shares.withColumn("percent", display.whole_percent(F.col("pct")))
-
-
 # --- sources and sinks -----------------------------------------------------------------------
 
 

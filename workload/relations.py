@@ -7,9 +7,13 @@ and serve as tie-break where duplicates are removed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+POSTING_ARRIVAL = tuple(f"arrival_{i}" for i in range(1, 7))
+BENEFIT_ARRIVAL = ("arrival_1", "arrival_2")
+COUNT_ARRIVAL = ("arrival_1",)
+
 # Spellings the stand-ins cycle through.
 PAY_PERIODS = ("Per Year", " par mois ", "horaire", "PER WEEK", "journalier", "", "YEARLY")
 WORK_TYPES = (
@@ -21,188 +25,149 @@ LEVELS = (
 FLAGS = ("1.0", "0", "Yes", "FAUX", "on", "", "maybe", "Oui", "f")
 INFERRED = ("1", "vrai", "NO", "1.0", "", " oui ", "faux")
 
-POSTING_ARRIVAL = tuple(f"arrival_{i}" for i in range(1, 7))
-BENEFIT_ARRIVAL = ("arrival_1", "arrival_2")
-COUNT_ARRIVAL = ("arrival_1",)
-
-_LINE_ARRIVAL = (
-    "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_linestatus",
-)
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _line() -> Column:
-    return F.col("l_linenumber")
-
-
-def _missing() -> Column:
-    return F.lit(None).cast("string")
-
-
-def _pick(values: tuple[str, ...], index: Column) -> Column:
-    return F.get(F.array(*[F.lit(v) for v in values]), index.cast("int"))
-
-
-def _text(c: Column | str) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("string")
-
-
-def _money(c: Column) -> Column:
-    return c.cast("decimal(12,2)").cast("string")
-
-
-def _millis(c: str) -> Column:
-    return F.timestamp_diff("MILLISECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(c))
-
-
-def _seconds(c: str) -> Column:
-    return F.floor(_millis(c) / 1000)
-
-
-def _with_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _lines_with_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     part = table(spark, sf_dir, "part")
     return lines.join(part, lines.l_partkey == part.p_partkey)
 
 
-def company_reference() -> Column:
-    """The company id as postings write it, from ``lineitem`` alone."""
-    return (
-        F.when(_line() == 7, F.concat(F.lit("Supplier "), _text("l_suppkey")))
-        .otherwise(F.concat(_text("l_suppkey"), F.lit(".0")))
-    )
+def _pick(values: tuple[str, ...], index: str) -> str:
+    words = ", ".join(f"'{v}'" for v in values)
+    return f"get(array({words}), CAST({index} AS INT))"
+
+
+def _millis(c: str) -> str:
+    return f"timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {c})"
+
+
+def _money(c: str) -> str:
+    return f"CAST(CAST({c} AS DECIMAL(12,2)) AS STRING)"
+
+
+MISSING = "CAST(NULL AS STRING)"
+COMPANY_REFERENCE = "IF(l_linenumber = 7, concat('Supplier ', l_suppkey), concat(l_suppkey, '.0'))"
+POSTING = {
+    "job_id": "CAST(l_orderkey AS STRING)",
+    "company_name": COMPANY_REFERENCE,
+    "title": "IF(l_linenumber = 6, '  ', concat(' ', p_name, ' '))",
+    "description": "p_type",
+    "max_salary": f"""CASE l_linenumber WHEN 5 THEN 'n/a' WHEN 4 THEN ''
+                      ELSE {_money('l_extendedprice')} END""",
+    "med_salary": MISSING,
+    "min_salary": "concat(CAST(floor(l_extendedprice / 2) AS BIGINT), '.75')",
+    "pay_period": _pick(PAY_PERIODS, "l_partkey % 7"),
+    "formatted_work_type": _pick(WORK_TYPES, "l_partkey % 8"),
+    "location": "concat(' ', p_brand)",
+    "applies": "CAST(l_linenumber AS STRING)",
+    "original_listed_time": f"CAST({_millis('l_shipdate')} AS STRING)",
+    "remote_allowed": _pick(FLAGS, "l_suppkey % 9"),
+    "views": "IF(l_linenumber = 2, 'abc', CAST(l_partkey AS STRING))",
+    "job_posting_url": MISSING,
+    "application_url": MISSING,
+    "application_type": MISSING,
+    "expiry": f"CAST({_millis('l_shipdate')} + 30 * 86400000L AS STRING)",
+    "closed_time": MISSING,
+    "formatted_experience_level": _pick(LEVELS, "l_suppkey % 8"),
+    "skills_desc": MISSING,
+    "listed_time": f"""CASE WHEN l_linenumber = 3 AND l_partkey % 5 = 0 THEN NULL
+                       WHEN l_linestatus = 'F' THEN CAST({_millis('l_shipdate')} AS STRING)
+                       ELSE CAST({_millis('l_shipdate')} DIV 1000 AS STRING) END""",
+    "posting_domain": MISSING,
+    "sponsored": _pick(FLAGS, "l_partkey % 9"),
+    "work_type": _pick(WORK_TYPES, "l_partkey % 8"),
+    "currency": "'USD'",
+    "compensation_type": "'BASE'",
+    "arrival_1": "l_linenumber",
+    "arrival_2": "l_partkey",
+    "arrival_3": "l_suppkey",
+    "arrival_4": "l_shipdate",
+    "arrival_5": "l_extendedprice",
+    "arrival_6": "l_linestatus",
+}
 
 
 def job_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part_key, supplier_key = F.col("l_partkey"), F.col("l_suppkey")
-    work_type = _pick(WORK_TYPES, part_key % 8)
-    listed = (
-        F.when((_line() == 3) & (part_key % 5 == 0), _missing())
-        .when(F.col("l_linestatus") == "F", _text(_millis("l_shipdate")))
-        .otherwise(_text(_seconds("l_shipdate")))
-    )
-    columns = {
-        "job_id": _text("l_orderkey"),
-        "company_name": company_reference(),
-        "title": F.when(_line() == 6, F.lit("  ")).otherwise(
-            F.concat(F.lit(" "), F.col("p_name"), F.lit(" "))
-        ),
-        "description": F.col("p_type"),
-        "max_salary": F.when(_line() == 5, F.lit("n/a"))
-        .when(_line() == 4, F.lit(""))
-        .otherwise(_money(F.col("l_extendedprice"))),
-        "med_salary": _missing(),
-        "min_salary": F.concat(_text(F.floor(F.col("l_extendedprice") / 2)), F.lit(".75")),
-        "pay_period": _pick(PAY_PERIODS, part_key % 7),
-        "formatted_work_type": work_type,
-        "location": F.concat(F.lit(" "), F.col("p_brand")),
-        "applies": _text("l_linenumber"),
-        "original_listed_time": _text(_millis("l_shipdate")),
-        "remote_allowed": _pick(FLAGS, supplier_key % 9),
-        "views": F.when(_line() == 2, F.lit("abc")).otherwise(_text("l_partkey")),
-        "job_posting_url": _missing(),
-        "application_url": _missing(),
-        "application_type": _missing(),
-        "expiry": _text(_millis("l_shipdate") + F.lit(30 * 86_400_000)),
-        "closed_time": _missing(),
-        "formatted_experience_level": _pick(LEVELS, supplier_key % 8),
-        "skills_desc": _missing(),
-        "listed_time": listed,
-        "posting_domain": _missing(),
-        "sponsored": _pick(FLAGS, part_key % 9),
-        "work_type": work_type,
-        "currency": F.lit("USD"),
-        "compensation_type": F.lit("BASE"),
-    }
-    arrival = [F.col(c).alias(a) for c, a in zip(_LINE_ARRIVAL, POSTING_ARRIVAL)]
-    return _with_part(spark, sf_dir).select(
-        *[value.alias(name) for name, value in columns.items()], *arrival
+    return _lines_with_part(spark, sf_dir).selectExpr(
+        *[f"{value} AS {name}" for name, value in POSTING.items()]
     )
 
 
 def posting_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only the company column of ``job_postings``: a narrow scan, without the join."""
-    return table(spark, sf_dir, "lineitem").select(company_reference().alias("company_name"))
+    return table(spark, sf_dir, "lineitem").selectExpr(f"{COMPANY_REFERENCE} AS company_name")
 
 
 def benefits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kind = F.concat(F.lit(" "), F.col("p_type"))
-    return _with_part(spark, sf_dir).select(
-        _text("l_orderkey").alias("job_id"),
-        _pick(INFERRED, _line() - 1).alias("inferred"),
-        F.when(_line() % 2 == 1, F.upper(kind)).otherwise(F.lower(kind)).alias("type"),
-        _line().alias("arrival_1"),
-        F.col("l_partkey").alias("arrival_2"),
+    return _lines_with_part(spark, sf_dir).selectExpr(
+        "CAST(l_orderkey AS STRING) AS job_id",
+        f"{_pick(INFERRED, 'l_linenumber - 1')} AS inferred",
+        "IF(l_linenumber % 2 = 1, upper(concat(' ', p_type)), lower(concat(' ', p_type))) AS type",
+        "l_linenumber AS arrival_1",
+        "l_partkey AS arrival_2",
     )
 
 
 def employee_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recorded = (
-        F.when(F.col("event_id") % 11 == 0, _missing())
-        .when(F.col("event_id") % 2 == 0, _text(_millis("ts")))
-        .otherwise(_text(_seconds("ts")))
-    )
-    return table(spark, sf_dir, "events").select(
-        _text(F.col("user_id") + 5).alias("company_id"),
-        _money(F.col("value")).alias("employee_count"),
-        F.regexp_extract("props", "[0-9]+", 0).alias("follower_count"),
-        recorded.alias("time_recorded"),
-        F.col("event_id").alias("arrival_1"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "CAST(user_id + 5 AS STRING) AS company_id",
+        f"{_money('value')} AS employee_count",
+        "regexp_extract(props, '[0-9]+', 0) AS follower_count",
+        f"""CASE WHEN event_id % 11 = 0 THEN NULL
+                 WHEN event_id % 2 = 0 THEN CAST({_millis('ts')} AS STRING)
+                 ELSE CAST({_millis('ts')} DIV 1000 AS STRING) END AS time_recorded""",
+        "event_id AS arrival_1",
     )
 
 
 def job_skills(spark: SparkSession, sf_dir: str) -> DataFrame:
-    brand = F.col("p_brand")
-    return _with_part(spark, sf_dir).select(
-        _text("l_orderkey").alias("job_id"),
-        F.when(_line() == 7, F.lit(" "))
-        .when(_line() % 2 == 0, F.concat(F.lower(brand), F.lit(" ")))
-        .otherwise(brand)
-        .alias("skill_abr"),
+    return _lines_with_part(spark, sf_dir).selectExpr(
+        "CAST(l_orderkey AS STRING) AS job_id",
+        """CASE WHEN l_linenumber = 7 THEN ' '
+                WHEN l_linenumber % 2 = 0 THEN concat(lower(p_brand), ' ')
+                ELSE p_brand END AS skill_abr""",
     )
 
 
 def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier, nation = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
     unknown = ("description", "state", "city", "zip_code", "address", "url")
-    return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).select(
-        F.col("s_suppkey").alias("company_id"),
-        F.concat(F.lit(" "), F.col("s_name"), F.lit(" ")).alias("name"),
-        (F.col("s_nationkey") % 7 + 1).alias("company_size"),
-        F.col("n_name").alias("country"),
-        *[_missing().alias(c) for c in unknown],
+    return supplier.join(nation, supplier.s_nationkey == nation.n_nationkey).selectExpr(
+        "s_suppkey AS company_id",
+        "concat(' ', s_name, ' ') AS name",
+        "s_nationkey % 7 + 1 AS company_size",
+        "n_name AS country",
+        *[f"{MISSING} AS {c}" for c in unknown],
     )
 
 
 def job_industries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("job_id"), (F.col("l_partkey") % 155).alias("industry_id")
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS job_id", "l_partkey % 155 AS industry_id"
     )
 
 
 def job_industries_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same pairs with the code unknown on open lines, so that some postings have none."""
-    return table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("job_id"),
-        F.when(F.col("l_linestatus") != "O", F.col("l_partkey") % 155).alias("industry_id"),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey AS job_id", "IF(l_linestatus <> 'O', l_partkey % 155, NULL) AS industry_id"
     )
 
 
 def company_industries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shouted = F.concat(F.lit(" "), F.upper("p_type"), F.lit(" "))
-    return _with_part(spark, sf_dir).select(
-        F.col("l_suppkey").alias("company_id"),
-        F.when(_line() % 2 == 1, shouted).otherwise(F.col("p_type")).alias("industry"),
+    return _lines_with_part(spark, sf_dir).selectExpr(
+        "l_suppkey AS company_id",
+        "IF(l_linenumber % 2 = 1, concat(' ', upper(p_type), ' '), p_type) AS industry",
     )
 
 
 def company_specialities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _with_part(spark, sf_dir).select(
-        F.col("l_suppkey").alias("company_id"),
-        F.when(_line() == 7, F.lit("")).otherwise(F.col("p_brand")).alias("speciality"),
+    return _lines_with_part(spark, sf_dir).selectExpr(
+        "l_suppkey AS company_id", "IF(l_linenumber = 7, '', p_brand) AS speciality"
     )
 
 
