@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jobtide.functions.parsing import safe_number, strict_id
+from jobtide.functions.parsing import strict_id
 
 ELEMENT = "value"
 
@@ -44,7 +44,7 @@ def _plain_field(name: str, kind: str, on_bad: str) -> Column:
     number = strict_id(F.col(name).cast("string"), on_bad)
     if kind == "id":
         return number
-    return number.cast("int") if on_bad == "fail" else safe_number(name).try_cast("int")
+    return number.cast("int") if on_bad == "fail" else number.try_cast("int")
 
 
 def flatten_records(

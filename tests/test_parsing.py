@@ -23,6 +23,18 @@ def test_numbers_have_scale_zero(values):
     assert values(p.safe_number, texts) == expected
 
 
+def test_first_characters_of_numbers(values):
+    texts = ["+5", "-5", ".5", "5.", " 5", "\t5", "0", "9", "a5", ":5", "é", "-", "1.2.3", "/5"]
+    expected = [5, -5, 1, 5, 5, 5, 0, 9, None, None, None, None, None, None]
+    assert values(p.safe_number, texts) == expected
+
+
+def test_number_columns_are_accepted(spark):
+    df = spark.sql("SELECT 12L AS a, 1699084930L AS b, CAST(2.5 AS DECIMAL(3,1)) AS c")
+    row = df.select(p.safe_number("a"), p.epoch_to_ts("b"), p.safe_number("c")).first()
+    assert tuple(row) == (12, datetime(2023, 11, 4, 8, 2, 10), 3)
+
+
 def test_numbers_keep_38_digits(values):
     big = "9" * 38
     assert values(p.safe_number, [big, big + "9"]) == [int(big), None]
