@@ -19,9 +19,8 @@ LISTED_FALSE = ("false", "0", "no", "faux", "non")
 MILLISECONDS_ABOVE = 100000000000
 
 _EPOCH = "1970-01-01 00:00:00"
-# 0001-01-01 and 9999-12-31 23:59:59, the ends of what Spark can print, in seconds.
-_MIN_SECOND, _MAX_SECOND = -62135596800, 253402300799
 _NUMBER = "decimal(38,0)"
+_MILLIS = "decimal(15,0)"  # what a timestamp surely holds; narrowing to it is the range check
 
 
 def _col(c: Column | str) -> Column:
@@ -125,12 +124,12 @@ def epoch_to_ts(c: Column | str, on_bad: str = "fail") -> Column:
     with ``on_bad="null"``.
     """
     number = safe_number(c)
-    n = number.try_cast("decimal(15,0)").cast("bigint")  # narrowing is the range check
-    if on_bad == "null":
-        n = F.when(n.between(_MIN_SECOND, _MAX_SECOND * 1000), n)
-    else:
+    n = number.try_cast(_MILLIS).cast("bigint")
+    if on_bad != "null":
         n = F.coalesce(n, _fail_on("not an epoch", number).cast("bigint"))
     millis = F.when(n > MILLISECONDS_ABOVE, n).otherwise(n * 1000)
+    if on_bad == "null":
+        millis = millis.try_cast(_MILLIS).cast("bigint")
     return F.timestamp_add("MILLISECOND", millis, F.lit(_EPOCH).cast("timestamp_ntz"))
 
 

@@ -106,7 +106,11 @@ def test_epoch_does_not_depend_on_the_session_zone(spark, values):
 
 
 def test_epoch_out_of_range(values):
-    assert values(lambda c: p.epoch_to_ts(c, "null"), ["9" * 20, "-" + "9" * 20]) == [None, None]
+    absurd = ["9" * 20, "-" + "9" * 20, "-" + "9" * 15, "9" * 16]
+    assert values(lambda c: p.epoch_to_ts(c, "null"), absurd) == [None] * 4
+    for text in absurd[1:3]:
+        with pytest.raises(Exception, match="not an epoch|DATETIME_OVERFLOW"):
+            values(p.epoch_to_ts, [text])
     with pytest.raises(PySparkException, match="not an epoch"):
         values(p.epoch_to_ts, ["9" * 20])
 
