@@ -22,15 +22,17 @@ def explode_elements(df: DataFrame, column: str = "data") -> DataFrame:
     return df.lateralJoin(exploded).drop("pos", "key", column)
 
 
-def variant_field(element: Column | str, name: str, kind: str, on_bad: str = "fail") -> Column:
-    """A field of a variant object; missing or JSON null is NULL.
+def variant_field(
+    element: Column | str, name: str | None, kind: str, on_bad: str = "fail"
+) -> Column:
+    """A field of a variant object, without ``name`` the variant itself; missing or null is NULL.
 
     ``kind`` is ``"id"`` (BIGINT), ``"int"`` or ``"text"``. Numbers go through an exact decimal,
     so a fraction is rounded instead of cut. Text that is no number fails the job, or is NULL
     with ``on_bad="null"``.
     """
     get = F.variant_get if on_bad == "fail" else F.try_variant_get
-    path = f"$.{name}"
+    path = f"$.{name}" if name else "$"
     if kind == "text":
         return get(element, path, "string")
     number = get(element, path, "decimal(38,0)")
@@ -38,7 +40,9 @@ def variant_field(element: Column | str, name: str, kind: str, on_bad: str = "fa
     return number.cast(target) if on_bad == "fail" else number.try_cast(target)
 
 
-def _plain_field(name: str, kind: str, on_bad: str) -> Column:
+def _column_field(name: str, kind: str, data_type: T.DataType, on_bad: str) -> Column:
+    if isinstance(data_type, T.VariantType):
+        return variant_field(name, None, kind, on_bad)
     if kind == "text":
         return F.col(name).cast("string")
     number = strict_id(F.col(name).cast("string"), on_bad)
@@ -53,7 +57,8 @@ def flatten_records(
     """Typed columns from either bronze layout of a JSON input.
 
     Whole documents (one variant ``column`` holding an array) are exploded first; a bronze table
-    that already has one row per record is only cast. ``fields`` maps name to kind.
+    that already has one row per record, in text or variant columns, is only cast. ``fields``
+    maps name to kind.
     """
     types = {f.name: f.dataType for f in bronze.schema.fields}
     if isinstance(types.get(column), T.VariantType):
@@ -61,5 +66,5 @@ def flatten_records(
         picked = [variant_field(ELEMENT, n, k, on_bad).alias(n) for n, k in fields.items()]
     else:
         rows = bronze
-        picked = [_plain_field(n, k, on_bad).alias(n) for n, k in fields.items()]
+        picked = [_column_field(n, k, types[n], on_bad).alias(n) for n, k in fields.items()]
     return rows.select(*picked)
