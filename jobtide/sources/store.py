@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import reduce
@@ -24,12 +25,19 @@ LAYERS = tuple(TABLES)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder name in the cluster's shared checkpoint folder.
+    """A fresh folder name below the session's shared checkpoint folder.
 
-    Only where the session names none (tests on one machine) a temporary folder is used.
+    That is ``spark.checkpoint.dir``, or the folder given to ``setCheckpointDir``. Only a session
+    on one machine may do without: it gets a temporary folder. Elsewhere a missing setting is an
+    error, since a machine-local folder would be another one on every executor.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    return f"{shared or tempfile.mkdtemp(prefix='jobtide-')}/{name}-{uuid.uuid4().hex}"
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not shared:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="jobtide-")
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 class TableStore:

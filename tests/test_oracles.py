@@ -6,8 +6,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from workload import oracles, registry
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = registry.QUERIES, oracles.sql()
 
 
 @pytest.fixture(scope="module")
@@ -25,6 +26,7 @@ def normal(rows, columns):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)
