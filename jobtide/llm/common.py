@@ -19,9 +19,10 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def packed(df: DataFrame) -> Column:
-    """All columns of ``df`` as one struct, so that helper columns cannot clash with them."""
-    return F.struct(*[quoted(c).alias(c) for c in df.columns])
+def packed(df: DataFrame, without: str | None = None) -> Column:
+    """The columns of ``df`` as one struct, so that helper columns cannot clash with them."""
+    kept = [quoted(c).alias(c) for c in df.columns if c != without]
+    return F.struct(*kept or [F.lit(0).alias("_")])
 
 
 def unpacked(df: DataFrame, row: str, columns: list[str], **new: Column) -> DataFrame:

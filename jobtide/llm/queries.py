@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import mixing, sharding
+from jobtide.llm import decontamination, mixing, sharding
 from jobtide.llm.common import documents, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,23 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_contamination(
+        documents(spark, sf_dir).select("doc_id", "text"),
+        spark.read.parquet(f"{sf_dir}/benchmark.parquet"),
+        keep_text=False,
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        decontamination.items_digest(F.col("items")).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 @query
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
