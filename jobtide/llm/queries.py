@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import decontamination, mixing, sharding
+from jobtide.llm import decontamination, mixing, quality_rules, secrets, sharding
 from jobtide.llm.common import documents, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,8 +64,37 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(documents(spark, sf_dir).select("doc_id", "text"))
+    return judged.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+        "posterior",
+    )
+
+
 @query
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
     sized = documents(spark, sf_dir).select("doc_id", "source", words.alias("size"))
     return mixing.mix_sources(stored(sized, "sized-documents"))
+
+
+@query
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        "n_assign",
+        "n_access",
+        "n_hex",
+        F.sha2(secrets.digest("base").cast("binary"), 256).alias("base_sha256"),
+        secrets.digest("spans").alias("spans"),
+    )
