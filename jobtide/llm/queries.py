@@ -8,17 +8,20 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import decontamination, mixing, quality_rules, secrets, sharding
+from jobtide.llm import decontamination, mixing, quality_rules, secrets, sharding, token_files
 from jobtide.llm.common import documents, stored
+from jobtide.sources.store import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 SHARDS = 40
 WORD = r"[^\x20\x09-\x0D]+"
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def query(plan):
@@ -98,3 +101,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.digest("base").cast("binary"), 256).alias("base_sha256"),
         secrets.digest("spans").alias("spans"),
     )
+
+
+@query
+def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "token-files")
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return token_files.read_token_files(token_files.write_token_files(docs, folder, TOKENIZER))
