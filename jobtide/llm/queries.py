@@ -12,7 +12,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobtide.llm import decontamination, mixing, quality_rules, secrets, sharding, token_files
+from jobtide.llm import (
+    decontamination,
+    mixing,
+    quality_classifier,
+    quality_rules,
+    secrets,
+    sharding,
+    token_files,
+)
 from jobtide.llm.common import documents, stored
 from jobtide.sources.store import scratch_path
 
@@ -20,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 SHARDS = 40
+QUALITY_FROM = 0.3
 WORD = r"[^\x20\x09-\x0D]+"
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -90,6 +99,35 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(stored(sized, "sized-documents"))
 
 
+def remainder(n: int) -> F.Column:
+    """CRC-32 of doc_id as text, modulo n; the folds of the classifiers."""
+    text = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return F.crc32(text.cast("binary")) % n
+
+
+def labels_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> quality_classifier.Model:
+    sample = quality_classifier.labelled_sample(
+        docs, labels_of(spark, sf_dir), "quality", remainder(5) != 0
+    )
+    return quality_classifier.train(*sample)
+
+
+@query
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = quality_model(spark, sf_dir, docs)
+    return quality_classifier.with_score(docs, model).select(
+        "doc_id",
+        (remainder(5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= QUALITY_FROM).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(documents(spark, sf_dir).select("doc_id", "text"))
