@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from jobtide.llm import (
     decontamination,
+    language_id,
     mixing,
     quality_classifier,
     quality_rules,
@@ -128,6 +129,15 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang")
+    learned = language_id.dictionaries(docs, remainder(4) != 2)
+    return language_id.identify(docs.select("doc_id", "text"), learned).select(
+        "doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score", "rejected"
+    )
+
+
 @query
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(documents(spark, sf_dir).select("doc_id", "text"))
