@@ -1,10 +1,10 @@
 """Token ids as Arrow files of equal-length sequences.
 
 A data file is an Arrow IPC file of record batches with a fixed number of rows; a row is a
-fixed-size list of ids and one of mask bytes (1: token, 0: padding). Lists of one size lie end to
-end, so sequence i is found by division and read as a view of the mapped file. Documents follow
-each other without gaps; only the last row of a file is padded. Beside it, ``.docs`` says where
-each document begins.
+fixed-size list of ids and one of mask bits (true: token, false: padding). Lists of one size lie
+end to end, so sequence i is found by division and read as a view of the mapped file. Ids are as
+wide as the vocabulary needs, 16 or 32 bits. Documents follow each other without gaps; only the
+last row of a file is padded. Beside it, ``.docs`` says where each document begins.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ import os
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,24 +28,29 @@ SEQUENCE = 2_048
 ROWS = 256
 END_ID = 0
 #: Pieces of text whose ids a Python worker remembers; then it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 600_000
 SLICE_CHARS = 1 << 20
+#: Marks that, after a letter, always begin a new piece of their own.
+MARKS = ",.;:!?%*$&#|"
+JOINED = 1_000
 
 DOCS = pa.schema([("doc_id", pa.int64()), ("at", pa.int64()), ("n_tokens", pa.int64())])
 
 
-def _schema(sequence: int) -> pa.Schema:
+def _schema(sequence: int, width: int) -> pa.Schema:
+    ids = pa.uint16() if width == 2 else pa.uint32()
     return pa.schema(
-        [("ids", pa.list_(pa.uint32(), sequence)), ("mask", pa.list_(pa.uint8(), sequence))]
+        [("ids", pa.list_(ids, sequence)), ("mask", pa.list_(pa.bool_(), sequence))]
     )
 
 
 class Encoder:
-    """Texts to ids (little-endian unsigned 32-bit), the same as encoding each text as a whole.
+    """Texts to ids (little-endian, ``width`` bytes), as if each text were encoded as a whole.
 
     The pre-tokenizer of a byte-level vocabulary never joins what lies on both sides of a space
-    that has non-space neighbours: the space opens a new piece. So texts are cut there, and each
-    different piece is encoded once by the tokenizer.
+    or a line end with non-white neighbours, or a letter and the marks after it. Texts are cut
+    there, and every different run between the cuts goes through the tokenizer once, many runs in
+    one text with line ends between them.
     """
 
     def __init__(self, path: str):
@@ -52,31 +58,58 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes | None] = {}
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
+        self.kind = np.dtype(f"<u{self.width}")
+        self.line_end = self._ids(["\n"])[0]
+        self.pieces: dict[str, bytes | None] = {}
+        self.runs: dict[str, bytes] = {}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [np.array(e.ids, self.kind).tobytes() for e in found]
+
+    def _learn_runs(self, runs: list[str]) -> None:
+        """Ids of runs without line ends."""
+        mark = np.frombuffer(self.line_end, self.kind)[0]
+        for at in range(0, len(runs), JOINED):
+            some = runs[at : at + JOINED]
+            data = self._ids(["\n".join(some)])[0]
+            cuts = np.flatnonzero(np.frombuffer(data, self.kind) == mark) * self.width
+            if len(cuts) != len(some) - 1:
+                self.runs.update(zip(some, self._ids(some)))
+                continue
+            starts = [0, *(cuts + self.width).tolist()]
+            ends = [*cuts.tolist(), len(data)]
+            self.runs.update(zip(some, [data[i:j] for i, j in zip(starts, ends)]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [text.split(" ") for text in texts]
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        known = self.known
-        fresh = list({p for pieces in split for p in pieces[1:]} - known.keys())
-        clean = [p for p in fresh if _closed(p)]
-        known.update(zip(clean, self._encode([" " + p for p in clean])))
-        for p in fresh:
-            known.setdefault(p, None)
-        first = self._encode([pieces[0] for pieces in split])
-        found = []
-        for text, pieces, head in zip(texts, split, first):
+        if len(self.pieces) > REMEMBERED:
+            self.pieces = {}
+        if len(self.runs) > REMEMBERED:
+            self.runs = {}
+        fresh = set(chain.from_iterable(split)) - self.pieces.keys()
+        plans = {p: _plan(p) for p in fresh}
+        runs = {r for plan in plans.values() for r in plan} - self.runs.keys() - {"\n"}
+        self._learn_runs(list(runs))
+        ids = self.runs
+        ids["\n"] = self.line_end
+        for p, plan in plans.items():
+            self.pieces[p] = b"".join([ids[r] for r in plan]) if plan else None
+        odd = [p for p in fresh if not plans[p] and _closed(p)]
+        self.pieces.update(zip(odd, self._ids([" " + p for p in odd])))
+        first = self._ids([pieces[0] for pieces in split])
+        found, get = [], self.pieces.__getitem__
+        for pieces, head in zip(split, first):
             try:
                 if len(pieces) > 1 and (not pieces[0] or pieces[0][-1].isspace()):
                     raise TypeError
-                found.append(head + b"".join(map(known.__getitem__, pieces[1:])))
+                found.append(head + b"".join(map(get, pieces[1:])))
             except TypeError:  # a space beside white space
-                found.append(b"".join(self._encode(_units(pieces))))
+                found.append(b"".join(self._ids(_units(pieces))))
+        for p in fresh:
+            if "\n" in p:
+                del self.pieces[p]
         return found
 
 
@@ -84,6 +117,25 @@ def _closed(piece: str) -> bool:
     return piece != "" and not piece[0].isspace() and not piece[-1].isspace()
 
 
+def _plan(piece: str) -> list[str]:
+    """Runs that make up a piece and the space before it; none if it cannot be cut that way."""
+    if "\n" not in piece:
+        return _marked(" " + piece) if _closed(piece) else []
+    plan: list[str] = []
+    for line in piece.split("\n"):
+        if not _closed(line):
+            return []
+        plan += ["\n", *_marked(line)] if plan else _marked(" " + line)
+    return plan
+
+
+def _marked(run: str) -> list[str]:
+    core = run.rstrip(MARKS)
+    if len(core) == len(run) or not core or core[-1] > "\u024f" or not core[-1].isalpha():
+        return [run]
+    return [core, run[len(core) :]]
+
+
 def _units(pieces: list[str]) -> list[str]:
     """Pieces with their space, joined where the space between them has a white neighbour."""
     units, run, last = [], [pieces[0]], pieces[0]
@@ -113,21 +165,22 @@ def _locate(uri: str) -> tuple[fs.FileSystem, str]:
 class SequenceWriter:
     """Appends ids to a data file and notes where documents begin."""
 
-    def __init__(self, uri: str, sequence: int = SEQUENCE, rows: int = ROWS):
+    def __init__(self, uri: str, sequence: int = SEQUENCE, rows: int = ROWS, width: int = 4):
         system, path = _locate(uri)
-        self.sequence, self.room = sequence, np.zeros(rows * sequence, "<u4")
+        self.sequence, self.width = sequence, width
+        self.room = np.zeros(rows * sequence, f"<u{width}")
         self.filled = self.total = 0
         self.streams = [system.open_output_stream(path), system.open_output_stream(f"{path}.docs")]
-        self.data = pa.ipc.new_file(self.streams[0], _schema(sequence))
+        self.data = pa.ipc.new_file(self.streams[0], _schema(sequence, width))
         self.docs = pa.ipc.new_file(self.streams[1], DOCS)
 
     def append(self, doc_ids: list[int | None], encoded: list[bytes]) -> None:
-        lengths = np.array([len(e) // 4 for e in encoded], np.int64)
+        lengths = np.array([len(e) // self.width for e in encoded], np.int64)
         starts = self.total + np.cumsum(lengths) - lengths
         self.docs.write_batch(
             pa.record_batch([pa.array(doc_ids, pa.int64()), starts, lengths], schema=DOCS)
         )
-        ids = np.frombuffer(b"".join(encoded), "<u4")
+        ids = np.frombuffer(b"".join(encoded), self.room.dtype)
         self.total += len(ids)
         while len(ids):
             n = min(len(ids), len(self.room) - self.filled)
@@ -140,12 +193,12 @@ class SequenceWriter:
     def _flush(self) -> None:
         size = -(-self.filled // self.sequence) * self.sequence
         self.room[self.filled : size] = 0
-        mask = (np.arange(size) < self.filled).astype(np.uint8)
+        mask = np.arange(size) < self.filled
         lists = [
             pa.FixedSizeListArray.from_arrays(pa.array(values), self.sequence)
             for values in (self.room[:size], mask)
         ]
-        self.data.write_batch(pa.record_batch(lists, schema=_schema(self.sequence)))
+        self.data.write_batch(pa.record_batch(lists, schema=_schema(self.sequence, self.width)))
         self.filled = 0
 
     def close(self) -> None:
@@ -156,7 +209,8 @@ class SequenceWriter:
 
 
 class Sequences:
-    """Random access to a data file: ``[i]`` gives (ids, mask) of sequence i as views."""
+    """Random access to a data file: ``[i]`` gives (ids, mask) of sequence i as views of the file,
+    a numpy array and an Arrow array of bits."""
 
     def __init__(self, uri: str):
         system, path = _locate(uri)
@@ -172,18 +226,23 @@ class Sequences:
             return 0
         return (self.batches - 1) * self.rows + len(self.file.get_batch(self.batches - 1))
 
-    def _flat(self, batch: int, column: int) -> np.ndarray:
-        return self.file.get_batch(batch).column(column).values.to_numpy(zero_copy_only=True)
+    def _flat(self, batch: int, column: int) -> pa.Array:
+        return self.file.get_batch(batch).column(column).values
 
-    def __getitem__(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+    def __getitem__(self, i: int) -> tuple[np.ndarray, pa.Array]:
         batch, row = divmod(i, self.rows)
-        cut = slice(row * self.sequence, (row + 1) * self.sequence)
-        return self._flat(batch, 0)[cut], self._flat(batch, 1)[cut]
+        ids, mask = self._flat(batch, 0), self._flat(batch, 1)
+        at = row * self.sequence
+        return (
+            ids.slice(at, self.sequence).to_numpy(zero_copy_only=True),
+            mask.slice(at, self.sequence),
+        )
 
     def tokens(self) -> Iterator[np.ndarray]:
         """All ids without padding, batch by batch."""
         for batch in range(self.batches):
-            yield self._flat(batch, 0)[self._flat(batch, 1) != 0]
+            ids, mask = self._flat(batch, 0), self._flat(batch, 1)
+            yield ids.to_numpy(zero_copy_only=True)[: mask.true_count]
 
 
 def write_token_files(
@@ -216,12 +275,12 @@ def write_token_files(
 
     def write(batches):
         work, writer, first, n = encoder(tokenizer), None, None, 0
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], work.kind).tobytes()
         file = f"{folder}/part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.arrow"
         for batch in batches:
             for ids, texts in _slices(batch):
                 if writer is None:
-                    writer, first = SequenceWriter(file, sequence), ids[0]
+                    writer, first = SequenceWriter(file, sequence, ROWS, work.width), ids[0]
                 writer.append(ids, [e + end for e in work.encode(texts)])
                 n += len(ids)
         if writer is not None:
@@ -280,7 +339,7 @@ def _documents(file: str, before: int) -> Iterator[pa.RecordBatch]:
     """Walk through a file once: documents in order, each from one or more batches of ids."""
     system, path = _locate(file)
     chunks = Sequences(file).tokens()
-    held = np.empty(0, "<u4")
+    held = np.empty(0, "<u4")  # sums are over 32-bit ids, whatever the width in the file
     with system.open_input_file(f"{path}.docs") as source:
         index = pa.ipc.open_file(source)
         for k in range(index.num_record_batches):
@@ -290,7 +349,7 @@ def _documents(file: str, before: int) -> Iterator[pa.RecordBatch]:
                 crc = 0
                 while n > len(held):
                     crc, n = zlib.crc32(held.tobytes(), crc), n - len(held)
-                    held = next(chunks)
+                    held = next(chunks).astype("<u4")
                 crc, held = zlib.crc32(held[:n].tobytes(), crc), held[n:]
                 sums.append(crc)
             starts = docs.column("at").to_numpy() + before
