@@ -1,16 +1,14 @@
-"""What several corpus operators share: row packing, seeded numbers, stored results, byte batches."""
+"""What several corpus operators share: packed rows, seeded numbers, stored results, samples."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtide.sources.store import scratch_path
 
+SAMPLE_SEED = 5
 HASH_BITS = 52  # a whole number of so many bits is exact as a double
 
 
@@ -60,31 +58,42 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def text_slices(
-    batches: Iterator[pa.RecordBatch], column: int, limit: int = 1 << 20
-) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    """Cut Arrow batches into runs of whole rows of about ``limit`` bytes of binary ``column``.
-
-    Yields (rows, bytes of all their values, offsets of each value); NULL counts as empty. A row
-    is never cut, so one larger than ``limit`` is a run of its own. The bytes are the batch's own
-    memory, not copies.
+def labelled_sample(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str,
+    usable: Column,
+    size: int,
+    most_bytes: int = 65_536,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> tuple[pa.Array, list[int]]:
+    """Texts and labels of a bounded sample: ``size`` documents of each class, by a seeded hash.
+
+    ``usable`` selects rows of ``labels``. Twice as many ids are drawn first, from the labels
+    alone, as labels may lack a document; ids and texts that reach the driver are bounded by
+    ``size`` and ``most_bytes``. Rows with a NULL id or label are not used, and of repeated
+    labels of one id the smaller counts.
     """
-    for batch in batches:
-        values = batch.column(column)
-        if values.null_count:
-            values = values.fill_null(b"")
-        n = len(values)
-        if n == 0:
-            continue
-        wide = pa.types.is_large_binary(values.type)
-        _, at, data = values.buffers()
-        bounds = np.frombuffer(at, np.int64 if wide else np.int32)
-        bounds = bounds[values.offset : values.offset + n + 1].astype(np.int64)
-        memory = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
-        first = 0
-        while first < n:
-            last = int(np.searchsorted(bounds, bounds[first] + limit, side="right")) - 1
-            last = min(max(last, first + 1), n)
-            low, high = bounds[first], bounds[last]
-            yield batch.slice(first, last - first), memory[low:high], bounds[first : last + 1] - low
-            first = last
+    drawn = None
+    for value in (0, 1):
+        ids = (
+            labels.where(usable & F.col(id_col).isNotNull() & (F.col(label) == value))
+            .select(F.col(id_col).alias("id"), F.lit(value).alias("label"))
+            .orderBy(seeded_number(F.col("id"), SAMPLE_SEED), "id")
+            .limit(2 * size)
+        )
+        drawn = ids if drawn is None else drawn.unionByName(ids)
+    drawn = drawn.groupBy("id").agg(F.min("label").alias("label"))
+    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).where(
+        F.octet_length("text") <= most_bytes
+    )
+    found = texts.join(F.broadcast(drawn), "id")  # 4 * size ids at most
+    each = [
+        found.where(F.col("label") == value)
+        .orderBy(seeded_number(F.col("id"), SAMPLE_SEED), "id", "text")
+        .limit(size)
+        for value in (0, 1)
+    ]
+    table = each[0].unionByName(each[1]).select("text", "label").toArrow()
+    return table.column("text").combine_chunks(), table.column("label").to_pylist()

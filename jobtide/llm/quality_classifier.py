@@ -11,11 +11,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from jobtide.llm.byte_text import Piece, pieces, word_hashes, words
-from jobtide.llm.common import seeded_number
 
 #: Buckets of two-byte n-grams (exact), three-byte n-grams and words (hashed), and of word pairs
 #: that are one word twice: they share a bucket, as a second one close by does.
@@ -29,9 +28,8 @@ ZEROS = 20
 DIM = 8
 EPOCHS = 6
 RATE = 0.5
-#: The training sample: so many documents of each class, each of at most so many bytes.
+#: The training sample has so many documents of each class.
 SAMPLE = 1_200
-SAMPLE_BYTES = 65_536
 SEED = 5
 
 
@@ -162,47 +160,6 @@ def score(values: pa.Array, model: Model) -> np.ndarray:
     return 1 / (1 + np.exp(-(total / (count + ZEROS) + model.bias)))
 
 
-def labelled_sample(
-    docs: DataFrame,
-    labels: DataFrame,
-    label: str,
-    usable: Column,
-    size: int = SAMPLE,
-    most_bytes: int = SAMPLE_BYTES,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> tuple[pa.Array, list[int]]:
-    """Texts and labels of a bounded sample: ``size`` documents of each class, by a seeded hash.
-
-    ``usable`` selects rows of ``labels``. Twice as many ids are drawn first, from the labels
-    alone, as labels may lack a document; ids and texts that reach the driver are bounded by
-    ``size`` and ``most_bytes``. Rows with a NULL id or label are not used, and of repeated
-    labels of one id the smaller counts.
-    """
-    drawn = None
-    for value in (0, 1):
-        ids = (
-            labels.where(usable & F.col(id_col).isNotNull() & (F.col(label) == value))
-            .select(F.col(id_col).alias("id"), F.lit(value).alias("label"))
-            .orderBy(seeded_number(F.col("id"), SEED), "id")
-            .limit(2 * size)
-        )
-        drawn = ids if drawn is None else drawn.unionByName(ids)
-    drawn = drawn.groupBy("id").agg(F.min("label").alias("label"))
-    texts = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text")).where(
-        F.octet_length("text") <= most_bytes
-    )
-    found = texts.join(F.broadcast(drawn), "id")  # 4 * size ids at most
-    each = [
-        found.where(F.col("label") == value)
-        .orderBy(seeded_number(F.col("id"), SEED), "id", "text")
-        .limit(size)
-        for value in (0, 1)
-    ]
-    table = each[0].unionByName(each[1]).select("text", "label").toArrow()
-    return table.column("text").combine_chunks(), table.column("label").to_pylist()
-
-
 def with_score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score"):
     """``docs`` with the probability of class 1 of every whole text; NULL counts as empty.
 

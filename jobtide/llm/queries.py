@@ -21,8 +21,9 @@ from jobtide.llm import (
     secrets,
     sharding,
     token_files,
+    toxicity,
 )
-from jobtide.llm.common import documents, stored
+from jobtide.llm.common import documents, labelled_sample, stored
 from jobtide.sources.store import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +31,7 @@ ORACLES: dict[str, str] = {}
 
 SHARDS = 40
 QUALITY_FROM = 0.3
+TOXIC_FROM = 0.7
 WORD = r"[^\x20\x09-\x0D]+"
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -111,8 +113,8 @@ def labels_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_model(spark: SparkSession, sf_dir: str, docs: DataFrame) -> quality_classifier.Model:
-    sample = quality_classifier.labelled_sample(
-        docs, labels_of(spark, sf_dir), "quality", remainder(5) != 0
+    sample = labelled_sample(
+        docs, labels_of(spark, sf_dir), "quality", remainder(5) != 0, quality_classifier.SAMPLE
     )
     return quality_classifier.train(*sample)
 
@@ -151,6 +153,20 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    sample = labelled_sample(
+        docs, labels_of(spark, sf_dir), "toxic", remainder(3) != 1, toxicity.SAMPLE
+    )
+    return toxicity.with_score(docs, toxicity.train(*sample)).select(
+        "doc_id",
+        (remainder(3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+    )
+
+
 @query
 def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
