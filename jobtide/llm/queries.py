@@ -16,6 +16,7 @@ from jobtide.llm import (
     decontamination,
     language_id,
     mixing,
+    ngram_join,
     quality_classifier,
     quality_rules,
     secrets,
@@ -172,3 +173,9 @@ def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token-files")
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return token_files.read_token_files(token_files.write_token_files(docs, folder, TOKENIZER))
+
+
+@query
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return ngram_join.jaccard_join(docs).withColumnRenamed("id", "doc_id")
