@@ -144,7 +144,7 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, bands: int,
         signer = Signer(bands, rows)
         for batch in batches:
             size = batch.num_rows
-            keys = np.zeros((2, size), np.uint64)
+            keys = np.zeros((2, size), np.int64)
             counts = np.zeros(size, np.int64)
             signed = np.zeros((size, bands), np.uint64)
             for first, grams, bounds in ngrams(batch.column(2), n):
@@ -152,15 +152,14 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, bands: int,
                 for k in range(len(bounds) - 1):
                     own = np.unique(grams[bounds[k] : bounds[k + 1]])
                     counts[first + k] = len(own)
-                    keys[0, first + k] = mix(own).sum(dtype=np.uint64)
-                    keys[1, first + k] = mix(own ^ _STEP).sum(dtype=np.uint64)
+                    keys[:, first + k] = _digest(own)
             flat = pa.array(signed.ravel().view(np.int64))
             offsets = pa.array(np.arange(size + 1, dtype=np.int32) * bands)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
-                    *[pa.array(k.view(np.int64)) for k in keys],
+                    *[pa.array(k) for k in keys],
                     pa.array(counts),
                     pa.ListArray.from_arrays(offsets, flat),
                 ],
@@ -171,6 +170,12 @@ def signatures(docs: DataFrame, id_col: str, text_col: str, n: int, bands: int,
     return wanted.mapInArrow(sign, kinds)
 
 
+def _digest(grams: np.ndarray) -> tuple[int, int]:
+    """Two 64-bit sums that stand for a set of n-grams."""
+    sums = [mix(g).sum(dtype=np.uint64) for g in (grams, grams ^ _STEP)]
+    return tuple(int(s.astype(np.int64)) for s in sums)
+
+
 def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc, id, text; a missing id is a negative number from the text."""
     doc, text = docs[id_col].cast("bigint"), docs[text_col].cast("string")
@@ -216,10 +221,14 @@ def _roots(linked: np.ndarray, nodes: np.ndarray) -> np.ndarray:
 def _cell(rows: list[tuple], threshold: float, n: int) -> pa.RecordBatch | None:
     """Links within one cell: (node, texts it is linked to, smallest node connected)."""
     _, left, right = rows[0][:3]
+    sets = gram_sets(pa.array([r[7] for r in rows], pa.large_binary()), n)
+    # A repeated row, or another text under the same id, is not the class this row stands for.
+    alone = {(r[3], r[6]): k for k, r in enumerate(rows) if _digest(sets[k])[0] == r[6]}
+    rows = [rows[k] for k in alone.values()]
     nodes = np.array([r[3] for r in rows], np.int64)
     weight = np.array([r[4] for r in rows], np.int64)
     chunk = np.array([r[5] for r in rows])
-    linked = compare(gram_sets(pa.array([r[6] for r in rows], pa.large_binary()), n), threshold)
+    linked = compare([sets[k] for k in alone.values()], threshold)
     if left != right:  # pairs within a chunk belong to another cell
         linked &= chunk[:, None] != chunk[None, :]
     some = linked.any(1)
@@ -238,7 +247,7 @@ def verified(cells: DataFrame, threshold: float, n: int) -> DataFrame:
     def check(batches):
         held: list[tuple] = []
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(7)]
+            columns = [batch.column(i).to_pylist() for i in range(8)]
             for row in zip(*columns):
                 if held and held[0][:3] != row[:3]:
                     found = _cell(held, threshold, n)
@@ -280,7 +289,7 @@ def jaccard_join(
     NULL texts and texts without words have no n-grams, no links and a class of their own. Rows
     with a NULL id are linked too, and have a negative number from their text for an id in
     ``copy_of`` and ``class_id``. Rows that share an id are one node: each counts as a document,
-    and their classes are one. An empty table gives an empty table. Texts are read
+    and their links and classes are one. An empty table gives an empty table. Texts are read
     whole. Other columns of ``docs`` are not touched.
     """
     bands, rows = choose_bands(threshold, recall)
@@ -298,9 +307,7 @@ def jaccard_join(
     blocks = components(edges.selectExpr("node a", "b"))
     blocks = blocks.unionByName(blocks.selectExpr("root node", "root").distinct())
 
-    members = classes.join(blocks, "node").groupBy("node", "root").agg(
-        F.sum("texts").alias("texts"), F.max("n_grams").alias("n_grams")
-    )
+    members = classes.join(blocks, "node").select("node", "root", "texts", "n_grams", "key1")
     sizes = members.groupBy("root").agg(F.count("*").alias("m"), F.sum("n_grams").alias("g"))
     chunks = F.greatest(F.ceil(F.col("m") / chunk_rows), F.ceil(F.col("g") / chunk_ngrams))
     members = members.join(sizes.select("root", chunks.alias("chunks")), "root").withColumn(
@@ -316,6 +323,7 @@ def jaccard_join(
             "id",
             "texts",
             "chunk",
+            "key1",
             F.col("text").cast("binary").alias("text"),
         )
         .repartition("root", "low", "high")

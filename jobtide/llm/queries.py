@@ -42,6 +42,10 @@ def query(plan):
     return plan
 
 
+def word_count() -> F.Column:
+    return F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
+
+
 @query
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -98,8 +102,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("bigint")
-    sized = documents(spark, sf_dir).select("doc_id", "source", words.alias("size"))
+    sized = documents(spark, sf_dir).select("doc_id", "source", word_count().alias("size"))
     return mixing.mix_sources(stored(sized, "sized-documents"))
 
 
