@@ -116,3 +116,17 @@ def word_hashes(piece: Piece, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
     sums = np.zeros(size + 1, np.uint64)
     np.cumsum((piece.memory[:size].astype(np.uint64) + np.uint64(1)) * up[:size], out=sums[1:])
     return mix((sums[ends] - sums[starts]) * down[starts])
+
+
+def span_hashes(
+    memory: np.ndarray, starts: np.ndarray, ends: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each stretch of bytes, from different polynomials of them."""
+    found = []
+    up, down = _powers(len(memory) + 1)
+    for shift in (np.uint64(1), np.uint64(0x5851F42D4C957F2D)):
+        values = memory.astype(np.uint64) + shift
+        sums = np.zeros(len(memory) + 1, np.uint64)
+        np.cumsum((values * values if shift > 1 else values) * up[:-1], out=sums[1:])
+        found.append(mix(((sums[ends] - sums[starts]) * down[starts]) ^ (ends - starts).view(np.uint64)))
+    return found[0], found[1]

@@ -13,7 +13,6 @@ import os
 import uuid
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,35 +21,49 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from jobtide.llm.byte_text import buffers, span_hashes
 from jobtide.llm.common import stored
 
 SEQUENCE = 2_048
 ROWS = 256
 END_ID = 0
-#: Pieces of text whose ids a Python worker remembers; then it starts afresh.
-REMEMBERED = 600_000
-SLICE_CHARS = 1 << 20
+#: Runs of text whose ids a Python worker remembers, and ids of them; then it starts afresh.
+REMEMBERED, REMEMBERED_IDS, TABLE_BITS = 1_000_000, 8_000_000, 22
+SLICE_BYTES = 2 << 20
 #: Marks that, after a letter, always begin a new piece of their own.
-MARKS = ",.;:!?%*$&#|"
+MARKS = b",.;:!?%*$&#|"
+#: White space beyond ASCII, in UTF-8 (or the start of it); texts with it are not cut.
+WIDE_SPACE = (b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80")
 JOINED = 1_000
 
 DOCS = pa.schema([("doc_id", pa.int64()), ("at", pa.int64()), ("n_tokens", pa.int64())])
 
 
-def _schema(sequence: int, width: int) -> pa.Schema:
-    ids = pa.uint16() if width == 2 else pa.uint32()
+def _schema(sequence: int, kind: np.dtype) -> pa.Schema:
+    ids = pa.from_numpy_dtype(kind)
     return pa.schema(
         [("ids", pa.list_(ids, sequence)), ("mask", pa.list_(pa.bool_(), sequence))]
     )
 
 
+def _class(members: bytes) -> np.ndarray:
+    found = np.zeros(256, bool)
+    found[list(members)] = True
+    return found
+
+
+_WHITE = _class(bytes([*range(9, 14), *range(28, 33)]))
+_LETTER = _class(bytes([*range(65, 91), *range(97, 123)]))
+_MARK = _class(MARKS)
+
+
 class Encoder:
-    """Texts to ids (little-endian, ``width`` bytes), as if each text were encoded as a whole.
+    """Texts to ids, as if each text were encoded as a whole.
 
     The pre-tokenizer of a byte-level vocabulary never joins what lies on both sides of a space
-    or a line end with non-white neighbours, or a letter and the marks after it. Texts are cut
+    or a line end with non-white neighbours, nor a letter and a mark after it. Texts are cut
     there, and every different run between the cuts goes through the tokenizer once, many runs in
-    one text with line ends between them.
+    one text with line ends between them. Runs are known by two 64-bit hashes.
     """
 
     def __init__(self, path: str):
@@ -58,94 +71,121 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.kind = np.dtype(f"<u{self.width}")
+        narrow = self.tokenizer.get_vocab_size() <= 1 << 16
+        self.kind = np.dtype("<u2" if narrow else "<u4")
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.uncut = [*WIDE_SPACE, *(t.content.encode() for t in added)]
         self.line_end = self._ids(["\n"])[0]
-        self.pieces: dict[str, bytes | None] = {}
-        self.runs: dict[str, bytes] = {}
+        self._forget()
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
+    def _forget(self) -> None:
+        self.table = np.full(1 << TABLE_BITS, -1, np.int32)  # place of a run, by its key's slot
+        self.keys = np.empty(0, np.uint64)
+        self.checks = np.empty(0, np.uint64)
+        self.starts = np.empty(0, np.int64)
+        self.sizes = np.empty(0, np.int64)
+        self.ids = np.empty(0, self.kind)
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.kind).tobytes() for e in found]
-
-    def _learn_runs(self, runs: list[str]) -> None:
-        """Ids of runs without line ends."""
-        mark = np.frombuffer(self.line_end, self.kind)[0]
-        for at in range(0, len(runs), JOINED):
-            some = runs[at : at + JOINED]
-            data = self._ids(["\n".join(some)])[0]
-            cuts = np.flatnonzero(np.frombuffer(data, self.kind) == mark) * self.width
-            if len(cuts) != len(some) - 1:
-                self.runs.update(zip(some, self._ids(some)))
-                continue
-            starts = [0, *(cuts + self.width).tolist()]
-            ends = [*cuts.tolist(), len(data)]
-            self.runs.update(zip(some, [data[i:j] for i, j in zip(starts, ends)]))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [text.split(" ") for text in texts]
-        if len(self.pieces) > REMEMBERED:
-            self.pieces = {}
-        if len(self.runs) > REMEMBERED:
-            self.runs = {}
-        fresh = set(chain.from_iterable(split)) - self.pieces.keys()
-        plans = {p: _plan(p) for p in fresh}
-        runs = {r for plan in plans.values() for r in plan} - self.runs.keys() - {"\n"}
-        self._learn_runs(list(runs))
-        ids = self.runs
-        ids["\n"] = self.line_end
-        for p, plan in plans.items():
-            self.pieces[p] = b"".join([ids[r] for r in plan]) if plan else None
-        odd = [p for p in fresh if not plans[p] and _closed(p)]
-        self.pieces.update(zip(odd, self._ids([" " + p for p in odd])))
-        first = self._ids([pieces[0] for pieces in split])
-        found, get = [], self.pieces.__getitem__
-        for pieces, head in zip(split, first):
-            try:
-                if len(pieces) > 1 and (not pieces[0] or pieces[0][-1].isspace()):
-                    raise TypeError
-                found.append(head + b"".join(map(get, pieces[1:])))
-            except TypeError:  # a space beside white space
-                found.append(b"".join(self._ids(_units(pieces))))
-        for p in fresh:
-            if "\n" in p:
-                del self.pieces[p]
+        return [np.array(e.ids, self.kind) for e in found]
+
+    def _runs(self, runs: list[bytes]) -> list[np.ndarray]:
+        """Ids of runs; those without line ends are encoded many at a time."""
+        found: list[np.ndarray | None] = [None] * len(runs)
+        plain = [k for k, run in enumerate(runs) if b"\n" not in run]
+        for at in range(0, len(plain), JOINED):
+            some = plain[at : at + JOINED]
+            ids = self._ids([b"\n".join([runs[k] for k in some]).decode()])[0]
+            cuts = np.flatnonzero(ids == self.line_end[0])
+            if len(self.line_end) == 1 and len(cuts) == len(some) - 1:
+                low = [0, *(cuts + 1).tolist()]
+                for k, i, j in zip(some, low, [*cuts.tolist(), len(ids)]):
+                    found[k] = ids[i:j]
+        left = [k for k, ids in enumerate(found) if ids is None]
+        for k, ids in zip(left, self._ids([runs[k].decode() for k in left])):
+            found[k] = ids
         return found
 
-
-def _closed(piece: str) -> bool:
-    return piece != "" and not piece[0].isspace() and not piece[-1].isspace()
-
-
-def _plan(piece: str) -> list[str]:
-    """Runs that make up a piece and the space before it; none if it cannot be cut that way."""
-    if "\n" not in piece:
-        return _marked(" " + piece) if _closed(piece) else []
-    plan: list[str] = []
-    for line in piece.split("\n"):
-        if not _closed(line):
-            return []
-        plan += ["\n", *_marked(line)] if plan else _marked(" " + line)
-    return plan
-
-
-def _marked(run: str) -> list[str]:
-    core = run.rstrip(MARKS)
-    if len(core) == len(run) or not core or core[-1] > "\u024f" or not core[-1].isalpha():
-        return [run]
-    return [core, run[len(core) :]]
-
-
-def _units(pieces: list[str]) -> list[str]:
-    """Pieces with their space, joined where the space between them has a white neighbour."""
-    units, run, last = [], [pieces[0]], pieces[0]
-    for piece in pieces[1:]:
-        if last and piece and not last[-1].isspace() and not piece[0].isspace():
-            units.append("".join(run))
-            run = []
-        run += (" ", piece)
-        last = piece
-    return [*units, "".join(run)]
+    def _cuts(self, memory: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Where runs begin, with the end of the last one."""
+        solid = ~_WHITE[memory]
+        cut = np.zeros(len(memory) + 1, bool)
+        inner = np.zeros(len(memory), bool)
+        inner[1:-1] = solid[:-2] & solid[2:]
+        cut[:-1] |= (memory == 32) & inner
+        line = (memory == 10) & inner
+        cut[:-1] |= line
+        cut[1:] |= line
+        cut[1:-1] |= _LETTER[memory[:-1]] & _MARK[memory[1:]]
+        data = memory.tobytes()
+        for text in self.uncut:
+            at = data.find(text)
+            while at >= 0:
+                doc = np.searchsorted(bounds, at, side="right")
+                cut[bounds[doc - 1] : bounds[doc]] = False
+                at = data.find(text, int(bounds[doc]))
+        cut[bounds] = True
+        return np.flatnonzero(cut)
+
+    def encode(self, memory: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, where each text's ids begin and the last ones end)."""
+        if len(memory) == 0:
+            return np.empty(0, self.kind), np.zeros(len(bounds), np.int64)
+        if len(self.keys) > REMEMBERED or len(self.ids) > REMEMBERED_IDS:
+            self._forget()
+        cuts = self._cuts(memory, bounds)
+        keys, checks = span_hashes(memory, cuts[:-1], cuts[1:])
+        at = self._find(keys)
+        unknown = np.flatnonzero(at < 0)
+        if len(unknown):
+            _, first = np.unique(keys[unknown], return_index=True)
+            fresh = unknown[first]
+            low, high = cuts[fresh].tolist(), cuts[fresh + 1].tolist()
+            found = self._runs([memory[i:j].tobytes() for i, j in zip(low, high)])
+            self._learn(keys[fresh], checks[fresh], found)
+            at = self._find(keys)
+        if (self.checks[at] != checks).any():  # two runs with one hash
+            found = self._runs([memory[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:])])
+            sizes, ids = np.array([len(f) for f in found], np.int64), np.concatenate(found)
+        else:
+            sizes = self.sizes[at]
+            ends = np.cumsum(sizes)
+            ids = self.ids[
+                np.arange(ends[-1]) + np.repeat(self.starts[at] - (ends - sizes), sizes)
+            ]
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        return ids, ends[np.searchsorted(cuts, bounds)]
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """Places of keys among those known, -1 for others; a taken slot sends on to the next."""
+        slots = (keys >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+        at = self.table[slots]
+        if len(self.keys) == 0:
+            return at
+        wrong = np.flatnonzero((at >= 0) & (self.keys[at] != keys))
+        while len(wrong):
+            slots[wrong] = (slots[wrong] + 1) & ((1 << TABLE_BITS) - 1)
+            at[wrong] = self.table[slots[wrong]]
+            wrong = wrong[(at[wrong] >= 0) & (self.keys[at[wrong]] != keys[wrong])]
+        return at
+
+    def _learn(self, keys: np.ndarray, checks: np.ndarray, found: list[np.ndarray]) -> None:
+        """Add runs with different keys that are not known."""
+        sizes = np.array([len(f) for f in found], np.int64)
+        starts = len(self.ids) + np.cumsum(sizes) - sizes
+        places = np.arange(len(self.keys), len(self.keys) + len(keys), dtype=np.int32)
+        self.keys = np.concatenate((self.keys, keys))
+        self.checks = np.concatenate((self.checks, checks))
+        self.starts = np.concatenate((self.starts, starts))
+        self.sizes = np.concatenate((self.sizes, sizes))
+        self.ids = np.concatenate((self.ids, *found))
+        slots = (keys >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+        while len(places):
+            free = self.table[slots] < 0
+            self.table[slots[free]] = places[free]  # of several for a slot, one gets it
+            left = self.table[slots] != places
+            places, slots = places[left], (slots[left] + 1) & ((1 << TABLE_BITS) - 1)
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -165,22 +205,20 @@ def _locate(uri: str) -> tuple[fs.FileSystem, str]:
 class SequenceWriter:
     """Appends ids to a data file and notes where documents begin."""
 
-    def __init__(self, uri: str, sequence: int = SEQUENCE, rows: int = ROWS, width: int = 4):
+    def __init__(self, uri: str, sequence: int = SEQUENCE, rows: int = ROWS, kind: str = "<u4"):
         system, path = _locate(uri)
-        self.sequence, self.width = sequence, width
-        self.room = np.zeros(rows * sequence, f"<u{width}")
+        self.sequence, self.kind = sequence, np.dtype(kind)
+        self.room = np.zeros(rows * sequence, self.kind)
         self.filled = self.total = 0
         self.streams = [system.open_output_stream(path), system.open_output_stream(f"{path}.docs")]
-        self.data = pa.ipc.new_file(self.streams[0], _schema(sequence, width))
+        self.data = pa.ipc.new_file(self.streams[0], _schema(sequence, self.kind))
         self.docs = pa.ipc.new_file(self.streams[1], DOCS)
 
-    def append(self, doc_ids: list[int | None], encoded: list[bytes]) -> None:
-        lengths = np.array([len(e) // self.width for e in encoded], np.int64)
-        starts = self.total + np.cumsum(lengths) - lengths
-        self.docs.write_batch(
-            pa.record_batch([pa.array(doc_ids, pa.int64()), starts, lengths], schema=DOCS)
-        )
-        ids = np.frombuffer(b"".join(encoded), self.room.dtype)
+    def append(self, doc_ids: pa.Array, ids: np.ndarray, bounds: np.ndarray) -> None:
+        """Documents whose ids lie between ``bounds``."""
+        lengths = np.diff(bounds)
+        starts = self.total + bounds[:-1] - bounds[0]
+        self.docs.write_batch(pa.record_batch([doc_ids, starts, lengths], schema=DOCS))
         self.total += len(ids)
         while len(ids):
             n = min(len(ids), len(self.room) - self.filled)
@@ -198,7 +236,7 @@ class SequenceWriter:
             pa.FixedSizeListArray.from_arrays(pa.array(values), self.sequence)
             for values in (self.room[:size], mask)
         ]
-        self.data.write_batch(pa.record_batch(lists, schema=_schema(self.sequence, self.width)))
+        self.data.write_batch(pa.record_batch(lists, schema=_schema(self.sequence, self.kind)))
         self.filled = 0
 
     def close(self) -> None:
@@ -275,21 +313,25 @@ def write_token_files(
 
     def write(batches):
         work, writer, first, n = encoder(tokenizer), None, None, 0
-        end = np.array([end_id], work.kind).tobytes()
-        file = f"{folder}/part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.arrow"
+        part = TaskContext.get().partitionId()
+        file = f"{folder}/part-{part:06d}-{uuid.uuid4().hex}.arrow"
         for batch in batches:
-            for ids, texts in _slices(batch):
+            memory, bounds = buffers(batch.column(1))
+            for low, high in _slices(bounds):
+                at = bounds[low : high + 1]
+                ids, ends = work.encode(memory[at[0] : at[-1]], at - at[0])
+                ids = np.insert(ids, ends[1:], work.kind.type(end_id))
+                doc_ids = batch.column(0).slice(low, high - low)
                 if writer is None:
-                    writer, first = SequenceWriter(file, sequence, ROWS, work.width), ids[0]
-                writer.append(ids, [e + end for e in work.encode(texts)])
-                n += len(ids)
+                    writer, first = SequenceWriter(file, sequence, ROWS, work.kind), doc_ids[0]
+                writer.append(doc_ids, ids, ends + np.arange(len(ends)))
+                n += high - low
         if writer is not None:
             writer.close()
-            part = TaskContext.get().partitionId()
             yield pa.RecordBatch.from_pydict(
                 {
                     "file": [file],
-                    "first_id": pa.array([first], pa.int64()),
+                    "first_id": pa.array([first.as_py()], pa.int64()),
                     "part": pa.array([part], pa.int64()),
                     "n_docs": pa.array([n], pa.int64()),
                     "n_tokens": pa.array([writer.total], pa.int64()),
@@ -300,18 +342,14 @@ def write_token_files(
     return stored(ordered.select("id", "text").mapInArrow(write, kinds), "token-file-list")
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[tuple[list, list[str]]]:
-    """Rows of a batch in runs of about ``SLICE_CHARS`` characters."""
-    ids, texts, held = [], [], 0
-    for i, text in zip(batch.column(0), batch.column(1)):
-        ids.append(i.as_py())
-        texts.append(text.as_py())
-        held += len(texts[-1])
-        if held >= SLICE_CHARS:
-            yield ids, texts
-            ids, texts, held = [], [], 0
-    if ids:
-        yield ids, texts
+def _slices(bounds: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of rows of about ``SLICE_BYTES`` bytes; a longer row is a run of its own."""
+    low, n = 0, len(bounds) - 1
+    while low < n:
+        high = int(np.searchsorted(bounds, bounds[low] + SLICE_BYTES, side="right")) - 1
+        high = min(max(high, low + 1), n)
+        yield low, high
+        low = high
 
 
 def read_token_files(files: DataFrame) -> DataFrame:
@@ -324,7 +362,7 @@ def read_token_files(files: DataFrame) -> DataFrame:
     placed = files.select(
         "file", (F.sum("n_tokens").over(order) - F.col("n_tokens")).alias("before")
     )
-    spread = placed.repartition("file")
+    spread = placed.repartition(max(1, files.count()))  # a file to a task, however small the list
 
     def read(batches):
         for batch in batches:
