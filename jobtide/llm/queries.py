@@ -17,6 +17,7 @@ from jobtide.llm import (
     language_id,
     mixing,
     ngram_join,
+    oracles,
     quality_classifier,
     quality_rules,
     secrets,
@@ -28,7 +29,7 @@ from jobtide.llm.common import documents, labelled_sample, stored
 from jobtide.sources.store import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = oracles.ORACLES
 
 SHARDS = 40
 QUALITY_FROM = 0.3
