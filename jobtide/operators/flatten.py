@@ -18,8 +18,8 @@ def explode_elements(df: DataFrame, column: str = "data") -> DataFrame:
 
     The element is in ``value``; the other columns of ``df`` are kept.
     """
-    exploded = df.sparkSession.tvf.variant_explode(F.col(column).outer())
-    return df.lateralJoin(exploded).drop("pos", "key", column)
+    exploded = df.sparkSession.tvf.variant_explode(F.col(column).outer()).select(ELEMENT)
+    return df.lateralJoin(exploded).drop(column)
 
 
 def variant_field(

@@ -6,8 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROWS_PER_SALT = 1_000_000
-MAX_HEAVY_KEYS = 1_000
-MAX_SALTS = 10_000
+#: No salt is smaller than this part of all rows, so at most so many keys can be heavy.
+PARTS = 10_000
 _KEY, _SALT, _SALTS = "__key", "__salt", "__salts"
 
 
@@ -15,25 +15,26 @@ def heavy_keys(
     df: DataFrame,
     key: Column,
     rows_per_salt: int = ROWS_PER_SALT,
-    limit: int = MAX_HEAVY_KEYS,
+    fan_out: Column | float = 1.0,
 ) -> DataFrame:
-    """The keys with more than ``rows_per_salt`` rows and how many salts each should get.
+    """The keys that own too many rows for one salt, and how many salts each should get.
 
-    At most ``limit`` rows, the largest first: small enough to broadcast whatever the input
-    size, and still holding every key that owns more than 1/``limit`` of the table. Only the key
-    column is read, and it is counted before it is shuffled. The order is total, so every
-    reading of the result gives the same rows.
+    A salt holds ``rows_per_salt`` rows, or a ``PARTS``-th of all rows if that is more. So fewer
+    than ``PARTS`` keys are heavy whatever the input: the list is small by construction, and no key
+    is left out of it. Only the key column is read, and it is counted before it is shuffled.
+
+    ``fan_out`` is by how much rows multiply before the join; counts are taken times it.
     """
-    salts = F.least(F.ceil(F.col("__n") / rows_per_salt), F.lit(MAX_SALTS))
+    keys = df.select(key.alias(_KEY)).where(F.col(_KEY).isNotNull())
+    part = keys.select(F.count("*") / F.lit(float(PARTS))).scalar()
+    rows = F.col("__n") * F.lit(fan_out) if isinstance(fan_out, (int, float)) else F.col("__n") * fan_out
+    salt = F.greatest(F.lit(float(rows_per_salt)), part)
     return (
-        df.select(key.alias(_KEY))
-        .where(F.col(_KEY).isNotNull())
-        .groupBy(_KEY)
+        keys.groupBy(_KEY)
         .agg(F.count("*").alias("__n"))
-        .where(F.col("__n") > rows_per_salt)
-        .orderBy(F.desc("__n"), _KEY)
-        .limit(limit)
-        .select(_KEY, salts.cast("int").alias(_SALTS))
+        .select(_KEY, rows.alias("__rows"), salt.alias("__per_salt"))
+        .where(F.col("__rows") > F.col("__per_salt"))
+        .select(_KEY, F.ceil(F.col("__rows") / F.col("__per_salt")).cast("int").alias(_SALTS))
     )
 
 
@@ -56,7 +57,7 @@ def salted_left_join(
     in the result. Keys just below the limit are left to adaptive execution, which splits
     oversized partitions of the left side. ``right_key`` is dropped from the result.
     """
-    heavy = F.broadcast(heavy)  # bounded by heavy_keys(limit=...)
+    heavy = F.broadcast(heavy)  # fewer than PARTS rows by construction, see heavy_keys
     spread = F.xxhash64(*spread_by)
     salted_left = (
         left.withColumn(_KEY, left_key)

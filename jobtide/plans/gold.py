@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobtide import schemas
@@ -10,6 +10,7 @@ from jobtide.functions.parsing import safe_id
 from jobtide.operators.aggregates import having
 from jobtide.operators.joins import heavy_keys, salted_left_join
 
+# Columns of the gold tables, in order.
 _PROFILE = (
     "company_id", "name", "company_size", "city", "state", "country",
     "employee_count", "follower_count",
@@ -64,6 +65,12 @@ def company_number(column: str = "company_name"):
     return safe_id(column)
 
 
+def industries_per_posting(industries: DataFrame) -> Column:
+    """How many industries a job that has any has on average, as a scalar."""
+    jobs = industries.groupBy("job_id").agg(F.count("*").alias("n"))
+    return jobs.select(F.coalesce(F.avg("n"), F.lit(1.0))).scalar()
+
+
 def job_analytics(
     postings: DataFrame,
     industries: DataFrame,
@@ -75,10 +82,13 @@ def job_analytics(
     One row per (posting, industry), and once more for every repeated company id; postings
     without industry or company stay. Many postings share one company or name none at all, so
     the company join is salted. ``heavy_companies`` are the ``heavy_keys`` to salt; counts over
-    any relation that contains the postings will do, e.g. the raw ones.
+    any relation that contains the postings will do, e.g. the raw ones, with the ``fan_out`` of
+    ``industries_per_posting``, as salts are dealt after postings met their industries.
     """
     if heavy_companies is None:
-        heavy_companies = heavy_keys(postings, company_number())
+        heavy_companies = heavy_keys(
+            postings, company_number(), fan_out=industries_per_posting(industries)
+        )
     company = profiles.select(
         "company_id", F.col("name").alias("company_name"), "company_size", "country"
     )

@@ -71,15 +71,19 @@ def dominant_company_size(analytics: DataFrame) -> DataFrame:
 
 
 def busiest_industries(analytics: DataFrame, n: int = INDUSTRIES_SHOWN) -> DataFrame:
-    """The ``n`` industries with most postings, labelled."""
+    """The ``n`` industries with most postings, labelled, in that order.
+
+    Sorted again after the label join, which need not keep an order; the rows are ``n`` at most.
+    """
     top = reports.top_industries(analytics, n).withColumnRenamed("nb_job_postings", "nb_jobs")
-    return with_industry_name(top)
+    return with_industry_name(top).orderBy(F.desc("nb_jobs"), F.asc("industry_id"))
 
 
 def industry_share(analytics: DataFrame) -> DataFrame:
     """Share of each listed industry in the listed total, and its whole-percent blocks."""
     shares = share_of_total(busiest_industries(analytics), "nb_jobs")
-    return shares.withColumn("blocks", display.whole_percent(F.col("pct")))
+    shares = shares.withColumn("blocks", display.whole_percent(F.col("pct")))
+    return shares.orderBy(F.desc("nb_jobs"), F.asc("industry_id"))
 
 
 def waffle_blocks(analytics: DataFrame) -> DataFrame:

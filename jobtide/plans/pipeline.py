@@ -2,48 +2,44 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 
 from jobtide.plans import gold, silver
 from jobtide.schemas import CSV_TABLES, JSON_TABLES
-from jobtide.sources.readers import JSON_LAYOUTS, read_csv
-from jobtide.sources.store import TableStore
+from jobtide.sources.store import TABLES, TableStore
+from jobtide.streaming.ingest import load_table
 
+Options = Mapping[str, Mapping[str, object]]
 
-def load_bronze(
-    store: TableStore, base: str, json_layout: str = "document", **csv_options
-) -> dict[str, DataFrame]:
-    """Read ``<base>/<table>.csv`` and ``<base>/<table>.json`` (file or folder) into bronze."""
-    spark = store.spark
-    loaded = {}
-    for table in CSV_TABLES:
-        df = read_csv(spark, f"{base}/{table}.csv", table, **csv_options)
-        loaded[table] = store.rebuild("bronze", table, df)
-    for table in JSON_TABLES:
-        df = JSON_LAYOUTS[json_layout](spark, f"{base}/{table}.json", table)
-        loaded[table] = store.rebuild("bronze", table, df)
-    return loaded
-
-
-def build_silver(store: TableStore, **posting_options) -> dict[str, DataFrame]:
-    """Rebuild the eight silver tables from bronze."""
-
-    def bronze(table):
-        return store.read("bronze", table)
-
-    plans = {
-        "job_postings": lambda: silver.job_postings(bronze("job_postings"), **posting_options),
-        "benefits": lambda: silver.benefits(bronze("benefits")),
-        "companies": lambda: silver.companies(bronze("companies")),
-        "employee_counts": lambda: silver.employee_counts(bronze("employee_counts")),
-        "job_skills": lambda: silver.job_skills(bronze("job_skills")),
-        "job_industries": lambda: silver.job_industries(bronze("job_industries")),
-        "company_industries": lambda: silver.company_industries(bronze("company_industries")),
-        "company_specialities": lambda: silver.company_specialities(
-            bronze("company_specialities")
-        ),
-    }
-    return {table: store.rebuild("silver", table, plan()) for table, plan in plans.items()}
+
+def load_bronze(store: TableStore, base: str, **options) -> dict[str, DataFrame]:
+    """All files of ``base`` into new bronze tables, which replace the old ones when complete.
+
+    ``options`` as in ``ingest.load_table``, whose loads of later files continue this one.
+    """
+    tables = (*CSV_TABLES, *JSON_TABLES)
+    for table in tables:
+        load_table(store, base, table, full=True, **options)
+    return {table: store.read("bronze", table) for table in tables}
+
+
+def build_silver(store: TableStore, options: Options | None = None) -> dict[str, DataFrame]:
+    """Rebuild the eight silver tables from bronze.
+
+    ``options`` maps a table to the options of its function in ``silver``, for example
+    ``{"job_postings": {"on_bad_epoch": "null"}, "companies": {"on_bad": "null"}}``.
+    """
+    options = options or {}
+    unknown = set(options) - set(TABLES["silver"])
+    if unknown:
+        raise ValueError(f"no silver tables: {sorted(unknown)}")
+    built = {}
+    for table in TABLES["silver"]:
+        plan = getattr(silver, table)(store.read("bronze", table), **options.get(table, {}))
+        built[table] = store.rebuild("silver", table, plan)
+    return built
 
 
 def build_gold(store: TableStore, buckets: int | None = None) -> dict[str, DataFrame]:
@@ -80,11 +76,14 @@ def build_gold(store: TableStore, buckets: int | None = None) -> dict[str, DataF
 
 
 def run(
-    store: TableStore, base: str, json_layout: str = "document", buckets: int | None = None,
-    **csv_options,
+    store: TableStore,
+    base: str,
+    buckets: int | None = None,
+    silver_options: Options | None = None,
+    **load_options,
 ) -> dict[str, DataFrame]:
     """Files to gold; returns the gold tables."""
     store.create_namespaces()
-    load_bronze(store, base, json_layout, **csv_options)
-    build_silver(store)
+    load_bronze(store, base, **load_options)
+    build_silver(store, silver_options)
     return build_gold(store, buckets)

@@ -27,7 +27,7 @@ _VOCABULARIES = {
 }
 
 
-def clean_posting_column(name: str, on_bad_id: str = "fail") -> Column:
+def clean_posting_column(name: str, on_bad_id: str = "fail", on_bad_epoch: str = "fail") -> Column:
     """Cleaned form of one raw posting column; columns without a rule pass through."""
     if name == "job_id":
         return p.strict_id(name, on_bad_id)
@@ -36,7 +36,7 @@ def clean_posting_column(name: str, on_bad_id: str = "fail") -> Column:
     if name in _NUMBERS:
         return p.clean_number(name)
     if name in _EPOCHS:
-        return p.epoch_to_ts(name)
+        return p.epoch_to_ts(name, on_bad_epoch)
     if name in _FLAGS:
         return p.robust_boolean(name)
     if name in _VOCABULARIES:
@@ -63,12 +63,16 @@ def job_postings(
     tie_break: TieBreak = None,
     undated: str = "first",
     on_bad_id: str = "fail",
+    on_bad_epoch: str = "fail",
     key: Sequence[str | Column] = ("job_id",),
 ) -> DataFrame:
     """One clean row per job. Rows are dropped first, so that only kept ones are cleaned."""
     kept = latest_postings(bronze, tie_break, undated, key)
     return kept.select(
-        *[clean_posting_column(c, on_bad_id).alias(c) for c in schemas.JOB_POSTINGS]
+        *[
+            clean_posting_column(c, on_bad_id, on_bad_epoch).alias(c)
+            for c in schemas.JOB_POSTINGS
+        ]
     )
 
 
@@ -105,14 +109,17 @@ def latest_counts(
 
 
 def employee_counts(
-    bronze: DataFrame, tie_break: TieBreak = None, undated: str = "first"
+    bronze: DataFrame,
+    tie_break: TieBreak = None,
+    undated: str = "first",
+    on_bad_epoch: str = "fail",
 ) -> DataFrame:
     """Latest head count of each company."""
     return latest_counts(bronze, tie_break, undated).select(
         p.safe_number("company_id").alias("company_id"),
         p.clean_number("employee_count").alias("employee_count"),
         p.clean_number("follower_count").alias("follower_count"),
-        p.epoch_to_ts("time_recorded").alias("time_recorded"),
+        p.epoch_to_ts("time_recorded", on_bad_epoch).alias("time_recorded"),
     )
 
 

@@ -1,9 +1,11 @@
 """Bronze readers: CSV as declared text columns, JSON as variant.
 
-Spark reads a file of multi-line records in one task. Inputs of many moderate files spread
-well anyway; for few huge ones use the splittable forms: ``multiline=False`` where no field
-holds a line break, ``record_separator="\\r\\n"`` where records end differently from the line
-breaks inside fields, and ``layout="lines"`` for JSON.
+Splittable forms are the default, so that one large file is read by many tasks: CSV with one
+record per line, and JSON with one object (or one whole array) per line. What cannot be split is
+read on request, a file per task: CSV with line breaks inside quoted fields (``multiline``, the
+default of postings alone, whose descriptions have them, unless ``record_separator`` tells records
+from such breaks), JSON objects spread over several lines (``records``, ``document``). A file in
+another form than declared fails the load; it is never read wrongly.
 """
 
 from __future__ import annotations
@@ -15,8 +17,12 @@ from pyspark.sql import types as T
 from jobtide.schemas import CSV_TABLES, DOCUMENT, JSON_TABLES, text_schema
 
 
+#: Inputs whose fields may hold line breaks.
+WITH_LINE_BREAKS = ("job_postings",)
+
+
 def csv_options(
-    multiline: bool = True, record_separator: str | None = None, mode: str = "FAILFAST"
+    multiline: bool = False, record_separator: str | None = None, mode: str = "FAILFAST"
 ) -> dict[str, str]:
     """Reader options: one header line, optional double quotes, three kinds of "nothing".
 
@@ -38,7 +44,9 @@ def csv_options(
 
 
 def read_csv(spark: SparkSession, path: str | list[str], table: str, **options) -> DataFrame:
-    """Rows of one of the CSV inputs, every column text. ``options`` as in ``csv_options``."""
+    """Rows of one of the CSV inputs, every column text. ``options`` as in ``csv_options``;
+    ``multiline`` is on for ``WITH_LINE_BREAKS`` unless given."""
+    options.setdefault("multiline", table in WITH_LINE_BREAKS)
     schema = text_schema(CSV_TABLES[table])
     return spark.read.schema(schema).options(**csv_options(**options)).csv(path)
 
@@ -59,20 +67,29 @@ def read_json_records(spark: SparkSession, path: str | list[str], table: str) ->
 
     Variants, not text: returning JSON numbers as text was measured over twenty times slower.
     """
-    schema = T.StructType([T.StructField(c, T.VariantType()) for c in JSON_TABLES[table]])
+    schema = record_schema(table)
     return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
+def record_schema(table: str) -> T.StructType:
+    """Declared fields of a JSON input, each a variant."""
+    return T.StructType([T.StructField(c, T.VariantType()) for c in JSON_TABLES[table]])
+
+
 def read_json_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per line, as a one-element variant array; files are split over many tasks.
 
     Takes one object per line, bare or as a line of an array (``[``, ``]`` and the commas
     between lines are ignored).
     """
+    return parsed_lines(spark.read.text(path))
+
+
+def parsed_lines(lines: DataFrame) -> DataFrame:
+    """Text lines of JSON as one-element variant arrays, for batches and streams alike."""
     line = F.btrim(F.col("value"), F.lit("[], \t\r"))
     return (
-        spark.read.text(path)
-        .select(line.alias("line"))
+        lines.select(line.alias("line"))
         .where(F.col("line") != "")
         .select(F.parse_json(F.concat(F.lit("["), F.col("line"), F.lit("]"))).alias("data"))
     )

@@ -40,17 +40,32 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+BATCH = "load_batch"
+_DONE = "_SUCCESS"
+
+
+def files(spark: SparkSession, path: str):
+    """(file system, path) of the session's Hadoop configuration."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
 class TableStore:
     """Writes and reads the tables of the three layers.
 
     ``namespace`` prefixes the databases (``jobs_bronze``, ``jobs_silver``, ``jobs_gold``);
-    with ``root`` the tables are Parquet folders ``root/<layer>/<table>`` instead.
+    with ``root`` the tables are Parquet folders ``root/<layer>/<table>`` instead, each with
+    numbered versions, of which the newest finished one counts.
+
+    Replacing a table never touches the old one before the new one is complete. Bronze tables are
+    partitioned by load: files that arrive later are appended to what is there, whoever wrote it.
     """
 
     def __init__(self, spark: SparkSession, namespace: str = "jobs", root: str | None = None):
         self.spark = spark
         self.namespace = namespace
-        self.root = root
+        self.root = root and root.rstrip("/")
+        self._views: tuple[str, ...] = ()
 
     def create_namespaces(self) -> None:
         """Create the databases that do not exist yet."""
@@ -66,6 +81,96 @@ class TableStore:
             return f"{self.namespace}_{layer}.{table}"
         return f"{self.root}/{layer}/{table}"
 
+    # --- versions ---
+
+    def _versions(self, layer: str, table: str) -> list[str]:
+        """Finished versions of a folder table, oldest first."""
+        fs, path = files(self.spark, self.name(layer, table))
+        if not fs.exists(path):
+            return []
+        name = self.name(layer, table)
+        return [
+            v for v in self._all(layer, table)
+            if fs.exists(files(self.spark, f"{name}/{v}/{_DONE}")[1])
+        ]
+
+    def _exists(self, name: str) -> bool:
+        return self.spark.catalog.tableExists(name)
+
+    def _recover(self, name: str) -> None:
+        """Finish a replacement that was interrupted between its two renames."""
+        if not self._exists(name) and self._exists(f"{name}__old"):
+            self.spark.sql(f"ALTER TABLE {name}__old RENAME TO {name}")
+
+    def exists(self, layer: str, table: str) -> bool:
+        if self.root is None:
+            self._recover(self.name(layer, table))
+            return self._exists(self.name(layer, table))
+        return bool(self._versions(layer, table))
+
+    def generation(self, layer: str, table: str) -> str | None:
+        """Which full load the table stems from; None if there is no table."""
+        if not self.exists(layer, table):
+            return None
+        if self.root is not None:
+            return self._versions(layer, table)[-1]
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.name(layer, table)}").collect()
+        return {r["key"]: r["value"] for r in rows}.get("generation", "first")
+
+    def begin(self, layer: str, table: str) -> str:
+        """Name of a new version, empty and not yet in use; ``finish`` puts it in its place."""
+        mark = uuid.uuid4().hex
+        if self.root is None:
+            return mark
+        made = [int(v[1:9]) for v in self._all(layer, table)]
+        return f"v{max(made, default=0) + 1:08d}-{mark}"
+
+    def _all(self, layer: str, table: str) -> list[str]:
+        fs, path = files(self.spark, self.name(layer, table))
+        if not fs.exists(path):
+            return []
+        names = [status.getPath().getName() for status in fs.listStatus(path)]
+        return sorted(n for n in names if re.fullmatch(r"v\d{8}-\w+", n))
+
+    def place(self, layer: str, table: str, version: str) -> str:
+        """Folder, or table, that holds a version until and (folders) after it is finished."""
+        name = self.name(layer, table)
+        return f"{name}__{version}" if self.root is None else f"{name}/{version}"
+
+    def finish(self, layer: str, table: str, version: str) -> None:
+        """Make a complete version the table. The one before stays for those who read it now."""
+        name = self.name(layer, table)
+        if self.root is not None:
+            fs, done = files(self.spark, f"{name}/{version}/{_DONE}")
+            if not fs.exists(done):
+                fs.create(done).close()
+            for old in self._all(layer, table)[:-2]:
+                gone = files(self.spark, f"{name}/{old}")
+                gone[0].delete(gone[1], True)
+            return
+        sql, place = self.spark.sql, self.place(layer, table, version)
+        sql(f"ALTER TABLE {place} SET TBLPROPERTIES ('generation' = '{version}')")
+        sql(f"DROP TABLE IF EXISTS {name}__old")
+        if self._exists(name):
+            sql(f"ALTER TABLE {name} RENAME TO {name}__old")
+        sql(f"ALTER TABLE {place} RENAME TO {name}")
+        if layer == "bronze":
+            self._follow_rename(name)
+        sql(f"DROP TABLE IF EXISTS {name}__old")
+
+    def _follow_rename(self, name: str) -> None:
+        """Point the loads of a renamed table to its folder, where the catalog has not done so."""
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+        folder = next(r["data_type"] for r in rows if r["col_name"] == "Location")
+        for row in self.spark.sql(f"SHOW PARTITIONS {name}").collect():
+            self.spark.sql(
+                f"ALTER TABLE {name} PARTITION ({row['partition']}) "
+                f"SET LOCATION '{folder}/{row['partition']}'"
+            )
+        self.spark.catalog.refreshTable(name)
+
+    # --- whole tables ---
+
     def rebuild(
         self,
         layer: str,
@@ -76,38 +181,82 @@ class TableStore:
     ) -> DataFrame:
         """Replace a table by ``df`` and return the table as stored.
 
-        With ``buckets`` a managed table is bucketed and sorted by ``bucket_by``; joins of two
-        tables bucketed alike on their key then read without a shuffle.
+        If ``df`` fails, the old table is as it was. With ``buckets`` a managed table is bucketed
+        and sorted by ``bucket_by``; joins of two tables bucketed alike on their key then read
+        without a shuffle. Folder tables cannot be bucketed and refuse.
+        """
+        if buckets and self.root is not None:
+            raise ValueError("only tables in databases can be bucketed, not folders")
+        if buckets and not bucket_by:
+            raise ValueError("buckets need bucket_by")
+        version = self.begin(layer, table)
+        place = self.place(layer, table, version)
+        if layer == "bronze":
+            df = df.withColumn(BATCH, F.lit(-1).cast("bigint"))
+        if self.root is None:
+            self._recover(self.name(layer, table))
+        if buckets:
+            df = df.repartition(buckets, bucket_by)
+        writer = df.write.format("parquet")
+        if layer == "bronze":
+            writer = writer.partitionBy(BATCH)
+        if buckets:
+            writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+        writer.save(place) if self.root is not None else writer.saveAsTable(place)
+        self.finish(layer, table, version)
+        return self.read(layer, table)
+
+    def append_batch(
+        self, layer: str, table: str, df: DataFrame, batch: int, version: str | None = None
+    ) -> None:
+        """Add one load to the table, or to an unfinished ``version`` of it.
+
+        A load replaces what it wrote itself before, so repeating it after a failure is safe.
         """
         name = self.name(layer, table)
+        df = df.withColumn(BATCH, F.lit(batch).cast("bigint"))
         if self.root is not None:
-            df.write.mode("overwrite").parquet(name)
-        elif buckets and bucket_by:
-            (
-                df.repartition(buckets, bucket_by)
-                .write.mode("overwrite")
-                .bucketBy(buckets, bucket_by)
-                .sortBy(bucket_by)
-                .format("parquet")
-                .saveAsTable(name)
-            )
-        else:
-            df.write.mode("overwrite").format("parquet").saveAsTable(name)
-        return self.read(layer, table)
+            target = f"{name}/{version or self._versions(layer, table)[-1]}"
+            df.drop(BATCH).write.mode("overwrite").parquet(f"{target}/{BATCH}={batch}")
+            return
+        target = self.place(layer, table, version) if version else name
+        if not self._exists(target):
+            df.write.format("parquet").partitionBy(BATCH).saveAsTable(target)
+            return
+        columns = ", ".join(f"`{c}`" for c in self.spark.table(target).columns if c != BATCH)
+        session, view = df.sparkSession, f"load_{uuid.uuid4().hex}"
+        df.createOrReplaceTempView(view)
+        session.sql(
+            f"INSERT OVERWRITE TABLE {target} PARTITION ({BATCH} = {batch}) "
+            f"SELECT {columns} FROM {view}"
+        )
+        session.catalog.dropTempView(view)
 
     def read(self, layer: str, table: str) -> DataFrame:
+        """The table as it is now."""
         name = self.name(layer, table)
-        return self.spark.table(name) if self.root is None else self.spark.read.parquet(name)
+        if self.root is None:
+            self._recover(name)
+            df = self.spark.table(name)
+        else:
+            versions = self._versions(layer, table)
+            if not versions:
+                raise ValueError(f"there is no table {name}")
+            df = self.spark.read.parquet(f"{name}/{versions[-1]}")
+        return df.drop(BATCH) if layer == "bronze" else df
 
     def use(self, layer: str) -> None:
         """Make ``layer`` current, so that SQL text can name its tables without a prefix.
 
-        Folder tables become temporary views.
+        Folder tables become temporary views, and those of the layer used before go.
         """
         if self.root is None:
             self.spark.catalog.setCurrentDatabase(f"{self.namespace}_{layer}")
             return
-        for table in TABLES[layer]:
+        for view in self._views:
+            self.spark.catalog.dropTempView(view)
+        self._views = tuple(t for t in TABLES[layer] if self.exists(layer, t))
+        for table in self._views:
             self.read(layer, table).createOrReplaceTempView(table)
 
     def preview(self, layer: str, table: str, n: int = 20) -> DataFrame:

@@ -1,76 +1,145 @@
-"""Incremental bronze loads: a file that was loaded once is not loaded again."""
+"""Bronze loads: a file that was loaded once is not loaded again.
+
+Full and incremental loads are the same stream over an input's files. A full load starts a new
+version of the table with a new record of loaded files, and takes its place when complete; later
+loads add the files that have come since, each load as a partition of its own.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from jobtide.schemas import CSV_TABLES, JSON_TABLES, text_schema
-from jobtide.sources.readers import csv_options
-from jobtide.sources.store import TableStore
+from jobtide.sources.readers import WITH_LINE_BREAKS, csv_options, parsed_lines, record_schema
+from jobtide.sources.store import TableStore, files
+
+def _reader(spark: SparkSession, max_files_per_trigger: int | None):
+    reader = spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader
 
 
 def stream_csv(
     spark: SparkSession,
-    folder: str,
+    path: str,
     table: str,
     max_files_per_trigger: int | None = None,
     **options,
 ) -> DataFrame:
-    """Streaming rows of a folder of CSV files of one input."""
-    reader = spark.readStream.schema(text_schema(CSV_TABLES[table])).options(**csv_options(**options))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(folder)
+    """Streaming rows of the CSV files of one input; ``options`` as in ``readers.read_csv``."""
+    options.setdefault("multiline", table in WITH_LINE_BREAKS)
+    reader = _reader(spark, max_files_per_trigger).schema(text_schema(CSV_TABLES[table]))
+    return reader.options(**csv_options(**options)).csv(path)
 
 
-def stream_json_documents(
-    spark: SparkSession, folder: str, max_files_per_trigger: int | None = None
+def stream_json(
+    spark: SparkSession,
+    path: str,
+    table: str,
+    max_files_per_trigger: int | None = None,
+    layout: str = "lines",
 ) -> DataFrame:
-    """Streaming variant documents of a folder of JSON files, one per file."""
-    reader = spark.readStream.option("multiLine", True).option("singleVariantColumn", "data")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(folder)
+    """Streaming rows of the JSON files of one input, in any of the readers' layouts.
+
+    ``lines`` splits files over tasks; ``records`` and ``document`` take a file to a task.
+    """
+    reader = _reader(spark, max_files_per_trigger)
+    if layout == "lines":
+        return parsed_lines(reader.text(path))
+    reader = reader.option("multiLine", True)
+    if layout == "records":
+        return reader.schema(record_schema(table)).option("mode", "FAILFAST").json(path)
+    if layout == "document":
+        return reader.option("singleVariantColumn", "data").json(path)
+    raise ValueError(f"unknown layout {layout!r}")
+
+
+def input_path(spark: SparkSession, base: str, table: str) -> str:
+    """``<base>/<table>`` or ``<base>/<table>.csv`` / ``.json``, a file or a folder of files.
+
+    Batch and incremental loads read the same place. None or both of them is an error.
+    """
+    ending = "csv" if table in CSV_TABLES else "json"
+    found = []
+    for path in (f"{base}/{table}", f"{base}/{table}.{ending}"):
+        fs, at = files(spark, path)
+        if fs.exists(at):
+            # A stream lists folders or patterns: a single file is a pattern that matches it.
+            single = fs.getFileStatus(at).isFile()
+            found.append(f"{path[:-1]}[{path[-1]}]" if single else path)
+    if len(found) != 1:
+        raise ValueError(f"expected one input for {table} below {base}, found {found}")
+    return found[0]
 
 
 def append_new_files(
-    stream: DataFrame, target: str, checkpoint: str, managed: bool = False
+    stream: DataFrame,
+    store: TableStore,
+    table: str,
+    checkpoint: str,
+    version: str | None = None,
 ) -> None:
-    """Load everything that arrived since the last call into ``target`` and return.
+    """Load what has arrived since the last call into a bronze table, and return.
 
-    ``target`` is a Parquet folder, or a table name with ``managed``. ``checkpoint`` remembers
-    the loaded files and the sink commits each batch as a whole, so a rerun, also after a
-    failure, neither repeats nor loses rows. Keep both on shared storage, and do not write the
-    target by other means.
+    ``checkpoint`` remembers the loaded files. Each micro-batch writes a partition under its own
+    number and writes it anew when it is repeated after a failure, so rows are neither repeated
+    nor lost, and rows that were in the table before stay. Numbers never clash, as a new version
+    of the table starts a new checkpoint. Keep the checkpoint on shared storage.
     """
-    writer = (
-        stream.writeStream.format("parquet")
+
+    def add(batch: DataFrame, number: int) -> None:
+        store.append_batch("bronze", table, batch, number, version)
+
+    query = (
+        stream.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
+        .start()
     )
-    query = writer.toTable(target) if managed else writer.start(target)
     query.awaitTermination()
 
 
-def load_new_files(
+def checkpoint_root(store: TableStore) -> str:
+    """Where loads are remembered unless told otherwise: beside the tables."""
+    if store.root is not None:
+        return f"{store.root}/checkpoints"
+    warehouse = store.spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return f"{warehouse}/{store.namespace}_checkpoints"
+
+
+def load_table(
     store: TableStore,
     base: str,
-    checkpoints: str,
+    table: str,
+    full: bool = False,
+    checkpoints: str | None = None,
+    json_layout: str = "lines",
     max_files_per_trigger: int | None = None,
     **csv,
 ) -> None:
-    """Bring all eight bronze tables up to date from the folders ``<base>/<table>/``.
+    """Bring one bronze table up to date, or load it anew from all files (``full``).
 
-    The rerun-safe counterpart of a full bronze load: files loaded by an earlier call are
-    skipped, new ones are appended.
+    A table that does not exist yet is loaded in full. A failing full load leaves the old table.
     """
+    path = input_path(store.spark, base, table)
+    if table in CSV_TABLES:
+        stream = stream_csv(store.spark, path, table, max_files_per_trigger, **csv)
+    else:
+        stream = stream_json(store.spark, path, table, max_files_per_trigger, json_layout)
+    now = None if full else store.generation("bronze", table)
+    version = store.begin("bronze", table) if now is None else None
+    checkpoint = f"{checkpoints or checkpoint_root(store)}/{table}/{version or now}"
+    if version is None:
+        append_new_files(stream, store, table, checkpoint)
+        return
+    empty = store.spark.createDataFrame([], stream.schema)
+    store.append_batch("bronze", table, empty, -1, version)  # the schema, if no file has come yet
+    append_new_files(stream, store, table, checkpoint, version)
+    store.finish("bronze", table, version)
+
+
+def load_new_files(store: TableStore, base: str, checkpoints: str | None = None, **options) -> None:
+    """Bring all eight bronze tables up to date; ``options`` as in ``load_table``."""
     for table in (*CSV_TABLES, *JSON_TABLES):
-        folder = f"{base}/{table}"
-        if table in CSV_TABLES:
-            stream = stream_csv(store.spark, folder, table, max_files_per_trigger, **csv)
-        else:
-            stream = stream_json_documents(store.spark, folder, max_files_per_trigger)
-        append_new_files(
-            stream, store.name("bronze", table), f"{checkpoints}/{table}", store.root is None
-        )
+        load_table(store, base, table, checkpoints=checkpoints, **options)

@@ -61,3 +61,10 @@ def test_pairs_are_distinct_after_folding(spark):
     doc = '[{"company_id": 1, "industry": " IT "}, {"company_id": 1, "industry": "it"}, {"company_id": 1, "industry": " "}]'
     got = {tuple(r) for r in silver.company_industries(documents(spark, doc)).collect()}
     assert got == {(1, "it"), (1, None)}
+
+
+def test_the_callers_columns_stay(spark):
+    from jobtide.operators.flatten import explode_elements
+
+    df = spark.sql("SELECT 1 AS key, 2 AS pos, parse_json('[5, 6]') AS data")
+    assert sorted((r.key, r.pos) for r in explode_elements(df).select("key", "pos").collect()) == [(1, 2), (1, 2)]

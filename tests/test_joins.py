@@ -38,11 +38,20 @@ def test_salted_join_equals_plain_join(spark, tables, rows_per_salt, broadcast):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def test_heavy_keys_are_bounded_and_sized(tables):
+def test_heavy_keys_are_sized(tables):
     left, _ = tables
-    heavy = {r[0]: r[1] for r in heavy_keys(left, F.col("k"), 10, limit=3).collect()}
-    assert len(heavy) <= 3 and heavy[1] == 30
-    assert None not in heavy
+    heavy = {r[0]: r[1] for r in heavy_keys(left, F.col("k"), 10).collect()}
+    assert heavy[1] == 30 and None not in heavy
+    fanned = {r[0]: r[1] for r in heavy_keys(left, F.col("k"), 10, fan_out=4.0).collect()}
+    assert fanned[1] == 120 and set(heavy) <= set(fanned)
+
+
+def test_no_heavy_key_is_left_out(spark):
+    """1,500 keys above the limit: all are listed; the list is bounded by a share of the rows."""
+    left = spark.range(4500).select(F.col("id"), (F.col("id") % 1500).alias("k"))
+    assert heavy_keys(left, F.col("k"), 2).count() == 1500
+    one = spark.range(200_000).select(F.when(F.col("id") < 1000, 0).otherwise(F.col("id")).alias("k"))
+    assert [tuple(r) for r in heavy_keys(one, F.col("k"), 1).collect()] == [(0, 50)]
 
 
 def test_hot_and_null_keys_are_spread(spark, tables):

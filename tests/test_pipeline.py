@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from inputs import write_files, write_folders
+from inputs import POSTING, write_files, write_folders
 from jobtide.plans import gold, panels, pipeline, reports, silver
 from jobtide.sources.store import TABLES, TableStore, fetch
 from jobtide.streaming import ingest
@@ -118,15 +118,14 @@ def test_raw_ids_count_as_different_jobs_unless_asked(spark):
 def test_incremental_load_skips_loaded_files(spark, tmp_path):
     base = write_folders(tmp_path / "in")
     store = TableStore(spark, root=str(tmp_path / "out"))
-    checkpoints = str(tmp_path / "checkpoints")
     for _ in range(2):
-        ingest.load_new_files(store, base, checkpoints)
+        ingest.load_new_files(store, base)
     assert store.read("bronze", "job_postings").count() == 5
     assert store.read("bronze", "companies").count() == 1
     more = tmp_path / "in" / "job_skills" / "more.csv"
     more.write_text("job_id,skill_abr\n9,NEW\n")
     (tmp_path / "in" / "companies" / "more.json").write_text('[{"company_id": 77, "name": "New"}]')
-    ingest.load_new_files(store, base, checkpoints, max_files_per_trigger=1)
+    ingest.load_new_files(store, base, max_files_per_trigger=1)
     assert store.read("bronze", "job_skills").count() == 7
     assert silver.companies(store.read("bronze", "companies")).where("company_id = 77").count() == 1
     pipeline.build_silver(store)
@@ -138,5 +137,88 @@ def test_incremental_load_into_managed_tables(spark, tmp_path):
     store = TableStore(spark, "incremental")
     store.create_namespaces()
     for _ in range(2):
-        ingest.load_new_files(store, base, str(tmp_path / "checkpoints"))
+        ingest.load_new_files(store, base)
     assert store.read("bronze", "job_postings").count() == 5
+
+
+@pytest.mark.parametrize("managed", [True, False])
+def test_batch_and_later_files_share_a_table(spark, tmp_path, managed):
+    """Rows written directly, a full load, arrivals, idle reruns, another full load: every row once."""
+    base, skills = tmp_path / "in", tmp_path / "in" / "job_skills"
+    write_folders(base)
+    name = "mixed" if managed else None
+    store = TableStore(spark, name) if managed else TableStore(spark, root=str(tmp_path / "out"))
+    store.create_namespaces()
+
+    def rows():
+        return sorted((r.job_id, r.skill_abr) for r in store.read("bronze", "job_skills").collect())
+
+    def load(full=False):
+        ingest.load_table(store, str(base), "job_skills", full=full)
+        return rows()
+
+    store.rebuild("bronze", "job_skills", spark.createDataFrame([("7", "X"), ("8", "Y")], "job_id string, skill_abr string"))
+    files = [("1", " IT "), ("1", "it"), ("2", "HCPR"), ("3", " "), ("3", "IT"), ("bad", "IT")]
+    assert load() == sorted([*files, ("7", "X"), ("8", "Y")])
+    assert load(full=True) == sorted(files)
+    (skills / "more.csv").write_text("job_id,skill_abr\n9,NEW\n")
+    assert load() == load() == sorted([*files, ("9", "NEW")])
+    assert load(full=True) == sorted([*files, ("9", "NEW")])
+    (skills / "last.csv").write_text("job_id,skill_abr\n10,\n")
+    assert len(load()) == 8 and ("10", None) in [(r.job_id, r.skill_abr) for r in store.read("bronze", "job_skills").collect()]
+
+
+def test_failing_full_load_leaves_the_old_table(spark, tmp_path):
+    write_folders(tmp_path / "in")
+    store = TableStore(spark, root=str(tmp_path / "out"))
+    ingest.load_table(store, str(tmp_path / "in"), "job_skills")
+    (tmp_path / "in" / "job_skills" / "bad.csv").write_text("job_id,skill_abr\n1\n")
+    with pytest.raises(Exception, match="MALFORMED"):
+        ingest.load_table(store, str(tmp_path / "in"), "job_skills", full=True)
+    assert store.read("bronze", "job_skills").count() == 6
+
+
+def test_json_layouts_load_alike(spark, tmp_path):
+    write_folders(tmp_path / "in")
+    for layout in ("lines", "records", "document"):
+        store = TableStore(spark, root=str(tmp_path / layout))
+        ingest.load_table(store, str(tmp_path / "in"), "companies", json_layout=layout)
+        assert silver.companies(store.read("bronze", "companies")).count() == 3
+
+
+def test_dirty_files_fail_or_finish_with_nulls(spark, tmp_path):
+    base = tmp_path / "in"
+    write_folders(base)
+    head = ",".join(POSTING)
+    row = ["x" if c == "job_id" else "9" * 30 if c == "expiry" else "" for c in POSTING]
+    (base / "job_postings" / "dirty.csv").write_text(f"{head}\n{','.join(row)}\n")
+    (base / "companies" / "dirty.json").write_text('[{"company_id": "abc", "name": "Bad"}]')
+    store = TableStore(spark, root=str(tmp_path / "out"))
+    with pytest.raises(Exception):
+        pipeline.run(store, str(base))
+    gold_tables = pipeline.run(
+        store,
+        str(base),
+        silver_options={
+            "job_postings": {"on_bad_id": "null", "on_bad_epoch": "null"},
+            "companies": {"on_bad": "null"},
+        },
+    )
+    assert gold_tables["job_analytics"].count() == 5
+    bad = store.read("silver", "job_postings").where("job_id IS NULL").first()
+    assert bad is not None and bad.expiry is None
+    with pytest.raises(ValueError, match="no silver tables"):
+        pipeline.build_silver(store, {"postings": {}})
+
+
+def test_listed_industries_keep_their_order(spark):
+    columns = "industry_id int, title string, formatted_work_type string"
+    rows = [(code, "t", "x") for code in range(60, 75) for _ in range(code % 7 + 1)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for panel in (panels.busiest_industries, panels.industry_share):
+            found = [(-r.nb_jobs, r.industry_id) for r in panel(spark.createDataFrame(rows, columns)).collect()]
+            assert len(found) == 10 and found == sorted(found)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

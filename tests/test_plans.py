@@ -2,9 +2,9 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from workload import registry
 
-QUERIES = entry.queries()
+QUERIES = registry.QUERIES
 WRITING = {"csv_bronze_roundtrip", "json_bronze_roundtrip", "json_lines_bronze", "incremental_ingest"}
 
 

@@ -20,7 +20,9 @@ def test_declared_columns():
 def test_csv_quotes_newlines_and_three_kinds_of_nothing(spark, tmp_path):
     path = tmp_path / "b.csv"
     path.write_text('a,b,c\n1,"he said ""hi"", ok\nline2",\n2,"",x\n\\N, y ,"z"\n', encoding="utf-8")
-    got = readers.read_csv(spark, str(path), "benefits").collect()
+    with pytest.raises(Exception, match="MALFORMED_CSV_RECORD"):  # never read wrongly
+        readers.read_csv(spark, str(path), "benefits").collect()
+    got = readers.read_csv(spark, str(path), "benefits", multiline=True).collect()
     assert [tuple(r) for r in got] == [
         ("1", 'he said "hi", ok\nline2', None), ("2", "", "x"), (None, " y ", "z"),
     ]
@@ -122,6 +124,69 @@ def test_tables_bucketed_alike_join_without_a_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+@pytest.mark.parametrize("managed", [True, False])
+def test_failing_rebuild_leaves_the_old_table(spark, tmp_path, managed):
+    store = TableStore(spark, "atomic") if managed else TableStore(spark, root=str(tmp_path))
+    store.create_namespaces()
+    store.rebuild("silver", "job_skills", spark.range(3))
+    with pytest.raises(Exception, match="no such number"):
+        store.rebuild("silver", "job_skills", spark.range(5).selectExpr("if(id = 4, raise_error('no such number'), id) AS id"))
+    assert store.read("silver", "job_skills").count() == 3
+    assert store.rebuild("silver", "job_skills", store.read("silver", "job_skills").where("id < 2")).count() == 2
+
+
+def test_interrupted_replacement_is_finished(spark):
+    store = TableStore(spark, "interrupted")
+    store.create_namespaces()
+    store.rebuild("gold", "job_skills", spark.range(3))
+    name = store.name("gold", "job_skills")
+    spark.sql(f"ALTER TABLE {name} RENAME TO {name}__old")  # where a crash may have stopped
+    assert store.read("gold", "job_skills").count() == 3
+
+
+def test_buckets_are_never_ignored(spark, tmp_path):
+    with pytest.raises(ValueError, match="bucketed"):
+        TableStore(spark, root=str(tmp_path)).rebuild("gold", "job_skills", spark.range(3), "id", 4)
+    with pytest.raises(ValueError, match="bucket_by"):
+        TableStore(spark).rebuild("gold", "job_skills", spark.range(3), buckets=4)
+
+
+def test_views_follow_the_current_layer(spark, tmp_path):
+    store = TableStore(spark, root=str(tmp_path))
+    store.rebuild("silver", "benefits", spark.range(1))
+    store.rebuild("gold", "job_skills", spark.range(2))
+    store.use("silver")
+    assert spark.table("benefits").count() == 1
+    store.use("gold")
+    assert spark.table("job_skills").count() == 2
+    with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
+        spark.table("benefits")
+
+
+def test_one_file_is_read_by_several_tasks(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("job_id,skill_abr\n" + "1,abcdefgh\n" * 40_000)
+    (tmp_path / "s.json").write_text('{"job_id": 1, "industry_id": 2}\n' * 20_000)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for key in before:
+        spark.conf.set(key, "65536")
+    try:
+        for df, rows in (
+            (readers.read_csv(spark, str(tmp_path / "s.csv"), "job_skills"), 40_000),
+            (readers.read_json_lines(spark, str(tmp_path / "s.json")), 20_000),
+        ):
+            assert df.rdd.getNumPartitions() > 4 and df.count() == rows
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    if spark.conf.get("spark.checkpoint.dir", None) is None:
+        monkeypatch.setattr(type(spark.sparkContext), "master", "spark://host:7077", raising=False)
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_path(spark, "x")
+
+
 def test_fetch_refuses_large_results(spark):
     assert len(fetch(spark.range(5), 5)) == 5
     with pytest.raises(ValueError):
