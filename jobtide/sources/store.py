@@ -263,11 +263,11 @@ class TableStore:
         """A look at the content: ``n`` rows, whichever are found first."""
         return self.read(layer, table).limit(n)
 
-    def row_counts(self, layer: str) -> DataFrame:
-        """Rows of every table of a layer, counted in one job."""
+    def row_counts(self, layer: str, tables: tuple[str, ...] | None = None) -> DataFrame:
+        """Rows of every table of a layer, or of the given ones, counted in one job."""
         counts = [
             self.read(layer, table).agg(F.lit(table).alias("table"), F.count("*").alias("rows"))
-            for table in TABLES[layer]
+            for table in tables or TABLES[layer]
         ]
         return reduce(DataFrame.unionByName, counts)
 

@@ -14,7 +14,8 @@ from jobtide.sources.readers import WITH_LINE_BREAKS, csv_options, parsed_lines,
 from jobtide.sources.store import TableStore, files
 
 def _reader(spark: SparkSession, max_files_per_trigger: int | None):
-    reader = spark.readStream
+    # Files in folders below the input's own count as well.
+    reader = spark.readStream.option("recursiveFileLookup", True)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader

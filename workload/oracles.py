@@ -8,7 +8,60 @@ from __future__ import annotations
 
 import re
 
-from jobtide.functions.vocabulary import INDUSTRIES
+# Industry codes and labels, spelled out here so that the check is independent.
+DIMENSION = (
+    (1, 'Defense & Space'), (3, 'Computer Hardware'), (4, 'Computer Software'),
+    (5, 'Computer Networking'), (6, 'Internet'), (7, 'Computer & Network Security'),
+    (8, 'Information Technology & Services'), (9, 'Semiconductors'), (10, 'Telecommunications'),
+    (11, 'Law Practice'), (12, 'Legal Services'), (13, 'Management Consulting'),
+    (14, 'Biotechnology'), (15, 'Medical Practice'), (16, 'Hospital & Health Care'),
+    (17, 'Pharmaceuticals'), (18, 'Veterinary'), (19, 'Medical Devices'), (20, 'Cosmetics'),
+    (21, 'Apparel & Fashion'), (22, 'Sporting Goods'), (23, 'Tobacco'), (24, 'Supermarkets'),
+    (25, 'Food Production'), (26, 'Consumer Electronics'), (27, 'Consumer Goods'),
+    (28, 'Furniture'), (29, 'Retail'), (30, 'Entertainment'), (31, 'Gambling & Casinos'),
+    (32, 'Leisure, Travel & Tourism'), (33, 'Hospitality'), (34, 'Restaurants'), (35, 'Sports'),
+    (36, 'Food & Beverages'), (37, 'Motion Pictures & Film'), (38, 'Broadcast Media'),
+    (39, 'Museums & Institutions'), (40, 'Fine Art'), (41, 'Performing Arts'),
+    (42, 'Recreational Facilities & Services'), (43, 'Banking'), (44, 'Insurance'),
+    (45, 'Financial Services'), (46, 'Real Estate'), (47, 'Investment Banking'),
+    (48, 'Investment Management'), (49, 'Accounting'), (50, 'Construction'),
+    (51, 'Building Materials'), (52, 'Architecture & Planning'), (53, 'Civil Engineering'),
+    (54, 'Aviation & Aerospace'), (55, 'Automotive'), (56, 'Chemicals'), (57, 'Machinery'),
+    (58, 'Mining & Metals'), (59, 'Oil & Energy'), (60, 'Utilities'), (61, 'Shipbuilding'),
+    (62, 'Packaging & Containers'), (63, 'Railroad Manufacture'),
+    (64, 'Renewables & Environment'), (65, 'Glass, Ceramics & Concrete'), (66, 'Textiles'),
+    (67, 'Warehousing'), (68, 'Airlines/Aviation'), (69, 'Maritime'),
+    (70, 'Transportation/Trucking/Railroad'), (71, 'Logistics & Supply Chain'),
+    (72, 'Import & Export'), (73, 'Primary/Secondary Education'), (74, 'Higher Education'),
+    (75, 'Education Management'), (76, 'Research'), (77, 'Military'), (78, 'Legislative Office'),
+    (79, 'Judiciary'), (80, 'International Affairs'), (81, 'Government Administration'),
+    (82, 'Executive Office'), (83, 'Law Enforcement'), (84, 'Public Safety'),
+    (85, 'Public Policy'), (86, 'Marketing & Advertising'), (87, 'Newspapers'),
+    (88, 'Publishing'), (89, 'Printing'), (90, 'Information Services'), (91, 'Libraries'),
+    (92, 'Environmental Services'), (93, 'Package/Freight Delivery'),
+    (94, 'Individual & Family Services'), (95, 'Religious Institutions'),
+    (96, 'Civic & Social Organization'), (97, 'Consumer Services'),
+    (98, 'Nonprofit Organization Management'), (99, 'Fund-Raising'), (100, 'Program Development'),
+    (101, 'Writing & Editing'), (102, 'Staffing & Recruiting'),
+    (103, 'Professional Training & Coaching'), (104, 'Market Research'),
+    (105, 'Public Relations & Communications'), (106, 'Design'), (107, 'Graphic Design'),
+    (108, 'Photography'), (109, 'Arts & Crafts'), (110, 'Animation'), (111, 'Music'),
+    (112, 'Online Media'), (113, 'Events Services'), (114, 'Business Supplies & Equipment'),
+    (115, 'E-Learning'), (116, 'Outsourcing/Offshoring'), (117, 'Facilities Services'),
+    (118, 'Human Resources'), (119, 'Venture Capital & Private Equity'), (120, 'Think Tanks'),
+    (121, 'Nanotechnology'), (122, 'Computer Games'), (123, 'Alternative Medicine'),
+    (124, 'Health, Wellness & Fitness'), (125, 'Alternative Dispute Resolution'),
+    (126, 'Mental Health Care'), (127, 'Philanthropy'),
+    (128, 'International Trade & Development'), (129, 'Wireless'), (130, 'Capital Markets'),
+    (131, 'Political Organization'), (132, 'Translation & Localization'),
+    (133, 'Computer & Network Security'), (134, 'Farming'), (135, 'Ranching'), (136, 'Dairy'),
+    (137, 'Fishery'), (138, 'Paper & Forest Products'), (139, 'Forestry'),
+    (140, 'Luxury Goods & Jewelry'), (141, 'Renewables & Environment'),
+    (142, 'Mechanical or Industrial Engineering'), (143, 'Industrial Automation'),
+    (144, 'Electrical/Electronic Manufacturing'), (145, 'Plastics'), (146, 'Rubber & Plastics'),
+    (147, 'Wholesale'), (148, 'Commercial Real Estate'), (149, 'Banking'),
+    (150, 'Leasing Real Estate'),
+)
 
 SPELLED_NULL = "CAST(NULL AS VARCHAR)"
 
@@ -153,6 +206,7 @@ def _words(c: str, pairs: list[tuple[str, str]]) -> str:
     return f"CASE {arms} ELSE {text(c)} END"
 
 
+# Fixed values below: vocabularies, colours and sentences that results must contain.
 def pay_period(c: str) -> str:
     return _words(c, [
         ("yearly", "'per year','par an','annuel'"),
@@ -271,7 +325,7 @@ VIEWS |= {
     "analytics": _analytics("g_industries"),
     "analytics_gaps": _analytics("g_industries_gaps"),
     "dimension": "SELECT * FROM (VALUES "
-    + ", ".join(f"({i}, '{n}')" for i, n in INDUSTRIES.items())
+    + ", ".join(f"({code}, '{label}')" for code, label in DIMENSION)
     + ") AS d(code, label)",
     "title_counts": """
         SELECT industry_id, title, count(*) AS n FROM analytics
@@ -442,6 +496,19 @@ FINAL = {
     "json_bronze_roundtrip": "SELECT * FROM s_companies",
     "json_lines_bronze": "SELECT * FROM s_industries",
     "incremental_ingest": "SELECT * FROM b_skills",
+    "bronze_batch_then_stream": "SELECT * FROM b_skills",
+    "bronze_full_reload": "SELECT * FROM b_skills",
+    "json_records_bronze": "SELECT * FROM s_companies",
+    "benefits_bronze": "SELECT job_id, inferred, type FROM b_benefits",
+    "employee_counts_bronze": """SELECT company_id, employee_count, follower_count, time_recorded
+        FROM b_counts""",
+    "company_industries_bronze": "SELECT * FROM s_company_industries",
+    "company_specialities_bronze": "SELECT * FROM s_company_specialities",
+    "store_rebuild": "SELECT * FROM g_skills",
+    "namespaced_row_counts": """SELECT 'job_skills' AS "table", count(*) AS rows FROM s_skills
+        UNION ALL SELECT 'job_industries', count(*) FROM s_industries""",
+    "current_layer_sql": """SELECT skill_abr, count(*) AS pairs, count(DISTINCT job_id) AS jobs
+        FROM g_skills GROUP BY skill_abr""",
 }
 
 

@@ -6,6 +6,7 @@ the same values.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -20,7 +21,7 @@ from jobtide.operators.flatten import explode_elements, variant_field
 from jobtide.operators.joins import heavy_keys
 from jobtide.plans import gold, panels, reports, silver
 from jobtide.sources import readers
-from jobtide.sources.store import scratch_path
+from jobtide.sources.store import TableStore, scratch_path
 from jobtide.streaming import ingest
 from workload import relations as r
 
@@ -287,7 +288,10 @@ def gold_company_profile(spark, sf_dir):
 
 def _analytics(spark, sf_dir, industries=r.job_industries, **heavy_options):
     heavy = heavy_keys(
-        r.posting_companies(spark, sf_dir), gold.company_number(), **heavy_options
+        r.posting_companies(spark, sf_dir),
+        gold.company_number(),
+        fan_out=gold.industries_per_posting(industries(spark, sf_dir)),
+        **heavy_options,
     )
     return gold.job_analytics(
         gold_job_postings(spark, sf_dir),
@@ -422,7 +426,7 @@ def contract_kpis(spark, sf_dir):
 # --- sources and sinks -----------------------------------------------------------------------
 
 
-def _write_csv(df: DataFrame, folder: str) -> None:
+def write_csv(df: DataFrame, folder: str) -> None:
     (
         df.write.option("header", True)
         .option("nullValue", "\\N")
@@ -436,14 +440,14 @@ def _write_csv(df: DataFrame, folder: str) -> None:
 @query
 def csv_bronze_roundtrip(spark, sf_dir):
     folder = scratch_path(spark, "postings-csv")
-    _write_csv(r.job_postings(spark, sf_dir).select(*schemas.JOB_POSTINGS), folder)
+    write_csv(r.job_postings(spark, sf_dir).select(*schemas.JOB_POSTINGS), folder)
     return readers.read_csv(spark, folder, "job_postings")
 
 
 @query
 def json_bronze_roundtrip(spark, sf_dir):
     folder = scratch_path(spark, "companies-json")
-    packed = r.packed_documents(r.companies(spark, sf_dir), "company_id", 50_000)
+    packed = r.packed_documents(r.companies(spark, sf_dir), "company_id", 20)
     packed.select("document", "json").write.partitionBy("document").text(folder)
     return silver.companies(readers.read_json_documents(spark, folder))
 
@@ -455,17 +459,129 @@ def json_lines_bronze(spark, sf_dir):
     return silver.job_industries(readers.read_json_lines(spark, folder))
 
 
+@query
+def json_records_bronze(spark, sf_dir):
+    """One record per array element, whole files in a task each."""
+    folder = scratch_path(spark, "companies-records")
+    packed = r.packed_documents(r.companies(spark, sf_dir), "company_id", 20)
+    packed.select("document", "json").write.partitionBy("document").text(folder)
+    return silver.companies(readers.read_json_records(spark, folder, "companies"))
+
+
+def _store(spark, name) -> tuple[TableStore, str]:
+    """A folder store and an input folder below the scratch folder."""
+    base = scratch_path(spark, name)
+    return TableStore(spark, root=f"{base}/store"), f"{base}/in"
+
+
 @query
 def incremental_ingest(spark, sf_dir):
-    """Two arrivals and one idle rerun: every row once."""
-    base = scratch_path(spark, "skills-stream")
-    arrivals, target, checkpoint = f"{base}/in", f"{base}/bronze", f"{base}/checkpoint"
+    """Two arrivals and idle reruns: every row once."""
+    store, base = _store(spark, "skills-arrivals")
     skills = r.job_skills(spark, sf_dir)
-    early = F.col("skill_abr") == F.upper("skill_abr")
-    for part, rows in (("first", early), ("second", ~early)):
-        _write_csv(skills.where(rows), f"{arrivals}/{part}")
+    part = F.pmod(F.xxhash64("job_id", "skill_abr"), F.lit(2))
+    for n in range(2):
+        write_csv(skills.where(part == n), f"{base}/job_skills/{n}")
         for _ in range(2):
-            ingest.append_new_files(
-                ingest.stream_csv(spark, f"{arrivals}/*", "job_skills"), target, checkpoint
-            )
-    return spark.read.parquet(target)
+            ingest.load_table(store, base, "job_skills")
+    return store.read("bronze", "job_skills")
+
+
+@query
+def bronze_batch_then_stream(spark, sf_dir):
+    """Rows written directly, then files, then more files: every row once."""
+    store, base = _store(spark, "skills-mixed")
+    skills = r.job_skills(spark, sf_dir)
+    part = F.pmod(F.xxhash64("job_id", "skill_abr"), F.lit(3))
+    store.rebuild("bronze", "job_skills", skills.where(part == 2))
+    for n in range(2):
+        write_csv(skills.where(part == n), f"{base}/job_skills/{n}")
+        ingest.load_table(store, base, "job_skills")
+    return store.read("bronze", "job_skills")
+
+
+@query
+def bronze_full_reload(spark, sf_dir):
+    """A full load replaces rows written directly by those of the files, and arrivals follow."""
+    store, base = _store(spark, "skills-reload")
+    skills = r.job_skills(spark, sf_dir)
+    part = F.pmod(F.xxhash64("job_id", "skill_abr"), F.lit(2))
+    store.rebuild("bronze", "job_skills", skills)
+    for n in range(2):
+        write_csv(skills.where(part == n), f"{base}/job_skills/{n}")
+        ingest.load_table(store, base, "job_skills", full=n == 0)
+    return store.read("bronze", "job_skills")
+
+
+def _bronze(spark, sf_dir, table, **options):
+    """An input written as files and loaded as the pipeline does."""
+    store, base = _store(spark, table)
+    rows = getattr(r, table)(spark, sf_dir)
+    if table in schemas.CSV_TABLES:
+        write_csv(rows.select(*schemas.CSV_TABLES[table]), f"{base}/{table}")
+    else:
+        rows.select(*schemas.JSON_TABLES[table]).write.json(f"{base}/{table}")
+    ingest.load_table(store, base, table, full=True, **options)
+    return store.read("bronze", table)
+
+
+@query
+def benefits_bronze(spark, sf_dir):
+    return _bronze(spark, sf_dir, "benefits")
+
+
+@query
+def employee_counts_bronze(spark, sf_dir):
+    return _bronze(spark, sf_dir, "employee_counts")
+
+
+@query
+def company_industries_bronze(spark, sf_dir):
+    return silver.company_industries(_bronze(spark, sf_dir, "company_industries"))
+
+
+@query
+def company_specialities_bronze(spark, sf_dir):
+    return silver.company_specialities(_bronze(spark, sf_dir, "company_specialities"))
+
+
+@query
+def store_rebuild(spark, sf_dir):
+    """A replacement that fails leaves the table as it was; the next one takes its place."""
+    store, _ = _store(spark, "rebuilt")
+    skills = gold.job_skills(silver.job_skills(r.job_skills(spark, sf_dir)))
+    store.rebuild("gold", "job_skills", skills)
+    kept = store.read("gold", "job_skills")
+    failing = kept.withColumn("skill_abr", F.raise_error(F.lit("this load fails")).cast("string"))
+    try:
+        store.rebuild("gold", "job_skills", failing)
+    except Exception as error:
+        if "this load fails" not in str(error):
+            raise
+    return store.rebuild("gold", "job_skills", store.read("gold", "job_skills"))
+
+
+@query
+def namespaced_row_counts(spark, sf_dir):
+    """Databases for the layers, managed tables in them, and their content check."""
+    store = TableStore(spark, namespace=f"check_{uuid.uuid4().hex[:12]}")
+    store.create_namespaces()
+    store.rebuild("silver", "job_skills", silver.job_skills(r.job_skills(spark, sf_dir)))
+    industries = silver.job_industries(r.job_industries(spark, sf_dir))
+    store.rebuild("silver", "job_industries", industries, bucket_by="job_id", buckets=4)
+    return store.row_counts("silver", ("job_skills", "job_industries"))
+
+
+@query
+def current_layer_sql(spark, sf_dir):
+    """SQL text over unqualified names, which follow the current layer."""
+    store, _ = _store(spark, "layers")
+    skills = silver.job_skills(r.job_skills(spark, sf_dir))
+    store.rebuild("silver", "job_skills", skills)
+    store.rebuild("gold", "job_skills", gold.job_skills(skills))
+    store.use("silver")
+    store.use("gold")
+    return spark.sql(
+        "SELECT skill_abr, count(*) AS pairs, count(DISTINCT job_id) AS jobs "
+        "FROM job_skills GROUP BY skill_abr"
+    )
