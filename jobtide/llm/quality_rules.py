@@ -53,7 +53,7 @@ def measure(docs: DataFrame, text_col: str = "text") -> DataFrame:
         packed(docs, text_col).alias("row"),
         F.coalesce(docs[text_col].cast("string"), F.lit("")).alias("text"),
     )
-    step = step.withColumn("bare", F.expr(rf"btrim(text, ' \t\n\u000B\f\r')"))
+    step = step.withColumn("bare", F.btrim(F.col("text"), F.lit(" \t\n\x0b\f\r")))
     step = step.withColumn(
         "words",
         F.when(F.col("bare") == "", F.array().cast("array<string>")).otherwise(

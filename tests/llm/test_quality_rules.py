@@ -74,3 +74,11 @@ def test_estimation_finds_the_useful_rule():
 def test_no_python_in_the_plan(docs_of):
     plan = q.measure(docs_of(["a"]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_measures_of_texts_that_begin_or_end_in_f_or_form_feed(docs_of):
+    odd = ["first half", "f", "ff f ff", " \f\nf of\t", "\fword\f", "\f", "a\fb\f \x0b", "\\f x \\f", "f\nf\nf f f f"]
+    found = {r.doc_id: r for r in q.measure(docs_of(odd)).collect()}
+    for i, text in enumerate(odd):
+        expected = brute(text)
+        assert {k: found[i][k] for k in expected} == expected, repr(text)
