@@ -144,3 +144,23 @@ def test_held_out_languages(spark, small):
     lang = pq.read_table(f"{small}/documents.parquet", columns=["doc_id", "lang"]).to_pandas().set_index("doc_id").lang
     own = found[found.held_out].join(lang)
     assert (own.lang_pred == own.lang).mean() > 0.97
+
+
+def test_one_document_language_leaves_the_others_their_dictionaries(spark, small, docs_of):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang")
+    lone = "zuqo vexi pajo kwelu zuqo mirra vexi taloon kwelu bexo"
+    more = spark.createDataFrame([(-1, lone, "zz")], "doc_id long, text string, lang string")
+    fold = queries.remainder(4) != 2
+    plain = language_id.dictionaries(docs, fold)
+    with_lone = language_id.dictionaries(docs.unionByName(more), fold | (F.col("doc_id") == -1))
+    assert {k: v for k, v in with_lone.items() if k != "zz"} == plain
+    assert with_lone["zz"] == lone.encode()
+
+    held = docs.where(~fold & F.col("text").isNotNull()).limit(400).toPandas()
+    right = lambda known, cut: np.mean([
+        known.identify(t[:cut])[0] == lang for t, lang in zip(held.text, held.lang)
+    ])
+    before, after = language_id.Identifier(plain), language_id.Identifier(with_lone)
+    for cut in (60, None):
+        assert right(after, cut) > right(before, cut) - 0.01
+    assert after.identify("kwelu zuqo vexi mirra pajo bexo taloon kwelu")[0] == "zz"
