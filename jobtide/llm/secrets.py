@@ -1,9 +1,9 @@
 """Secret scans in DataFrame functions alone: fixed patterns and sliding-window entropy.
 
-Candidate strings that no fixed pattern covers are read through a window; the Shannon entropy of
+What no fixed pattern and no placeholder covers of a candidate string is read through a window; the Shannon entropy of
 the window is kept up to date from the counts of its characters as one enters and one leaves.
-Windows above the limit of the string's character class form a span, unless an allow-list
-knows the string.
+Windows above the limit of the stretch's character class form a span, unless an allow-list
+knows the stretch.
 """
 
 from __future__ import annotations
@@ -30,19 +30,23 @@ KINDS: dict[str, tuple[str, int, int]] = {
 WINDOW = 20
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-#: Character class of a whole candidate -> least entropy of a window, in bits a character.
+#: Character class of a candidate or of a stretch left of it -> least entropy of a window, in bits a character.
 CLASSES: dict[str, tuple[str, float]] = {
     "hex": (r"[0-9a-f]+|[0-9A-F]+", 3.2),
     "one_case": (r"[0-9a-z]+|[0-9A-Z]+", 3.6),
     "mixed": (r".*", 3.8),
 }
-#: Strings that are no secrets: words, numbers, UUIDs, placeholders, counting.
+#: Strings that are no secrets: words, numbers, UUIDs.
 ALLOWED: tuple[str, ...] = (
     r"[A-Z]?[a-z/_=-]+|[A-Z/_=-]+",
     r"[0-9+/_=-]+",
     r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
-    r"(?i).*(example|sample|dummy|placeholder|changeme|redacted|xxxx).*",
-    r"(?i).*(abcdefgh|01234567|12345678).*",
+)
+#: Placeholders and counting; one covers the part of a candidate between slashes and equals signs
+#: that holds it, and no other part.
+PLACEHOLDERS = (
+    r"(?i)(?<![^/=])[^/=]*?(?:example|sample|dummy|placeholder|changeme|redacted|xxxx"
+    r"|abcdefgh|01234567|12345678)[^/=]*"
 )
 
 
@@ -103,6 +107,29 @@ def hot_stretch(value: str, limit: str, window: int = WINDOW) -> str:
         a -> named_struct('from', a.from, 'to', a.to)))[0]"""
 
 
+def stretches(candidate: str, base: str, placeholders: str, window: int = WINDOW) -> str:
+    """SQL: what is left of a candidate outside base spans and placeholders, from ``window`` on, as
+    (start, end, value, bare); ``bare`` is the value that classes and allow-list look at: without
+    punctuation at the ends if something was cut off."""
+    c = candidate
+    cuts = f"""sort_array(concat(
+        transform(filter({base}, b -> b.start < {c}.end and {c}.start < b.end),
+            b -> named_struct('start', b.start, 'end', b.end)),
+        transform({matches(f"{c}.value", placeholders, 0, "placeholder", 0, 1)},
+            p -> named_struct('start', {c}.start + p.start, 'end', {c}.start + p.end)),
+        array(named_struct('start', {c}.end, 'end', {c}.end))))"""
+    left = f"""aggregate({cuts},
+        named_struct('at', {c}.start, 'out', cast(array() as array<struct<start: int, end: int>>)),
+        (a, x) -> named_struct('at', greatest(a.at, x.end), 'out',
+            if(x.start - a.at < {window}, a.out,
+                concat(a.out, array(named_struct('start', a.at, 'end', x.start))))),
+        a -> a.out)"""
+    value = f"substring({c}.value, x.start - {c}.start + 1, x.end - x.start)"
+    whole = f"x.end - x.start = {c}.end - {c}.start"
+    return f"""transform({left}, x -> named_struct('start', x.start, 'end', x.end, 'value', {value},
+        'bare', if({whole}, {value}, btrim({value}, '+/_=-'))))"""
+
+
 def digest(spans: str) -> Column:
     """``kind:start:end`` of each span, comma-joined."""
     each = f"transform({spans}, s -> concat_ws(':', s.name, s.start, s.end))"
@@ -116,13 +143,15 @@ def find_secrets(
     classes: Mapping[str, tuple[str, float]] = CLASSES,
     allowed: Sequence[str] = ALLOWED,
     window: int = WINDOW,
+    placeholders: str = PLACEHOLDERS,
 ) -> DataFrame:
     """``docs`` without the text, with ``n_<kind>``, ``base`` and ``spans``.
 
     ``base`` holds the spans of the fixed patterns and ``spans`` those and the entropy spans, as
     arrays of (start, kind, name, end), sorted by start and then by kind. Positions count code
-    points, ends are exclusive. An entropy span (``entropy``, the last kind) that overlaps a base
-    span is not reported again.
+    points, ends are exclusive. Entropy spans (``entropy``, the last kind) are looked for in the
+    stretches of candidates outside base spans and placeholders, so none overlaps a base span, and
+    what stands beside one is still found.
 
     NULL counts as empty and has no spans. Texts are scanned whole, of any length; one row never
     looks at another, so ties and repeated rows change nothing. Columns of ``docs`` with the names
@@ -139,25 +168,22 @@ def find_secrets(
     candidates = matches("text", CANDIDATE, len(kinds), "entropy", 0, window)
     step = step.select("row", *base, F.expr(candidates).alias("candidates"))
     step = step.withColumn("base", F.expr(f"sort_array(concat({', '.join(kinds)}))"))
-    known = " or ".join(f"c.value rlike {_sql_text(f'^(?:{p})$')}" for p in allowed) or "false"
-    fresh = f"""filter(candidates, c -> not ({known})
-        and not exists(base, b -> b.start < c.end and c.start < b.end))"""
+    known = " or ".join(f"c.bare rlike {_sql_text(f'^(?:{p})$')}" for p in allowed) or "false"
+    fresh = f"""filter(flatten(transform(candidates,
+        k -> {stretches('k', 'base', placeholders, window)})), c -> not ({known}))"""
     step = step.withColumn("fresh", F.expr(fresh))
     limit = " ".join(
-        f"when c.value rlike {_sql_text(f'^(?:{p})$')} then {bits!r}D"
+        f"when c.bare rlike {_sql_text(f'^(?:{p})$')} then {bits!r}D"
         for p, bits in classes.values()
     )
     hot = f"""filter(transform(fresh, c -> named_struct(
             'c', c, 'hot', {hot_stretch('c.value', f'(case {limit} end)', window)})),
         h -> h.hot.from is not null)"""
     step = step.withColumn("hot", F.expr(f"if(size(fresh) = 0, null, {hot})"))
-    slim = "named_struct('start', {0}, 'kind', s.kind, 'name', s.name, 'end', {1})"
-    entropy = (
-        "transform(coalesce(hot, array()), h -> transform(array(h.c), s -> "
-        + slim.format("s.start + h.hot.from", "s.start + h.hot.to")
-        + ")[0])"
-    )
-    plain = f"transform(base, s -> {slim.format('s.start', 's.end')})"
+    slim = "named_struct('start', {}, 'kind', {}, 'name', {}, 'end', {})"
+    span = slim.format("h.c.start + h.hot.from", len(kinds), "'entropy'", "h.c.start + h.hot.to")
+    entropy = f"transform(coalesce(hot, array()), h -> {span})"
+    plain = f"transform(base, s -> {slim.format('s.start', 's.kind', 's.name', 's.end')})"
     return unpacked(
         step,
         "row",

@@ -71,6 +71,33 @@ def test_allowed_and_known_strings(docs_of):
     assert [r.name for r in row.spans] == ["assign"]
 
 
+def test_secrets_beside_base_spans_and_placeholders(docs_of):
+    long = KEY + KEY[::-1]
+    inside = "9f" * 12  # a hex span
+    placed = "EXAMPLE" + KEY
+    cases = {  # text -> stretches of it to be read
+        f"{long}/token=abcdef": [f"{long}/"],
+        f"é😀 {long}_{inside}+{KEY}Z {KEY}": [f"{long}_", f"+{KEY}Z", KEY],
+        f"token=abcdef. {KEY}/password=hunter2x": [f"{KEY}/"],
+        f"srv/sample/{long}/dir": [f"/{long}/dir"],
+        f"{KEY}=/{placed}/{long}/xxxx": [f"{KEY}=/", f"/{long}/"],
+        f"a/{placed}/b/{placed}/readme": [],
+        f"internationalization/token={KEY}": [],
+        "A9" + "x" * 200_000 + "/token=abcdef": [],
+    }
+    found = s.find_secrets(docs_of(list(cases))).orderBy("doc_id").collect()
+    for (text, parts), row in zip(cases.items(), found):
+        expected, at = [], 0
+        for part in parts:
+            at = text.index(part, at)
+            hot = windows(part, 3.8)
+            expected.append((at + hot[0], at + hot[1]))
+            at += len(part)
+        got = [(r.start, r.end) for r in row.spans if r.name == "entropy"]
+        assert got == expected, text[:90]
+        assert not any(b.start < hi and lo < b.end for b in row.base for lo, hi in got)
+
+
 def test_empty_and_plan(docs_of):
     assert s.find_secrets(docs_of([])).collect() == []
     plan = s.find_secrets(docs_of(["a"]))._jdf.queryExecution().toString()
