@@ -40,8 +40,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates, and all others."""
-    return ngram_join.keep_one(docs)
+    """One row of each group of near duplicates, that with the smallest id, and all others."""
+    return ngram_join.keep_one_row(docs)
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobtide.llm.byte_text import mix, pieces, word_hashes, words
@@ -359,9 +359,48 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     """``docs`` without all but the document with the smallest id of each class.
 
     Rows with a NULL id stay, as nothing tells them apart; of rows that share an id, all stay or
-    none.
+    none. ``keep_one_row`` decides by row.
     """
     found = jaccard_join(docs, id_col, text_col, **options)
     dropped = found.where("id <> class_id").select("id").distinct()
     rows = docs.select(packed(docs).alias("row"), docs[id_col].cast("bigint").alias("id"))
     return unpacked(rows.join(dropped, "id", "left_anti"), "row", docs.columns)
+
+
+def keep_one_row(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options):
+    """``docs`` with exactly one row of each class of near duplicates, whatever the ids.
+
+    The row with the smallest id stays, NULL ids last, then by text and by the other columns. Of
+    rows with equal texts one goes on, so repeated rows and copies with a NULL id do not stay
+    beside each other, and different texts under one id are judged apart. Texts without words are
+    copies of each other only if their ids are equal or both NULL.
+
+    Rows of one text, and of one class, are reduced in the map tasks before the shuffle. The rows
+    of different texts are written to the scratch folder, which gives each a number to join by.
+    """
+    text = docs[text_col].cast("string")
+    words = F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    rows = docs.select(
+        packed(docs).alias("row"),
+        docs[id_col].cast("bigint").alias("id"),
+        F.sha2(text.cast("binary"), 256).alias("digest"),
+        words.alias("words"),
+        F.to_json(packed(docs, text_col)).alias("rest"),
+    ).withColumn("own", F.when(~F.col("words"), F.col("id")))
+    order = [F.col("id").asc_nulls_last(), "digest", "rest"]
+    same = Window.partitionBy("digest", "words", "own").orderBy(*order)
+    rows = rows.withColumn("nth", F.row_number().over(same)).where("nth = 1").drop("nth", "own")
+    rows = stored(rows.withColumn("node", F.monotonically_increasing_id()), "different-texts")
+
+    texts = rows.where("words").select("node", F.col("row").getField(text_col).alias("text"))
+    found = jaccard_join(texts, "node", "text", **options)
+    classes = found.select(F.col("id").alias("node"), "class_id")
+    near = Window.partitionBy("class_id").orderBy(*order)
+    kept = (
+        rows.where("words")
+        .join(classes, "node")
+        .withColumn("nth", F.row_number().over(near))
+        .where("nth = 1")
+    )
+    wordless = rows.where("not words").select("row")
+    return unpacked(kept.select("row").unionByName(wordless), "row", docs.columns)

@@ -89,6 +89,30 @@ def test_missing_and_repeated_ids(table):
     assert sorted((r.doc_id for r in kept.collect()), key=repr) == [6, None, None, None]
 
 
+def one_row_of_each(spark, docs):
+    import corpus_pipeline
+
+    return corpus_pipeline.keep_one_of_each(spark, docs, "")
+
+
+def test_pipeline_keeps_one_row_of_each_class(spark, table, docs_of):
+    text = " ".join(f"w{i}" for i in range(30))
+    other = " ".join(f"v{i}" for i in range(30))
+    rows = [(None, text), (None, text), (5, text + " x"), (5, text + " x"), (5, other), (3, other + " y"),
+            (5, "quite different words"), (7, "lone"), (7, "lone"), (8, "lone"), (None, "nameless"), (None, "nameless"),
+            (None, None), (None, None), (9, None), (9, ""), (10, None), (10, None), (None, " ")]
+    kept = one_row_of_each(spark, table(rows, "doc_id long, text string"))
+    expected = [(5, text + " x"), (3, other + " y"), (5, "quite different words"), (7, "lone"), (None, "nameless"),
+                (None, None), (9, None), (9, ""), (10, None), (None, " ")]
+    assert sorted(map(tuple, kept.collect()), key=repr) == sorted(expected, key=repr)
+
+    texts = corpus()
+    kept = one_row_of_each(spark, docs_of(texts))
+    assert kept.columns == docs_of(texts).columns
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(brute(texts)[1]))
+    assert one_row_of_each(spark, docs_of([])).collect() == []
+
+
 def test_empty_table(docs_of):
     assert j.jaccard_join(docs_of([])).collect() == []
     assert j.keep_one(docs_of([])).collect() == []
