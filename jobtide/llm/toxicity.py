@@ -84,27 +84,38 @@ def kernel(codes: np.ndarray, landmark: str, letters: int = LETTERS, decay: floa
     return total
 
 
-def _masks(codes: np.ndarray) -> np.ndarray:
-    """Which letters a string has, by code modulo 32."""
-    bits = np.where(codes > 0, np.uint32(1) << (codes & np.uint32(31)), np.uint32(0))
-    return np.bitwise_or.reduce(bits, axis=0)
+def most_kernel(codes: np.ndarray, landmark: str, letters: int = LETTERS, decay: float = DECAY):
+    """What the kernel with ``landmark`` is at most, from how often strings have its letters.
+
+    A subsequence is found in a string as often as the product of its letters' counts at most,
+    each time at a cost of decay ** letters or more; these are summed over the landmark's places.
+    """
+    counts = {c: (codes == ord(c)).sum(0, dtype=np.float32) for c in set(landmark)}
+    n = codes.shape[1]
+    ends = np.zeros((letters, n), np.float32)  # sums over q + 1 places, counted to this place
+    total = np.zeros(n, np.float32)
+    for c in landmark:
+        own = counts[c] * np.float32(decay)
+        ends *= np.float32(decay)
+        total += ends[letters - 2] * counts[c] if letters > 1 else own
+        for q in range(letters - 2, 0, -1):
+            ends[q] += ends[q - 1] * counts[c]
+        ends[0] += own
+    return total * np.float32(decay**letters)
 
 
 def related(strings: list[str], landmarks: list[str]) -> np.ndarray:
     """(strings, landmarks): kernel as a share of the landmark's own, at most 1; small ones are 0.
 
-    Strings that lack more than one of a landmark's letters cannot reach the limit by much and
-    are not compared.
+    Strings that cannot reach the limit with their letters (``most_kernel``) are not compared.
     """
     found = np.zeros((len(strings), len(landmarks)), np.float32)
     if not strings or not landmarks:
         return found
     codes = coded(strings)
-    masks, wanted = _masks(codes), _masks(coded(landmarks))
     for k, landmark in enumerate(landmarks):
         own = kernel(coded([landmark]), landmark)[0]
-        missing = np.bitwise_count(wanted[k] & ~masks)
-        rows = np.flatnonzero(missing <= (1 if len(landmark) > LETTERS else 0))
+        rows = np.flatnonzero(most_kernel(codes, landmark) >= 0.999 * RELATED * own)
         for at in range(0, len(rows), 2_048):
             some = rows[at : at + 2_048]
             found[some, k] = kernel(codes[:, some], landmark) / own

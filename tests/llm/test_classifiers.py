@@ -99,6 +99,27 @@ def test_kernel_is_the_definition():
         assert np.allclose(values, [brute(s, landmark) for s in strings], rtol=1e-4)
 
 
+def test_related_compares_all_words_that_can_be_related():
+    rng = random.Random(4)
+    landmarks = ["blockhead", "scoundrel", "ignoramus", "fnord", "scum"]
+    strings = ["blockhd", "lockhea", "coundre", "ignoram", "fnor", "scum", "mucs", "zzzz", "scccuumm"]
+    for mark in landmarks:
+        for _ in range(200):
+            letters = [c for c in mark if rng.random() < 0.8]
+            for _ in range(rng.randint(0, 3)):
+                letters.insert(rng.randint(0, len(letters)), rng.choice("abcdeosu"))
+            strings.append("".join(letters) + "x" * 4)
+    codes = toxicity.coded(strings)
+    found = toxicity.related(strings, landmarks)
+    for k, mark in enumerate(landmarks):
+        own = toxicity.kernel(toxicity.coded([mark]), mark)[0]
+        values = toxicity.kernel(codes, mark)
+        assert (toxicity.most_kernel(codes, mark) >= 0.9999 * values).all()
+        share = values / own
+        assert np.allclose(found[:, k], np.where(share < toxicity.RELATED, 0, np.minimum(share, 1)))
+    assert found[0, 0] > 0.4 and found[1, 0] > 0.5 and found[2, 1] > 0.5 and found[3, 2] > 0.5
+
+
 def test_language(docs_of, table, words):
     rng = random.Random(2)
     parts = {"aa": ["the", "ing", "ed", "wh"], "bb": ["que", "ñar", "ción", "os"], "cc": ["sch", "ung", "ein", "zu"]}
