@@ -115,8 +115,49 @@ SELECT doc_id, source, size, source_size, target, copies::BIGINT AS copies,
 FROM taken
 """
 
+PHRASES = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        {_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents),
+split_ AS (
+    SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM split_ GROUP BY lang),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM split_ WHERE len(w) > 0),
+counts AS (
+    SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, size, count(*) AS f
+    FROM places, (SELECT unnest(range(1, 5)) AS size) AS sizes
+    WHERE i + size - 1 <= len(w)
+    GROUP BY ALL HAVING count(*) >= 30),
+found AS (SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE size > 1),
+cuts AS (
+    SELECT lang, phrase, size, a, w, k, array_to_string(w[1:k], ' ') AS p,
+        array_to_string(w[k + 1:], ' ') AS q
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM found)),
+scored AS (
+    SELECT c.lang, c.phrase, c.a, x.f AS l, y.f AS r,
+        (2000000 * c.a::HUGEINT // (x.f + y.f))::BIGINT AS score, c.k
+    FROM cuts c JOIN counts x ON x.lang = c.lang AND x.phrase = c.p
+        JOIN counts y ON y.lang = c.lang AND y.phrase = c.q
+    QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, c.k) = 1),
+spans AS (
+    SELECT lang, a, w, size, i, unnest(range(i + 1, size + 1)) AS j
+    FROM (SELECT *, unnest(range(1, size)) AS i FROM found WHERE size > 2)),
+around AS (
+    SELECT lang, array_to_string(w[i:j], ' ') AS phrase, max(a) AS longer
+    FROM spans WHERE j - i + 1 < size GROUP BY ALL),
+kept AS (
+    SELECT s.* FROM scored s LEFT JOIN around o ON o.lang = s.lang AND o.phrase = s.phrase
+    WHERE o.longer IS NULL OR 100 * o.longer::HUGEINT < 80 * s.a::HUGEINT)
+SELECT lang, rank, phrase, a, l, r, n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+    FROM kept) JOIN totals USING (lang)
+WHERE rank <= 2000
+"""
+
 ORACLES = {
     "op1_sharding": SHARDING,
     "op2_decontamination": DECONTAMINATION,
     "op4_mixing": MIXING,
+    "op13_phrase_mining": PHRASES,
 }

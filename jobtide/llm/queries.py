@@ -18,6 +18,7 @@ from jobtide.llm import (
     mixing,
     ngram_join,
     oracles,
+    phrases,
     quality_classifier,
     quality_rules,
     secrets,
@@ -183,3 +184,8 @@ def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return ngram_join.jaccard_join(docs).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir).select("text", "lang"))

@@ -29,11 +29,15 @@ COLUMNS = {
     "op9_token_ids": ["doc_id", "start", "n_tokens", "ids_crc32"],
     "op10_ngram_jaccard_join": ["doc_id", "class_id", "n_links"],
 }
+#: Queries whose rows are not those of documents.
+OTHERS = {
+    "op13_phrase_mining": ["lang", "rank", "phrase", "a", "l", "r", "n", "score"],
+}
 
 
 def test_registered():
-    assert set(COLUMNS) == set(queries.QUERIES)
-    assert {*COLUMNS, "pipeline"} <= set(entry.queries())
+    assert {*COLUMNS, *OTHERS} == set(queries.QUERIES)
+    assert {*COLUMNS, *OTHERS, "pipeline"} <= set(entry.queries())
     assert set(queries.ORACLES) <= set(entry.oracle_sql())
 
 
@@ -45,6 +49,12 @@ def test_columns_and_rows(spark, sf_dir, name):
     assert sorted(r.doc_id for r in df.select("doc_id").collect()) == sorted(ids)
 
 
+@pytest.mark.parametrize("name", OTHERS)
+def test_columns(spark, sf_dir, name):
+    df = entry.queries()[name](spark, sf_dir)
+    assert df.columns[: len(OTHERS[name])] == OTHERS[name]
+
+
 @pytest.mark.parametrize("name", queries.ORACLES)
 def test_sql(spark, sf_dir, name):
     con = duckdb.connect()
