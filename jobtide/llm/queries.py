@@ -6,6 +6,7 @@ operator returns.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtide.llm import (
+    conversation_repair,
     decontamination,
     language_id,
     mixing,
@@ -26,7 +28,7 @@ from jobtide.llm import (
     token_files,
     toxicity,
 )
-from jobtide.llm.common import documents, labelled_sample, stored
+from jobtide.llm.common import documents, key_text, labelled_sample, stored
 from jobtide.sources.store import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -186,6 +188,55 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_join(docs).withColumnRenamed("id", "doc_id")
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations as op12 repairs them: a twentieth of the rows each is dropped, emptied, stripped
+    of sentence ends, repeated or given to the user. NULL roles and texts are one space."""
+    space = F.lit(" ")
+    shown = lambda c: F.coalesce(F.col(c).cast("string"), space)
+    fault = F.crc32(F.concat(shown("conv_id"), F.lit(":"), shown("turn")).cast("binary")) % 20
+    text, role = shown("text"), shown("role")
+    return (
+        rows.select(
+            "conv_id",
+            "turn",
+            F.when(fault == 4, "user").otherwise(role).alias("role"),
+            F.when(fault == 1, "")
+            .when(fault == 2, F.regexp_replace(text, "[.!?]", ""))
+            .otherwise(text)
+            .alias("text"),
+            fault.alias("fault"),
+        )
+        .where("fault <> 0")
+        .withColumn("nth", F.explode(F.sequence(F.lit(0), (F.col("fault") == 3).cast("int"))))
+        .drop("fault", "nth")
+    )
+
+
+@query
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return repaired(rows)
+
+
+def repaired(rows: DataFrame, **options) -> DataFrame:
+    """What op12 returns for conversations: one row per id, also of those that lost all rows."""
+    found = conversation_repair.repair(damaged(rows), **options)
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    none = hashlib.sha256(b"").hexdigest()
+    return (
+        rows.select("conv_id", key_text(F.col("conv_id")).alias("key"))
+        .distinct()
+        .join(found.report, "key", "left")
+        .join(conversation_repair.digests(found.turns), "key", "left")
+        .select(
+            "conv_id",
+            *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in numbers],
+            F.coalesce("audit", F.lit("")).alias("audit"),
+            F.coalesce("sha256", F.lit(none)).alias("repaired_sha256"),
+        )
+    )
+
+
 @query
 def op13_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(documents(spark, sf_dir).select("text", "lang"))
