@@ -18,6 +18,7 @@ from jobtide.llm import (
     decontamination,
     language_id,
     mixing,
+    near_vectors,
     ngram_join,
     oracles,
     phrases,
@@ -188,6 +189,18 @@ def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_join(docs).withColumnRenamed("id", "doc_id")
 
 
+@query
+def op11_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    found = near_vectors.near_vectors(rows)
+    return found.links.select(
+        F.col("id").alias("vec_id"),
+        "n_links",
+        "component_id",
+        F.col("id").eqNullSafe(F.col("component_id")).alias("kept"),
+    )
+
+
 def damaged(rows: DataFrame) -> DataFrame:
     """Conversations as op12 repairs them: a twentieth of the rows each is dropped, emptied, stripped
     of sentence ends, repeated or given to the user. NULL roles and texts are one space."""

@@ -31,6 +31,7 @@ COLUMNS = {
 }
 #: Queries whose rows are not those of documents.
 OTHERS = {
+    "op11_embedding_near_dedup": ["vec_id", "n_links", "component_id", "kept"],
     "op12_conversation_repair": ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal",
                                  "cost", "audit", "repaired_sha256"],
     "op13_phrase_mining": ["lang", "rank", "phrase", "a", "l", "r", "n", "score"],
