@@ -1,10 +1,10 @@
 """Bronze readers: CSV as declared text columns, JSON as variant.
 
-Splittable forms are the default, so that one large file is read by many tasks: CSV with one
-record per line, and JSON with one object (or one whole array) per line. What cannot be split is
-read on request, a file per task: CSV with line breaks inside quoted fields (``multiline``, the
-default of postings alone, whose descriptions have them, unless ``record_separator`` tells records
-from such breaks), JSON objects spread over several lines (``records``, ``document``). A file in
+Large files are read by many tasks, whatever their form: CSV with one record per line, CSV with line
+breaks inside quoted fields (``multiline``, the default of postings alone, whose descriptions have
+them), JSON with one object or one whole array per line, and a JSON array over any lines (``array``).
+Where records span lines, files too large for one task are cut by ``records``; smaller ones, and the
+JSON layouts ``records`` and ``document``, are read by Spark directly, a file per task. A file in
 another form than declared fails the load; it is never read wrongly.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobtide.schemas import CSV_TABLES, DOCUMENT, JSON_TABLES, text_schema
-
+from jobtide.sources.records import csv_records, json_elements, lines_of, worth_splitting
 
 #: Inputs whose fields may hold line breaks.
 WITH_LINE_BREAKS = ("job_postings",)
@@ -43,14 +43,36 @@ def csv_options(
     return options
 
 
-def read_csv(spark: SparkSession, path: str | list[str], table: str, **options) -> DataFrame:
-    """Rows of one of the CSV inputs, every column text. ``options`` as in ``csv_options``;
-    ``multiline`` is on for ``WITH_LINE_BREAKS`` unless given."""
+def cut_by_records(spark: SparkSession, path: str | list[str], table: str, options: dict) -> bool:
+    """Whether CSV files are cut by ``records``; takes ``split`` out of ``options``.
+
+    By default where records may span lines and a file is larger than Spark gives to one task.
+    ``split`` decides otherwise: True or False for all files.
+    """
     options.setdefault("multiline", table in WITH_LINE_BREAKS)
+    split = options.pop("split", None)
+    if not options["multiline"] or options.get("record_separator") is not None:
+        return False
+    return worth_splitting(spark, path) if split is None else split
+
+
+def read_csv(spark: SparkSession, path: str | list[str], table: str, **options) -> DataFrame:
+    """Rows of one of the CSV inputs, every column text. ``options`` as in ``csv_options``, and
+    ``split`` as in ``cut_by_records``; ``multiline`` is on for ``WITH_LINE_BREAKS`` unless given."""
+    if cut_by_records(spark, path, table, options):
+        return parsed_csv(lines_of(spark.read, path), table, **options)
     schema = text_schema(CSV_TABLES[table])
     return spark.read.schema(schema).options(**csv_options(**options)).csv(path)
 
 
+def parsed_csv(lines: DataFrame, table: str, **options) -> DataFrame:
+    """Text lines of CSV files (``records.lines_of``) as rows, for batches and streams alike."""
+    schema = ", ".join(f"`{c}` string" for c in CSV_TABLES[table])
+    options = {k: v for k, v in csv_options(**options).items() if k not in ("header", "enforceSchema")}
+    rows = csv_records(lines).select(F.from_csv("record", schema, options).alias("row"))
+    return rows.select("row.*")
+
+
 def read_json_documents(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """One row per file, the whole document as one variant in ``data``.
 
@@ -95,7 +117,20 @@ def parsed_lines(lines: DataFrame) -> DataFrame:
     )
 
 
+def read_json_array(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """One row per element of the array in each file, as a one-element variant array; an array over
+    several lines is cut over many tasks, so neither a file nor an array must fit one value."""
+    return parsed_array(lines_of(spark.read, path))
+
+
+def parsed_array(lines: DataFrame) -> DataFrame:
+    """Text lines of JSON arrays (``records.lines_of``) as one-element variant arrays."""
+    element = F.concat(F.lit("["), F.col("record"), F.lit("]"))
+    return json_elements(lines).select(F.parse_json(element).alias("data"))
+
+
 JSON_LAYOUTS = {
+    "array": lambda spark, path, table: read_json_array(spark, path),
     "document": lambda spark, path, table: read_json_documents(spark, path),
     "records": read_json_records,
     "lines": lambda spark, path, table: read_json_lines(spark, path),

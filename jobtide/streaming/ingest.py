@@ -7,12 +7,26 @@ loads add the files that have come since, each load as a partition of its own.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from jobtide.schemas import CSV_TABLES, JSON_TABLES, text_schema
-from jobtide.sources.readers import WITH_LINE_BREAKS, csv_options, parsed_lines, record_schema
+from jobtide.sources.readers import (
+    WITH_LINE_BREAKS,
+    bronze_schema,
+    csv_options,
+    cut_by_records,
+    parsed_array,
+    parsed_csv,
+    parsed_lines,
+    record_schema,
+)
+from jobtide.sources.records import lines_of
 from jobtide.sources.store import TableStore, files
 
+
 def _reader(spark: SparkSession, max_files_per_trigger: int | None):
     # Files in folders below the input's own count as well.
     reader = spark.readStream.option("recursiveFileLookup", True)
@@ -80,17 +94,20 @@ def append_new_files(
     table: str,
     checkpoint: str,
     version: str | None = None,
+    parse: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Load what has arrived since the last call into a bronze table, and return.
 
     ``checkpoint`` remembers the loaded files. Each micro-batch writes a partition under its own
     number and writes it anew when it is repeated after a failure, so rows are neither repeated
     nor lost, and rows that were in the table before stay. Numbers never clash, as a new version
-    of the table starts a new checkpoint. Keep the checkpoint on shared storage.
+    of the table starts a new checkpoint. Keep the checkpoint on shared storage. ``parse`` makes
+    rows of the stream's lines, batch by batch.
     """
 
     def add(batch: DataFrame, number: int) -> None:
-        store.append_batch("bronze", table, batch, number, version)
+        rows = parse(batch) if parse else batch
+        store.append_batch("bronze", table, rows, number, version)
 
     query = (
         stream.writeStream.foreachBatch(add)
@@ -121,22 +138,33 @@ def load_table(
 ) -> None:
     """Bring one bronze table up to date, or load it anew from all files (``full``).
 
+    ``json_layout`` is one of ``readers.JSON_LAYOUTS``; ``csv`` are the options of
+    ``readers.read_csv``.
+
     A table that does not exist yet is loaded in full. A failing full load leaves the old table.
     """
     path = input_path(store.spark, base, table)
+    parse = None
     if table in CSV_TABLES:
-        stream = stream_csv(store.spark, path, table, max_files_per_trigger, **csv)
+        if cut_by_records(store.spark, path, table, csv):
+            stream = lines_of(_reader(store.spark, max_files_per_trigger), path)
+            parse = partial(parsed_csv, table=table, **csv)
+        else:
+            stream = stream_csv(store.spark, path, table, max_files_per_trigger, **csv)
+    elif json_layout == "array":
+        stream = lines_of(_reader(store.spark, max_files_per_trigger), path)
+        parse = parsed_array
     else:
         stream = stream_json(store.spark, path, table, max_files_per_trigger, json_layout)
     now = None if full else store.generation("bronze", table)
     version = store.begin("bronze", table) if now is None else None
     checkpoint = f"{checkpoints or checkpoint_root(store)}/{table}/{version or now}"
     if version is None:
-        append_new_files(stream, store, table, checkpoint)
+        append_new_files(stream, store, table, checkpoint, parse=parse)
         return
-    empty = store.spark.createDataFrame([], stream.schema)
+    empty = store.spark.createDataFrame([], bronze_schema(table) if parse else stream.schema)
     store.append_batch("bronze", table, empty, -1, version)  # the schema, if no file has come yet
-    append_new_files(stream, store, table, checkpoint, version)
+    append_new_files(stream, store, table, checkpoint, version, parse)
     store.finish("bronze", table, version)
 
 

@@ -6,7 +6,7 @@ from workload import registry
 
 QUERIES = registry.QUERIES
 WRITING = {
-    "csv_bronze_roundtrip", "json_bronze_roundtrip", "json_lines_bronze", "json_records_bronze",
+    "csv_multiline_split", "json_array_split", "csv_bronze_roundtrip", "json_bronze_roundtrip", "json_lines_bronze", "json_records_bronze",
     "incremental_ingest", "bronze_batch_then_stream", "bronze_full_reload", "benefits_bronze",
     "employee_counts_bronze", "company_industries_bronze", "company_specialities_bronze",
     "store_rebuild", "namespaced_row_counts", "current_layer_sql",

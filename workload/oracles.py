@@ -493,6 +493,10 @@ FINAL = {
                     ELSE '#64748b' END AS colour
         FROM contract_counts""",
     "csv_bronze_roundtrip": f"SELECT {ALL_POSTING} FROM b_postings",
+    "csv_multiline_split": f"""SELECT {ALL_POSTING} FROM (SELECT * REPLACE (concat('"', replace(
+        description, ' ', ',' || chr(10)), '",', chr(10), description, chr(10)) AS description)
+        FROM b_postings)""",
+    "json_array_split": "SELECT * FROM s_industries",
     "json_bronze_roundtrip": "SELECT * FROM s_companies",
     "json_lines_bronze": "SELECT * FROM s_industries",
     "incremental_ingest": "SELECT * FROM b_skills",

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -468,6 +469,43 @@ def json_records_bronze(spark, sf_dir):
     return silver.companies(readers.read_json_records(spark, folder, "companies"))
 
 
+@contextmanager
+def _small_parts(spark, size=1 << 18):
+    """Files are read in parts of ``size`` bytes meanwhile, as very large ones are in Spark's."""
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {key: spark.conf.get(key) for key in keys}
+    for key in keys:
+        spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+@query
+def csv_multiline_split(spark, sf_dir):
+    """Postings whose descriptions have line breaks and quotes, files cut over many tasks."""
+    store, base = _store(spark, "postings-split")
+    postings = r.job_postings(spark, sf_dir).withColumn("description", F.expr(r.LONG_DESCRIPTION))
+    write_csv(postings.select(*schemas.JOB_POSTINGS), f"{base}/job_postings")
+    with _small_parts(spark):
+        ingest.load_table(store, base, "job_postings")
+    return store.read("bronze", "job_postings")
+
+
+@query
+def json_array_split(spark, sf_dir):
+    """Arrays of industries over several lines, cut at their elements over many tasks."""
+    store, base = _store(spark, "industries-array")
+    packed = r.packed_documents(r.job_industries(spark, sf_dir), "job_id")
+    lines = F.regexp_replace("json", ",", ",\n  ").alias("json")
+    packed.select("document", lines).write.partitionBy("document").text(f"{base}/job_industries")
+    with _small_parts(spark, 1 << 16):
+        ingest.load_table(store, base, "job_industries", json_layout="array")
+    return silver.job_industries(store.read("bronze", "job_industries"))
+
+
 def _store(spark, name) -> tuple[TableStore, str]:
     """A folder store and an input folder below the scratch folder."""
     base = scratch_path(spark, name)

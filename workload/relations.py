@@ -26,6 +26,10 @@ FLAGS = ("1.0", "0", "Yes", "FAUX", "on", "", "maybe", "Oui", "f")
 INFERRED = ("1", "vrai", "NO", "1.0", "", " oui ", "faux")
 
 
+#: A description with line breaks, quotes and commas, made of a plain one.
+LONG_DESCRIPTION = """concat('"', replace(description, ' ', ',\n'), '",\n', description, '\n')"""
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
