@@ -103,3 +103,15 @@ def job_analytics(
         heavy_companies,
         spread_by=["job_id", "industry_id"],
     ).select(*ANALYTICS)
+
+
+def by_industry(analytics: DataFrame) -> DataFrame:
+    """``job_analytics`` in the order it is stored in: ranges of industries.
+
+    A filter on codes, which reaches the scan, then skips the files and row groups of all others. A
+    code with many rows is cut over several ranges by a hash of the job, so no task has it whole.
+    """
+    spread = F.xxhash64("job_id", "title")
+    return analytics.repartitionByRange("industry_id", spread).sortWithinPartitions(
+        "industry_id", spread
+    )

@@ -15,18 +15,19 @@ Options = Mapping[str, Mapping[str, object]]
 
 
 def load_bronze(store: TableStore, base: str, **options) -> dict[str, DataFrame]:
-    """All files of ``base`` into new bronze tables, which replace the old ones when complete.
+    """All files of ``base`` into new bronze tables, which replace the old ones when all are complete.
 
     ``options`` as in ``ingest.load_table``, whose loads of later files continue this one.
     """
     tables = (*CSV_TABLES, *JSON_TABLES)
-    for table in tables:
-        load_table(store, base, table, full=True, **options)
+    with store.building("bronze"):
+        for table in tables:
+            load_table(store, base, table, full=True, **options)
     return {table: store.read("bronze", table) for table in tables}
 
 
 def build_silver(store: TableStore, options: Options | None = None) -> dict[str, DataFrame]:
-    """Rebuild the eight silver tables from bronze.
+    """Rebuild the eight silver tables from bronze; they become current together.
 
     ``options`` maps a table to the options of its function in ``silver``, for example
     ``{"job_postings": {"on_bad_epoch": "null"}, "companies": {"on_bad": "null"}}``.
@@ -35,44 +36,42 @@ def build_silver(store: TableStore, options: Options | None = None) -> dict[str,
     unknown = set(options) - set(TABLES["silver"])
     if unknown:
         raise ValueError(f"no silver tables: {sorted(unknown)}")
-    built = {}
-    for table in TABLES["silver"]:
-        plan = getattr(silver, table)(store.read("bronze", table), **options.get(table, {}))
-        built[table] = store.rebuild("silver", table, plan)
+    bronze, built = store.read_layer("bronze"), {}
+    with store.building("silver"):
+        for table in TABLES["silver"]:
+            plan = getattr(silver, table)(bronze[table], **options.get(table, {}))
+            built[table] = store.rebuild("silver", table, plan)
     return built
 
 
 def build_gold(store: TableStore, buckets: int | None = None) -> dict[str, DataFrame]:
-    """Rebuild the five gold tables from silver.
+    """Rebuild the five gold tables from silver; they become current together.
 
     With ``buckets``, the tables keyed by job are bucketed by it, and the join of postings and
-    industries below reads both sides without a shuffle.
+    industries below reads both sides without a shuffle. ``job_analytics`` is sorted by industry, so
+    that panels read the files and row groups of their codes only.
     """
-
-    def clean(table):
-        return store.read("silver", table)
+    clean = store.read_layer("silver")
 
     def keyed(table, df):
         return store.rebuild("gold", table, df, bucket_by="job_id", buckets=buckets)
 
-    postings = keyed("job_postings", gold.job_postings(clean("job_postings")))
-    industries = keyed("job_industries", gold.job_industries(clean("job_industries")))
-    skills = keyed("job_skills", gold.job_skills(clean("job_skills")))
-    profile = store.rebuild(
-        "gold",
-        "company_profile",
-        gold.company_profile(clean("companies"), clean("employee_counts")),
-    )
-    analytics = store.rebuild(
-        "gold", "job_analytics", gold.job_analytics(postings, industries, profile)
-    )
-    return {
-        "job_postings": postings,
-        "job_industries": industries,
-        "job_skills": skills,
-        "company_profile": profile,
-        "job_analytics": analytics,
-    }
+    with store.building("gold"):
+        built = {
+            "job_postings": keyed("job_postings", gold.job_postings(clean["job_postings"])),
+            "job_industries": keyed("job_industries", gold.job_industries(clean["job_industries"])),
+            "job_skills": keyed("job_skills", gold.job_skills(clean["job_skills"])),
+            "company_profile": store.rebuild(
+                "gold",
+                "company_profile",
+                gold.company_profile(clean["companies"], clean["employee_counts"]),
+            ),
+        }
+        analytics = gold.job_analytics(
+            built["job_postings"], built["job_industries"], built["company_profile"]
+        )
+        built["job_analytics"] = store.rebuild("gold", "job_analytics", gold.by_industry(analytics))
+    return built
 
 
 def run(

@@ -1,4 +1,4 @@
-"""Bronze loads: a file that was loaded once is not loaded again.
+"""Bronze loads: a file that was loaded once is not loaded again, unless it was replaced.
 
 Full and incremental loads are the same stream over an input's files. A full load starts a new
 version of the table with a new record of loaded files, and takes its place when complete; later
@@ -11,6 +11,7 @@ from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from jobtide.schemas import CSV_TABLES, JSON_TABLES, text_schema
 from jobtide.sources.readers import (
@@ -25,6 +26,7 @@ from jobtide.sources.readers import (
 )
 from jobtide.sources.records import lines_of
 from jobtide.sources.store import TableStore, files
+from jobtide.streaming.ledger import Ledger, listed
 
 
 def _reader(spark: SparkSession, max_files_per_trigger: int | None):
@@ -126,6 +128,16 @@ def checkpoint_root(store: TableStore) -> str:
     return f"{warehouse}/{store.namespace}_checkpoints"
 
 
+def ledger(store: TableStore, table: str, checkpoints: str | None = None) -> Ledger:
+    """The files loaded into a bronze table as it is now."""
+    return _ledger(store, table, store.generation("bronze", table), checkpoints)
+
+
+def _ledger(store: TableStore, table: str, generation: str | None, checkpoints: str | None) -> Ledger:
+    folder = f"{checkpoints or checkpoint_root(store)}/{table}-ledger/{generation}"
+    return Ledger(store.spark, folder)
+
+
 def load_table(
     store: TableStore,
     base: str,
@@ -134,38 +146,82 @@ def load_table(
     checkpoints: str | None = None,
     json_layout: str = "lines",
     max_files_per_trigger: int | None = None,
+    on_replaced: str = "reload",
+    on_copy: str = "load",
     **csv,
 ) -> None:
     """Bring one bronze table up to date, or load it anew from all files (``full``).
 
     ``json_layout`` is one of ``readers.JSON_LAYOUTS``; ``csv`` are the options of
-    ``readers.read_csv``.
-
-    A table that does not exist yet is loaded in full. A failing full load leaves the old table.
+    ``readers.read_csv``. A table that does not exist yet is loaded in full. A failing full load
+    leaves the old table.
+
+    The table's ledger tells files whose content was replaced under their name: the table is then
+    loaded anew from all files, rows written directly staying (``on_replaced="reload"``), the load
+    fails before it changes anything (``"refuse"``), or they are left as loaded (``"keep"``). A new
+    file with the content of another one is loaded (``on_copy="load"``) or not (``"skip"``); the
+    ledger names the file it is a copy of.
     """
-    path = input_path(store.spark, base, table)
+    if on_replaced not in ("reload", "refuse", "keep") or on_copy not in ("load", "skip"):
+        raise ValueError("on_replaced is reload, refuse or keep, and on_copy load or skip")
+    spark = store.spark
+    path = input_path(spark, base, table)
+    files_now = listed(spark, path)
+    now = store.generation("bronze", table)
+    kept = None
+    if now is not None and not full:
+        known = _ledger(store, table, now, checkpoints)
+        changes = known.changes(files_now)
+        if changes.replaced and on_replaced == "refuse":
+            raise ValueError(f"files of {table} were replaced after they were loaded: {changes.replaced[:5]}")
+        if changes.replaced and on_replaced == "reload":
+            full, kept = True, store.written_directly(table)
+    version = store.begin("bronze", table) if now is None or full else None
+    if version is not None:
+        known = _ledger(store, table, version, checkpoints)
+        changes = known.changes(files_now)
+    skipped = sorted(changes.copies) if on_copy == "skip" else []
+
     parse = None
     if table in CSV_TABLES:
-        if cut_by_records(store.spark, path, table, csv):
-            stream = lines_of(_reader(store.spark, max_files_per_trigger), path)
+        if cut_by_records(spark, path, table, csv):
+            stream = lines_of(_reader(spark, max_files_per_trigger), path)
             parse = partial(parsed_csv, table=table, **csv)
         else:
-            stream = stream_csv(store.spark, path, table, max_files_per_trigger, **csv)
+            stream = stream_csv(spark, path, table, max_files_per_trigger, **csv)
     elif json_layout == "array":
-        stream = lines_of(_reader(store.spark, max_files_per_trigger), path)
+        stream = lines_of(_reader(spark, max_files_per_trigger), path)
         parse = parsed_array
     else:
-        stream = stream_json(store.spark, path, table, max_files_per_trigger, json_layout)
-    now = None if full else store.generation("bronze", table)
-    version = store.begin("bronze", table) if now is None else None
+        stream = stream_json(spark, path, table, max_files_per_trigger, json_layout)
+    schema = bronze_schema(table) if parse else stream.schema
+    if skipped:
+        stream, parse = _without(stream, parse, skipped)
+
     checkpoint = f"{checkpoints or checkpoint_root(store)}/{table}/{version or now}"
-    if version is None:
-        append_new_files(stream, store, table, checkpoint, parse=parse)
-        return
-    empty = store.spark.createDataFrame([], bronze_schema(table) if parse else stream.schema)
-    store.append_batch("bronze", table, empty, -1, version)  # the schema, if no file has come yet
+    if version is not None:
+        first = spark.createDataFrame([], schema) if kept is None else kept
+        store.append_batch("bronze", table, first, -1, version)  # the schema, if no file has come yet
     append_new_files(stream, store, table, checkpoint, version, parse)
-    store.finish("bronze", table, version)
+    if version is not None:
+        store.finish("bronze", table, version)
+    entries = changes.entries
+    if version is None:  # what was left as loaded is still seen as replaced the next time
+        entries = entries | {path: changes.loaded[path] for path in changes.replaced}
+    if entries != changes.loaded:
+        known.write(entries)
+
+
+def _without(stream: DataFrame, parse, skipped: list[str]):
+    """A stream that tells the file of each row, and a parser that drops those of ``skipped`` files."""
+    place = F.regexp_replace("_metadata.file_path", "^file:/+", "file:///")
+    marked = stream.select("*", place.alias("__file"))
+
+    def kept(batch: DataFrame) -> DataFrame:
+        rows = batch.where(~F.col("__file").isin(skipped)).drop("__file")
+        return parse(rows) if parse else rows
+
+    return marked, kept
 
 
 def load_new_files(store: TableStore, base: str, checkpoints: str | None = None, **options) -> None:
