@@ -54,6 +54,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ranked(df: DataFrame, name: str, *order: Column) -> DataFrame:
+    """``df`` with a stored column ``name``: the place of each row in ``order``, from 0.
+
+    Sorted by ranges, so no task has all rows; only row counts of the partitions, one number each,
+    are added up in sequence. Columns of ``df`` must not be called ``name``.
+    """
+    spark = df.sparkSession
+    place = F.monotonically_increasing_id()
+    sorted_ = stored(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(name, place), "ranked")
+    part = F.shiftright(name, 33)
+    before, total = [], 0
+    for row in sorted(sorted_.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()):
+        before.append((row.part, total))
+        total += row.n
+    parts = F.broadcast(spark.createDataFrame(before, "__part long, __before long"))  # a row per partition
+    rank = F.col("__before") + F.expr(f"`{name}` & {(1 << 33) - 1}L")
+    return sorted_.join(parts, part == F.col("__part")).withColumn(name, rank).drop("__part", "__before")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

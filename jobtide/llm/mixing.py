@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from jobtide.llm.common import HASH_BITS, key_text, packed, seeded_number, unpacked
+from jobtide.llm.common import HASH_BITS, key_text, packed, ranked, seeded_number, stored, unpacked
 
 SEED = 7_041
 WEIGHTS = (5, 2, 1)
@@ -33,32 +33,33 @@ def source_targets(
     Sources in order of code points, NULL last, have the ``weights`` in turn and divide
     ``share`` times all words. No target is above ``cap`` times its source; what is above is
     shared again by weight, until none is. That is one level L with target = min(cap * size,
-    L * weight): with sources sorted by cap * size / weight, the first k are at their cap, and L
-    is what the others get for each unit of weight. One row per source, so windows over all
-    sources are small.
+    L * weight), L being what the sources below their cap get for each unit of weight. It rises
+    until no more reach their cap, a sum over all sources each time, so there may be any number.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    cycle = F.array(*[F.lit(w) for w in weights])
-    ranked = sizes.withColumn(
-        "weight", F.element_at(cycle, ((F.row_number().over(by_name) - 1) % len(weights)) + 1)
-    ).withColumn("most", F.col("source_size") * F.lit(cap))
-    everything = Window.partitionBy(F.lit(0))
-    filling = everything.orderBy(
-        F.col("most") / F.col("weight"), F.col("source").asc_nulls_last()
+    placed = ranked(sizes, "nth", F.col("source").asc_nulls_last())
+    weight = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("nth") % len(weights) + 1).cast("int"))
+    placed = placed.select(
+        "source", "source_size", weight.alias("weight"), (F.col("source_size") * cap).alias("most")
     )
-    level = (
-        F.lit(share) * F.sum("source_size").over(everything)
-        - (F.sum("most").over(filling) - F.col("most"))
-    ) / (F.sum("weight").over(everything) - F.sum("weight").over(filling) + F.col("weight"))
-    ranked = ranked.withColumn("level", level).withColumn("nth", F.row_number().over(filling))
-    free = F.col("level") * F.col("weight") <= F.col("most")
-    first = F.min(F.when(free, F.struct("nth", "level"))).over(everything)
-    ranked = ranked.withColumn("first", first)
-    capped = F.col("first").isNull() | (F.col("nth") < F.col("first.nth"))
-    target = F.when(capped, F.col("most").cast("double")).otherwise(
-        F.col("first.level") * F.col("weight")
+    placed = stored(placed, "weighed-sources")
+    level, full = None, 0
+    while True:
+        capped = F.lit(False) if level is None else F.col("most") < F.lit(level) * F.col("weight")
+        total, spent, free, reached = placed.agg(
+            F.sum("source_size"),
+            F.sum(F.when(capped, F.col("most"))),
+            F.sum(F.when(~capped, F.col("weight"))),
+            F.sum(capped.cast("bigint")),
+        ).first()
+        if free is None or level is not None and reached == full:
+            break
+        level, full = (share * total - (spent or 0)) / free, reached
+    if level is None:  # no sources
+        return placed.select("source", "source_size", F.col("most").cast("double").alias("target"))
+    target = F.when(F.col("most") < F.lit(level) * F.col("weight"), F.col("most").cast("double"))
+    return placed.select(
+        "source", "source_size", target.otherwise(F.lit(level) * F.col("weight")).alias("target")
     )
-    return ranked.select("source", "source_size", target.alias("target"))
 
 
 def mix_sources(
@@ -80,62 +81,48 @@ def mix_sources(
     order. Of the row at the boundary, the nearer side of the target is taken; a source misses
     its target by half a document at most.
 
-    Random numbers depend on seed and id alone, so reruns agree. A hot source is cut into bins of
-    the random order; only sums per bin are accumulated in sequence, and only a bin is sorted.
+    Random numbers depend on seed and id alone, so reruns agree. Where a source's order is cut is
+    found from numbers only, in sums per bin and then per bin of the bin it falls in; each row is
+    then compared with its source's cut. So rows are neither sorted nor shuffled, whatever texts
+    they hold, and a hot source is like any other. ``rows`` are read twice.
 
-    A NULL source is a source of its own. Rows with equal ids (or none) draw the same number and
-    are ordered by size and a hash of the row; rows that agree in all columns are
-    interchangeable. Sources without words have target 0. An empty table gives an empty table.
-    Columns of ``rows`` with the names of new columns are replaced.
+    A NULL source is a source of its own. A NULL id draws from a hash of the row. Rows with equal
+    ids draw the same number and are ordered by size and a hash of the row; rows that agree in all
+    columns are interchangeable, and only if some of those are taken and some not are they numbered.
+    Sources without words have target 0. An empty table gives an empty table. Columns of ``rows``
+    with the names of new columns are replaced.
     """
-    size = F.coalesce(rows[size_col].cast("bigint"), F.lit(0).cast("bigint"))
-    number = seeded_number(rows[id_col], seed)
-    drawn = rows.select(
-        packed(rows).alias("row"),
-        rows[source_col].cast("string").alias("source"),
-        size.alias("size"),
-        number.alias("id_number"),
-    )
-    uniform = (F.col("id_number") + F.lit(0.5)) / F.lit(float(1 << HASH_BITS))
-    odds = uniform / (1 - uniform)
-    tilt = (F.col("size") + F.lit(1.0)) / (F.col("size") + F.lit(HALF_ODDS_WORDS))
-    drawn = drawn.withColumn("quotient", odds / tilt).withColumn("key", key_text(F.col("source")))
-    quotient = F.col("quotient")
-    drawn = drawn.withColumn("bin", F.floor(quotient / (1 + quotient) * F.lit(bins)))
-
-    sums = drawn.groupBy("key", "source", "bin").agg(F.sum("size").alias("words"))
-    of_source = Window.partitionBy("key")
-    sums = sums.select(
-        "key",
-        "source",
-        "bin",
-        F.sum("words").over(of_source).alias("source_size"),
-        (F.sum("words").over(of_source.orderBy("bin")) - F.col("words")).alias("before"),
-    )
-    totals = drawn.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = source_targets(totals, weights, share, cap).select(
-        key_text(F.col("source")).alias("key"), "target"
-    )
-    sums = sums.drop("source").join(targets, "key")
+    drawn = _drawn(rows, id_col, source_col, size_col, seed)
+    slim = drawn.withColumn("hash", F.xxhash64("row")).drop("row")
+    slim = stored(slim, "drawn-rows")
+    totals = slim.groupBy("source").agg(F.sum("size").alias("source_size"))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
-    sums = sums.withColumn("whole", F.coalesce(whole, F.lit(0)).cast("bigint")).withColumn(
-        "rest", F.col("target") - F.col("whole") * F.col("source_size")
-    )
-
-    in_bin = Window.partitionBy("key", "bin").orderBy(
-        "quotient", "id_number", "size", F.xxhash64("row")
-    )
-    running = F.sum("size").over(in_bin.rowsBetween(Window.unboundedPreceding, 0))
-    dealt = (
-        drawn.drop("source")
-        .join(sums, ["key", "bin"])
-        .withColumn("upto", F.col("before") + running)
+    targets = source_targets(totals, weights, share, cap).select(
+        key_text(F.col("source")).alias("key"),
+        "source_size",
+        "target",
+        F.coalesce(whole, F.lit(0)).cast("bigint").alias("whole"),
     )
-    below = F.col("upto") - F.col("size")
-    over = F.col("upto") - F.col("rest")
-    nearer = (below < F.col("rest")) & (over <= F.col("rest") - below)
-    taken = (F.col("rest") > 0) & ((over <= 0) | nearer)
-    dealt = dealt.withColumn("copies", F.col("whole") + taken.cast("bigint"))
+    rest = F.col("target") - F.col("whole") * F.col("source_size")
+    targets = stored(targets.withColumn("rest", rest), "targets")
+    cuts = stored(targets.drop("rest").join(_cuts(slim, targets, bins), "key", "left"), "cuts")
+
+    dealt = drawn.drop("source").join(cuts, "key")
+    at, cut = F.struct("quotient", "number", "size"), F.col("cut")
+    hashed = F.xxhash64("row")
+    below = (at < cut) | ((at == cut) & (hashed < F.col("cut_hash")))
+    level = (at == cut) & (hashed == F.col("cut_hash"))
+    extra = F.coalesce(below | (level & (F.col("equal_taken") == F.col("equal"))), F.lit(False))
+    apart = cuts.where("equal_taken > 0 and equal_taken < equal")
+    if apart.isEmpty():
+        dealt = dealt.withColumn("extra", extra)
+    else:
+        tied = level & (F.col("equal_taken") > 0) & (F.col("equal_taken") < F.col("equal"))
+        tied = F.coalesce(tied, F.lit(False))
+        nth = F.row_number().over(Window.partitionBy("key").orderBy(F.lit(0)))
+        some = dealt.where(tied).withColumn("extra", nth <= F.col("equal_taken"))
+        dealt = dealt.where(~tied).withColumn("extra", extra).unionByName(some)
+    dealt = dealt.withColumn("copies", F.col("whole") + F.col("extra").cast("bigint"))
     return unpacked(
         dealt,
         "row",
@@ -147,6 +134,82 @@ def mix_sources(
     )
 
 
+def _drawn(rows: DataFrame, id_col: str, source_col: str, size_col: str, seed: int) -> DataFrame:
+    """row, key, source, size, number, quotient."""
+    size = F.coalesce(rows[size_col].cast("bigint"), F.lit(0).cast("bigint"))
+    drawn = rows.select(
+        packed(rows).alias("row"),
+        rows[source_col].cast("string").alias("source"),
+        size.alias("size"),
+        rows[id_col].cast("string").alias("id"),
+    )
+    own = F.concat(F.lit("row "), F.xxhash64("row").cast("string"))
+    drawn = drawn.withColumn("number", seeded_number(F.coalesce("id", own), seed)).drop("id")
+    uniform = (F.col("number") + F.lit(0.5)) / F.lit(float(1 << HASH_BITS))
+    odds = uniform / (1 - uniform)
+    tilt = (F.col("size") + F.lit(1.0)) / (F.col("size") + F.lit(HALF_ODDS_WORDS))
+    return drawn.withColumn("quotient", odds / tilt).withColumn("key", key_text(F.col("source")))
+
+
+def _cuts(slim: DataFrame, targets: DataFrame, bins: int) -> DataFrame:
+    """Where each source's order is cut: key, cut, cut_hash, equal, equal_taken.
+
+    ``cut`` is (quotient, number, size) of the last rows taken. Of several such rows those below
+    ``cut_hash`` are taken, and of the ``equal`` ones with that hash ``equal_taken``. Sources that
+    need nothing beyond whole copies have no row.
+    """
+    quotient = F.col("quotient")
+    scaled = quotient / (1 + quotient) * F.lit(bins)
+    slim = slim.withColumn("bin", F.floor(scaled))
+    slim = slim.withColumn("fine", F.floor((scaled - F.col("bin")) * F.lit(bins)))
+    limits = targets.where("rest > 0").select("key", "rest", F.lit(0).cast("bigint").alias("start"))
+
+    def narrowed(sums: DataFrame, known: DataFrame, *by: str) -> DataFrame:
+        """The last bin that begins at or before the cut; all bins before it are taken whole."""
+        running = Window.partitionBy("key").orderBy(*by)
+        start = F.col("start") + F.sum("words").over(running) - F.col("words")
+        found = sums.join(known, "key").withColumn("start", start).where("start <= rest")
+        last = F.max(F.struct(*by, "start", *[c for c in sums.columns if c not in ("key", "words", *by)]))
+        return found.groupBy("key", "rest").agg(last.alias("last")).select("key", "rest", "last.*")
+
+    for name in ("bin", "fine"):
+        limits = stored(narrowed(slim.groupBy("key", name).agg(F.sum("size").alias("words")), limits, name), "bins")
+        slim = slim.join(limits.select("key", name), ["key", name])
+        limits = limits.drop(name)
+    order = ("quotient", "number", "size")
+    groups = slim.groupBy("key", *order).agg(F.sum("size").alias("words"), F.count("*").alias("n"))
+    left = F.col("rest") - F.col("start")
+    full = F.when(F.col("size") > 0, F.floor(left / F.col("size"))).otherwise(F.col("n"))
+    taken = F.least(full, "n").cast("bigint")
+    below = left - F.col("taken") * F.col("size")  # what is missing after those that fit
+    nearer = (F.col("taken") < F.col("n")) & (below > 0) & (F.col("size") - below <= below)
+    last = narrowed(groups, limits, *order).withColumn("taken", taken)
+    last = last.withColumn("taken", F.col("taken") + nearer.cast("bigint"))
+    last = stored(last.select("key", F.struct(*order).alias("cut"), "n", "taken"), "cut-groups")
+
+    # Several rows of one id and size: the smallest hashes are taken, found by bins once more.
+    whole = last.where("taken = 0 or taken = n").select(
+        "key", "cut", F.lit(-(1 << 63)).cast("bigint").alias("cut_hash"), F.lit(0).cast("bigint").alias("equal"),
+        F.lit(0).cast("bigint").alias("equal_taken"), "taken",
+    )
+    most = F.when(F.col("taken") > 0, F.lit((1 << 63) - 1)).otherwise(F.col("cut_hash"))
+    whole = whole.withColumn("cut_hash", most.cast("bigint")).drop("taken")
+    some = last.where("taken > 0 and taken < n").select("key", "cut", "taken")
+    tied = slim.withColumn("cut", F.struct(*order)).join(some, ["key", "cut"])
+    for by in (F.shiftright("hash", 48), F.col("hash")):
+        counts = tied.groupBy("key", "cut", "taken", by.alias("part")).agg(F.count("*").alias("c"))
+        upto = F.sum("c").over(Window.partitionBy("key").orderBy("part"))
+        first = counts.withColumn("upto", upto).where("upto >= taken").groupBy("key").agg(
+            F.min(F.struct("part", "c", "upto", "taken", "cut")).alias("f")
+        ).select("key", "f.*")
+        here = first.select("key", "cut", "part", (F.col("taken") - F.col("upto") + F.col("c")).alias("taken"), "c")
+        tied = tied.drop("cut", "taken").withColumn("part", by).join(here.drop("c"), ["key", "part"]).drop("part")
+    some = here.select(
+        "key", "cut", F.col("part").alias("cut_hash"), F.col("c").alias("equal"), F.col("taken").alias("equal_taken")
+    )
+    return whole.unionByName(some)
+
+
 def repeated(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """The mix itself: ``columns`` of every row as often as ``copies`` says."""
     copies = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))

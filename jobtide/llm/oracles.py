@@ -36,8 +36,8 @@ placed AS (
         count(*) OVER () AS total
     FROM ranked),
 dealt AS (SELECT *, place * 40 // total AS shard FROM placed)
-SELECT doc_id, source, size, text_crc32, 'rows' AS law, shard::INTEGER AS shard,
-    place - (shard * total + 39) // 40 AS slot, NULL::INTEGER AS grown_shard
+SELECT doc_id, size, text_crc32, 'rows' AS law, shard::INTEGER AS shard,
+    place - (shard * total + 39) // 40 AS slot, NULL::INTEGER AS grown_shard, source
 FROM dealt
 """
 
@@ -110,8 +110,8 @@ taken AS (
     SELECT *, whole + CASE WHEN rest > 0 AND (upto <= rest
         OR (upto - size < rest AND upto - rest <= rest - (upto - size))) THEN 1 ELSE 0 END AS copies
     FROM running)
-SELECT doc_id, source, size, source_size, target, copies::BIGINT AS copies,
-    (copies * size)::BIGINT AS taken
+SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken, source,
+    copies::BIGINT AS copies
 FROM taken
 """
 

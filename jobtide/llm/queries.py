@@ -62,13 +62,13 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return sharding.assign_shards(rows, SHARDS).select(
         "doc_id",
-        "source",
         "size",
         "text_crc32",
         F.lit("rows").alias("law"),
         "shard",
         "slot",
         F.lit(None).cast("int").alias("grown_shard"),
+        "source",
     )
 
 
@@ -108,7 +108,8 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     sized = documents(spark, sf_dir).select("doc_id", "source", word_count().alias("size"))
-    return mixing.mix_sources(stored(sized, "sized-documents"))
+    mixed = mixing.mix_sources(stored(sized, "sized-documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
 def remainder(n: int) -> F.Column:

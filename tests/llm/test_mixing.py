@@ -82,3 +82,30 @@ def test_odd_rows(table):
     assert all(r.taken == 0 for r in taken if r.source is None)
     assert mix_sources(table([], DDL)).collect() == []
     assert repeated(found, ["doc_id"]).where("doc_id = 7").count() == 6
+
+
+def test_many_rows_of_one_id(table):
+    part = [(5, "hot", 10, str(i % 700)) for i in range(1400)] + [(None, "hot", 10, str(i)) for i in range(600)]
+    part += [(i, "b", 7, "") for i in range(100)]
+    found = mix_sources(table(part, DDL.replace("target", "note"))).where("source = 'hot'").collect()
+    assert {r.copies for r in found} <= {0, 1, 2} and len(found) == 2000
+    assert abs(sum(r.taken for r in found) - found[0].target) <= 5
+    assert sorted(r.note for r in found if r.doc_id == 5) == sorted(str(i % 700) for i in range(1400))
+    nulls = [r.copies for r in found if r.doc_id is None]
+    assert 0.3 < sum(nulls) / 600 / (found[0].target / 20000) < 3  # they draw apart from each other
+
+
+def test_equal_rows_partly_taken(table):
+    part = [(1, "a", 10, "same")] * 50 + [(1, "b", 10, "same")] * 10
+    found = mix_sources(table(part, DDL.replace("target", "note"))).collect()
+    for source in "ab":
+        own = [r for r in found if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= 5
+        assert len({r.copies for r in own}) <= 2
+
+
+def test_many_sources_share_alike(table):
+    sizes = {f"host{i}": (i * 7919) % 501 for i in range(2000)} | {None: 5}
+    found = source_targets(table(list(sizes.items()), "source string, source_size long"))
+    expected = water(sizes)
+    assert {r.source: pytest.approx(r.target) for r in found.collect()} == expected

@@ -103,3 +103,26 @@ def test_pipeline(spark, sf_dir):
     labels = {r["doc_id"]: r["quality"] for r in pq.read_table(f"{sf_dir}/labels.parquet").to_pylist()}
     good = [i for i in ids[names[0]] if labels.get(i) == 1]
     assert sum(i in set(ids[names[1]]) for i in good) >= 0.97 * len(good)
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, `a.b` int, `a b` string, score int, row string"
+
+
+def test_pipeline_odd_rows(spark, table, sf_dir):
+    long = " ".join(f"word{i}" for i in range(60_000))
+    rest = ("en", "s", 1, 2, "x", 3, "y")
+    rows = [(1, None, *rest), (2, "", *rest), (None, "some words to keep here", *rest), (4, long, *rest)]
+    rows += [(5, "twice the same row", *rest)] * 2 + [(6, "no source", None, None, None, None, None, None, None)]
+    for docs in (table(rows, ODD), table([], ODD)):
+        for name, stage in corpus_pipeline.STAGES:
+            if name == "quality classifier":
+                out = stage(spark, docs, sf_dir)
+                assert out.columns == docs.columns and out.count() <= docs.count()
+                continue  # whichever it keeps, the others get all
+            out = stage(spark, docs, sf_dir)
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert out.columns == docs.columns
+            if name == "n-gram jaccard join" and docs.count():
+                assert sorted((r.doc_id for r in out.collect()), key=repr) == [1, 2, 4, 5, 6, None]
+            if name == "benchmark decontamination":
+                assert out.count() == docs.count()
