@@ -15,6 +15,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +35,7 @@ SUFFIXES_PER_BUCKET = 1_000_000
 HEAVY = 1 / 4_096
 #: Frequent words are sent to all tasks up to so many bytes; beyond, suffixes keep rare words.
 WORD_BYTES = 16 << 20
-SMALL = 1_024
+SMALL = 16_384
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -166,15 +167,15 @@ def _count_words(limit: int, least_heavy: float):
     return count
 
 
-def _windows(words: Words, allowed: np.ndarray) -> np.ndarray:
-    """Codes of up to four words from each word on; -1 after a piece ends or a word not allowed."""
+def _windows(words: Words, values: np.ndarray) -> np.ndarray:
+    """Values of up to four words from each word on; 0 after a piece ends or a word without value."""
     n = len(words.codes)
-    out = np.full((DEEPEST, n), -1, np.int64)
-    alive = allowed & words.own
-    out[0, alive] = words.codes[alive]
+    out = np.zeros((DEEPEST, n), np.int64)
+    alive = words.own & (values > 0)
+    out[0, alive] = values[alive]
     for k in range(1, min(DEEPEST, n)):
-        alive = alive[: n - k] & allowed[k:] & (words.pieces[k:] == words.pieces[: n - k])
-        out[k, : n - k][alive] = words.codes[k:][alive]
+        alive = alive[: n - k] & (values[k:] > 0) & (words.pieces[k:] == words.pieces[: n - k])
+        out[k, : n - k][alive] = values[k:][alive]
     return out
 
 
@@ -187,61 +188,76 @@ def _heavy(
     if not often.any():
         return []
     shown = words.dictionary.to_pylist()
-    at = _windows(words, often[words.codes])
+    at = _windows(words, np.where(often[words.codes], words.codes + 1, 0))
     found = []
     for size in (2, 3):
-        have = np.flatnonzero(at[size - 1] >= 0)
+        have = np.flatnonzero(at[size - 1])
         number = lang[have]
         for k in range(size):  # renumber at every step, so that keys stay small
-            number = np.unique(number * len(shown) + at[k][have], return_inverse=True)[1]
+            number = np.unique(number * (len(shown) + 1) + at[k][have], return_inverse=True)[1]
         _, one, counts = np.unique(number, return_index=True, return_counts=True)
         for i, n in zip(have[one[counts >= least]], counts[counts >= least].tolist(), strict=True):
-            phrase = b" ".join(shown[c] for c in at[:size, i])
+            phrase = b" ".join(shown[c - 1] for c in at[:size, i])
             found.append((langs[lang[i]], phrase, size, n))
     return found
 
 
 SUFFIXES = "bucket int, langs array<string>, words array<string>, cells binary"
+_BITS = 22  # a word's number within a chunk, or among the frequent ones sent to all tasks
 
 
 def _hash(text: bytes, salt: int) -> int:
     return zlib.crc32(text, salt) | zlib.crc32(text, salt ^ 0x5BD1E995) << 32
 
 
+def _cells(columns: list[np.ndarray]) -> bytes:
+    """int32 columns, compressed by byte planes: neighbours in a plane are alike."""
+    planes = np.vstack(columns).astype("<i4").view(np.uint8).reshape(len(columns), -1, 4)
+    return zstandard.ZstdCompressor(3).compress(planes.transpose(0, 2, 1).tobytes())
+
+
+def _columns(cells: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(cells), np.uint8)
+    planes = planes.reshape(DEEPEST + 2, 4, -1).transpose(0, 2, 1)
+    return np.ascontiguousarray(planes).view("<i4")[:, :, 0]
+
+
 def _split_suffixes(frequent, heavy, buckets: int, limit: int):
     """Distinct suffixes of a chunk with their counts, dealt to buckets by their leading words.
 
     Two words lead; three where the pair is heavy, four where the triple is. Bucket numbers say how
     many: ``buckets`` of each kind, in this order. ``cells`` are int32 columns: language, words,
-    count; words past the end of a suffix are -1.
+    count. Words are numbers in ``frequent``, or else in ``words``, from 1; 0 is past the end.
     """
 
     def split(batches):
+        numbers = frequent and {
+            lang: {w: i for i, w in enumerate(words, 1)} for lang, words in frequent.items()
+        }
         for batch in batches:
             lang_of, langs = _lang_codes(batch)
             for words in chunks(batch.column("text"), limit):
-                yield from deal(words, lang_of[words.rows], langs)
+                yield from deal(words, lang_of[words.rows], langs, numbers)
 
-    def deal(words: Words, lang, langs):
+    def deal(words: Words, lang, langs, numbers):
         dictionary = words.dictionary.to_pylist()
-        if frequent is None:
-            allowed = np.ones(len(words.codes), bool)
+        if numbers is None:
+            own = {w: i for i, w in enumerate(dictionary, 1)}
+            number_of = dict.fromkeys(langs, own)
+            values = words.codes + 1
+            hashes = np.array([0, *[_hash(w, 7) for w in dictionary]], np.uint64)
         else:
-            known = np.array(
-                [[w in frequent.get(name, ()) for w in dictionary] for name in langs], bool
-            ).reshape(len(langs), -1)
-            allowed = known[lang, words.codes]
-        at = _windows(words, allowed)
-        have = at[1] >= 0
+            number_of = {name: numbers.get(name, {}) for name in langs}
+            known = np.array([[number_of[x].get(w, 0) for w in dictionary] for x in langs], np.int64)
+            values = known.reshape(len(langs), -1)[lang, words.codes]
+            hashes = None
+        at = _windows(words, values)
+        have = at[1] > 0
         at, lang = at[:, have], lang[have]
         if not len(lang):
             return
-        used, at = np.unique(np.concatenate([[-1], at.ravel()]), return_inverse=True)
-        at = at[1:].reshape(DEEPEST, -1)  # 0 is no word
-        shown = [b"", *[dictionary[c] for c in used[1:]]]
-        wide = len(shown)
-        pair = (lang * wide + at[0]) * wide + at[1]
-        rest = at[2] * wide + at[3]
+        pair = (lang << 2 * _BITS) | (at[0] << _BITS) | at[1]
+        rest = (at[2] << _BITS) | at[3]
         order = np.lexsort((rest, pair))
         pair, rest = pair[order], rest[order]
         new = np.ones(len(order), bool)
@@ -249,39 +265,23 @@ def _split_suffixes(frequent, heavy, buckets: int, limit: int):
         starts = np.flatnonzero(new)
         counts = np.diff(np.append(starts, len(order)))
         pair, at, lang = pair[starts], at[:, order[starts]], lang[order[starts]]
-        number = {w: i for i, w in enumerate(shown)}
-        name = {x: i for i, x in enumerate(langs)}
-        leading = np.full(len(pair), 2)
-        for lead in (2, 3):
-            keys = [
-                ((name[x] * wide + codes[0]) * wide + codes[1], codes[2] if lead == 3 else 0)
-                for x, phrase in heavy[lead]
-                if x in name
-                and None not in (codes := [number.get(w) for w in phrase.split(b" ")])
-            ]
-            if lead == 2:
-                leading[np.isin(pair, [k for k, _ in keys])] = 3
-            else:
-                for k, third in keys:
-                    low, high = np.searchsorted(pair, [k, k + 1])
-                    leading[low:high][(at[2][low:high] == third) & (leading[low:high] == 3)] = 4
-        hashes = np.array([_hash(w, 7) for w in shown], np.uint64)
+        leading = _leading(pair, at[2], heavy, langs, number_of)
         route = np.array([_hash(x.encode(), 11) for x in langs], np.uint64)[lang]
         for k in range(DEEPEST):
-            route = np.where(leading > k, byte_text.mix(route ^ hashes[at[k]]), route)
+            step = hashes[at[k]] if hashes is not None else at[k].astype(np.uint64)
+            route = np.where(leading > k, byte_text.mix(route ^ step), route)
         bucket = (route % np.uint64(buckets)).astype(np.int64) + (leading - 2) * buckets
         order = np.argsort(bucket, kind="stable")
-        edges = np.flatnonzero(np.diff(bucket[order])) + 1
+        edges = [0, *(np.flatnonzero(np.diff(bucket[order])) + 1).tolist(), len(order)]
         out = []
-        for part in np.split(order, edges):
-            local, codes = np.unique(at[:, part], return_inverse=True)
-            codes = codes.reshape(DEEPEST, -1) - (1 if local[0] == 0 else 0)
-            local = local[local > 0]
-            cells = np.vstack([lang[part], codes, counts[part]]).astype("<i4")
-            out.append(
-                (int(bucket[part[0]]), langs, [shown[w] for w in local.tolist()],
-                 zlib.compress(cells.tobytes(), 1))
-            )
+        for low, high in zip(edges[:-1], edges[1:], strict=True):
+            part = order[low:high]
+            codes, shown = at[:, part], []
+            if numbers is None:
+                local, codes = np.unique(codes, return_inverse=True)
+                codes = codes.reshape(DEEPEST, -1) + (local[0] > 0)
+                shown = [dictionary[w - 1] for w in local[local > 0].tolist()]
+            out.append((int(bucket[part[0]]), langs, shown, _cells([lang[part], *codes, counts[part]])))
         for low in range(0, len(out), 256):
             columns = list(zip(*out[low : low + 256], strict=True))
             yield pa.RecordBatch.from_arrays(
@@ -297,6 +297,21 @@ def _split_suffixes(frequent, heavy, buckets: int, limit: int):
     return split
 
 
+def _leading(pair: np.ndarray, third: np.ndarray, heavy, langs, number_of) -> np.ndarray:
+    """How many words route each suffix; ``pair`` is sorted."""
+    leading = np.full(len(pair), 2)
+    for size in (2, 3):
+        for lang, phrase in heavy[size]:
+            codes = [number_of.get(lang, {}).get(w) for w in phrase.split(b" ")]
+            if None in codes:
+                continue
+            key = (langs.index(lang) << 2 * _BITS) | (codes[0] << _BITS) | codes[1]
+            low, high = np.searchsorted(pair, [key, key + 1])
+            led = np.ones(high - low, bool) if size == 2 else third[low:high] == codes[2]
+            leading[low:high][led] = size + 1
+    return leading
+
+
 def frequent_phrases(
     columns: list[np.ndarray], weight: np.ndarray, least: int, leading: int = 2
 ) -> Iterator[tuple[int, int, int]]:
@@ -333,7 +348,9 @@ def frequent_phrases(
 
 
 def _short(columns, weight, at, depth, least, leading):
-    at = at[np.lexsort([columns[k][at] for k in range(DEEPEST, depth - 1, -1)])]
+    keys = [columns[k][at].astype(np.int64) + 1 for k in range(depth, DEEPEST + 1)]
+    packed = [a << 32 | b for a, b in zip(keys[::2], [*keys[1::2], *[0] * (len(keys) % 2)], strict=True)]
+    at = at[np.lexsort(packed[::-1])]
     new = np.zeros(len(at), bool)
     new[0] = True
     for k in range(depth, DEEPEST + 1):
@@ -347,7 +364,7 @@ def _short(columns, weight, at, depth, least, leading):
         yield from zip(at[starts[good]].tolist(), [k] * int(good.sum()), counts[good].tolist(), strict=True)
 
 
-def _count_bucket(least: int, buckets: int):
+def _count_bucket(frequent, least: int, buckets: int):
     """Phrases of buckets, which come sorted; one bucket is held at a time."""
 
     def count(batches):
@@ -361,7 +378,7 @@ def _count_bucket(least: int, buckets: int):
                     yield counted(now, rows)
                     rows = []
                 now = bucket
-                rows.append((langs, words, np.frombuffer(zlib.decompress(cells), "<i4").reshape(DEEPEST + 2, -1)))
+                rows.append((langs, words, cells))
         if rows:
             yield counted(now, rows)
 
@@ -370,18 +387,23 @@ def _count_bucket(least: int, buckets: int):
         names: dict[str, int] = {}
         parts = []
         for langs, words, cells in rows:
-            own = np.array([*(numbers.setdefault(w, len(numbers)) for w in words), -1], np.int32)
+            cells = _columns(cells)
             lang = np.array([names.setdefault(x, len(names)) for x in langs], np.int32)
-            parts.append(np.vstack([lang[cells[0]][None], own[cells[1 : DEEPEST + 1]], cells[-1:]]))
+            codes = cells[1 : DEEPEST + 1] - 1
+            if frequent is None:
+                own = np.array([*(numbers.setdefault(w, len(numbers)) for w in words), -1], np.int32)
+                codes = own[codes]
+            parts.append(np.vstack([lang[cells[0]][None], codes, cells[-1:]]))
         cells = np.hstack(parts)
-        shown, langs = list(numbers), list(names)
+        langs = list(names)
+        shown = [list(numbers)] * len(langs) if frequent is None else [frequent.get(x) for x in langs]
+        text = (lambda w: w) if frequent is None else bytes.decode
         columns = list(cells[: DEEPEST + 1])
-        out = [
-            (langs[columns[0][i]], " ".join(shown[columns[k][i]] for k in range(1, size + 1)), size, n)
-            for i, size, n in frequent_phrases(
-                columns, cells[-1].astype(np.int64), least, 2 + bucket // buckets
-            )
-        ]
+        out = []
+        for i, size, n in frequent_phrases(columns, cells[-1].astype(np.int64), least, 2 + bucket // buckets):
+            words = shown[columns[0][i]]
+            phrase = " ".join(text(words[columns[k][i]]) for k in range(1, size + 1))
+            out.append((langs[columns[0][i]], phrase, size, n))
         columns = list(zip(*out, strict=True)) or [[], [], [], []]
         return pa.RecordBatch.from_arrays(
             [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int32(), pa.int64()), strict=True)],
@@ -424,11 +446,11 @@ def phrase_counts(
     total = words.where("size = 0").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     once = words.where("size = 1")
     held = once.agg(F.coalesce(F.sum(F.octet_length("phrase") + 16), F.lit(0))).first()[0]
-    frequent: dict[str, set[bytes]] | None = None
-    if held <= word_bytes:
+    frequent: dict[str, list[bytes]] | None = None
+    if held <= word_bytes:  # at least 17 bytes are reckoned for a word, so numbers are below 2**22
         frequent = {}
-        for lang, word in once.select("lang", "phrase").collect():
-            frequent.setdefault(lang, set()).add(word.encode())
+        for lang, word in once.orderBy(F.desc("n"), "lang", "phrase").select("lang", "phrase").collect():
+            frequent.setdefault(lang, []).append(word.encode())
     heavy = {2: [], 3: []}  # shares of all words add up to one for each size, so these are few
     least_led = max(least_heavy * total / 2, bucket_suffixes / 16)
     shares = (F.col("size") > 1) & (F.col("n") >= least_led)
@@ -439,7 +461,7 @@ def phrase_counts(
     suffixes = texts.mapInArrow(_split_suffixes(frequent, heavy, buckets, chunk_bytes), SUFFIXES)
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(buckets, 100_000))
     dealt = suffixes.repartition(tasks, "bucket").sortWithinPartitions("bucket")
-    found = dealt.mapInArrow(_count_bucket(least, buckets), COUNTS)
+    found = dealt.mapInArrow(_count_bucket(frequent, least, buckets), COUNTS)
     longer = found.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("n"))
     longer = stored(longer.where(F.col("n") >= least), "phrase-counts")
     return words.where("size < 2").unionByName(longer)
