@@ -6,7 +6,8 @@ from workload import registry
 
 QUERIES = registry.QUERIES
 WRITING = {
-    "csv_multiline_split", "json_array_split", "csv_bronze_roundtrip", "json_bronze_roundtrip", "json_lines_bronze", "json_records_bronze",
+    "changed_files_load", "layer_of_one_generation", "names_follow_rebuilds", "layer_profile",
+    "table_changes", "panel_from_stored_layout", "csv_multiline_split", "json_array_split", "csv_bronze_roundtrip", "json_bronze_roundtrip", "json_lines_bronze", "json_records_bronze",
     "incremental_ingest", "bronze_batch_then_stream", "bronze_full_reload", "benefits_bronze",
     "employee_counts_bronze", "company_industries_bronze", "company_specialities_bronze",
     "store_rebuild", "namespaced_row_counts", "current_layer_sql",

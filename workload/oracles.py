@@ -513,6 +513,39 @@ FINAL = {
         UNION ALL SELECT 'job_industries', count(*) FROM s_industries""",
     "current_layer_sql": """SELECT skill_abr, count(*) AS pairs, count(DISTINCT job_id) AS jobs
         FROM g_skills GROUP BY skill_abr""",
+    "panel_from_stored_layout": _panel("labelled_titles", "n", "nb_jobs", "Banking"),
+    "changed_files_load": "SELECT * FROM b_skills WHERE CAST(job_id AS BIGINT) % 3 <> 0",
+    "layer_of_one_generation": " UNION ALL ".join(
+        f"""SELECT '{moment}' AS moment, '{table}' AS "table", count(*) AS rows FROM {view}{part}"""
+        for moment in ("first", "failed", "midway", "last")
+        for table, view in (("job_skills", "s_skills"), ("job_industries", "s_industries"))
+        for part in ["" if moment == "last" else " WHERE job_id % 2 = 0"]
+    ),
+    "names_follow_rebuilds": "SELECT skill_abr, count(*) AS pairs FROM g_skills GROUP BY skill_abr",
+    "layer_profile": " UNION ALL ".join(
+        f"""SELECT '{table}' AS "table", '{column}' AS "column", count(*) AS rows,
+            count(*) - count("{column}") AS nulls, TRUE AS near FROM {view}"""
+        for table, view, columns in (
+            ("job_skills", "s_skills", ("job_id", "skill_abr")),
+            ("job_industries", "s_industries_gaps", ("job_id", "industry_id")),
+            ("benefits", "s_benefits", ("job_id", "inferred", "type")),
+        )
+        for column in columns
+    ),
+    "table_changes": " UNION ALL ".join(
+        f"""SELECT '{name}' AS "column", count(*) FILTER (job_id % 2 = 0) AS rows_before,
+            count(*) AS rows, {missing} AS nulls_before, {every} AS nulls, FALSE AS same
+            FROM s_industries_gaps"""
+        for name, missing, every in (
+            ("*", "0", "0"),
+            ("job_id", "count(*) FILTER (job_id IS NULL AND job_id % 2 = 0)", "count(*) - count(job_id)"),
+            (
+                "industry_id",
+                "count(*) FILTER (industry_id IS NULL AND job_id % 2 = 0)",
+                "count(*) - count(industry_id)",
+            ),
+        )
+    ),
 }
 
 

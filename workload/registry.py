@@ -22,7 +22,7 @@ from jobtide.operators.flatten import explode_elements, variant_field
 from jobtide.operators.joins import heavy_keys
 from jobtide.plans import gold, panels, reports, silver
 from jobtide.sources import readers
-from jobtide.sources.store import TableStore, scratch_path
+from jobtide.sources.store import TableStore, files, scratch_path
 from jobtide.streaming import ingest
 from workload import relations as r
 
@@ -623,3 +623,132 @@ def current_layer_sql(spark, sf_dir):
         "SELECT skill_abr, count(*) AS pairs, count(DISTINCT job_id) AS jobs "
         "FROM job_skills GROUP BY skill_abr"
     )
+
+
+# --- layers, versions and changed files --------------------------------------------------------
+
+
+def _replace_files(spark, folder: str, by: str) -> None:
+    """Files of one folder take the names of the files of another, whose content goes."""
+    fs, at = files(spark, folder)
+
+    def data_files(path):
+        found = fs.listStatus(files(spark, path)[1])
+        return sorted((f.getPath() for f in found if not f.getPath().getName().startswith(("_", "."))), key=str)
+
+    names, new = data_files(folder), data_files(by)
+    for name in names:
+        fs.delete(name, False)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for i, file in enumerate(new):
+        fs.rename(file, names[i] if i < len(names) else path(at, file.getName()))
+
+
+@query
+def changed_files_load(spark, sf_dir):
+    """Files replaced under their names are loaded again, a copy under another name is not."""
+    store, base = _store(spark, "skills-changed")
+    folder = f"{base}/job_skills"
+    skills = r.job_skills(spark, sf_dir)
+    part = F.col("job_id").cast("bigint") % 3
+    for n in range(2):
+        write_csv(skills.where(part == n), f"{folder}/{n}")
+    ingest.load_table(store, base, "job_skills")
+    write_csv(skills.where(part == 2), f"{base}/arrived")
+    _replace_files(spark, f"{folder}/0", f"{base}/arrived")
+    fs, at = files(spark, f"{folder}/1")
+    first = min((f.getPath() for f in fs.listStatus(at) if f.getPath().getName().startswith("part")), key=str)
+    copy = files(spark, f"{folder}/copy.csv")[1]
+    spark._jvm.org.apache.hadoop.fs.FileUtil.copy(fs, first, fs, copy, False, spark._jsc.hadoopConfiguration())
+    ingest.load_table(store, base, "job_skills", on_copy="skip")
+    ingest.load_table(store, base, "job_skills", on_replaced="refuse", on_copy="skip")
+    return store.read("bronze", "job_skills")
+
+
+@query
+def layer_of_one_generation(spark, sf_dir):
+    """What a reader of the layer finds while it is rebuilt, after a failure and at the end."""
+    store, _ = _store(spark, "generations")
+    skills = silver.job_skills(r.job_skills(spark, sf_dir))
+    industries = silver.job_industries(r.job_industries(spark, sf_dir))
+    seen = []
+
+    def look(moment):
+        seen.extend((moment, table, df.count()) for table, df in store.read_layer("silver").items())
+
+    with store.building("silver"):
+        store.rebuild("silver", "job_skills", skills.where("job_id % 2 = 0"))
+        store.rebuild("silver", "job_industries", industries.where("job_id % 2 = 0"))
+    look("first")
+    try:
+        with store.building("silver"):
+            store.rebuild("silver", "job_skills", skills.limit(0))
+            bad = industries.withColumn("job_id", F.raise_error(F.lit("this build fails")).cast("bigint"))
+            store.rebuild("silver", "job_industries", bad)
+    except Exception as error:
+        if "this build fails" not in str(error):
+            raise
+    look("failed")
+    with store.building("silver"):
+        store.rebuild("silver", "job_skills", skills)
+        look("midway")
+        store.rebuild("silver", "job_industries", industries)
+    look("last")
+    return spark.createDataFrame(seen, "moment string, `table` string, rows bigint")
+
+
+@query
+def names_follow_rebuilds(spark, sf_dir):
+    """SQL text written once finds the table of the last of several rebuilds."""
+    store, _ = _store(spark, "following")
+    skills = gold.job_skills(silver.job_skills(r.job_skills(spark, sf_dir)))
+    store.rebuild("gold", "job_skills", skills.where("job_id % 3 = 0"))
+    store.use("gold")
+    store.rebuild("gold", "job_skills", skills.where("job_id % 3 = 1"))
+    store.rebuild("gold", "job_skills", skills)
+    return store.sql("SELECT skill_abr, count(*) AS pairs FROM job_skills GROUP BY skill_abr")
+
+
+@query
+def layer_profile(spark, sf_dir):
+    """Rows and missing values of every column, as stored beside the versions; sketches within 6 %."""
+    store, _ = _store(spark, "profiled")
+    tables = {
+        "job_skills": silver.job_skills(r.job_skills(spark, sf_dir)),
+        "job_industries": silver.job_industries(r.job_industries_gaps(spark, sf_dir)),
+        "benefits": silver.benefits(r.benefits(spark, sf_dir), r.BENEFIT_ARRIVAL),
+    }
+    found = None
+    for table, df in tables.items():
+        stored = store.rebuild("silver", table, df)
+        exact = stored.agg(*[F.count_distinct(c).alias(c) for c in stored.columns]).unpivot(
+            [], stored.columns, "column", "exact"
+        )
+        profile = store.profile("silver", table).join(exact, "column").select(
+            F.lit(table).alias("table"),
+            "column",
+            "rows",
+            "nulls",
+            (F.abs(F.col("distinct") - F.col("exact")) <= 0.06 * F.col("exact") + 1).alias("near"),
+        )
+        found = profile if found is None else found.unionByName(profile)
+    return found
+
+
+@query
+def table_changes(spark, sf_dir):
+    """A version of a table compared with the one before it."""
+    store, _ = _store(spark, "compared")
+    pairs = silver.job_industries(r.job_industries_gaps(spark, sf_dir))
+    store.rebuild("silver", "job_industries", pairs.where("job_id % 2 = 0"))
+    store.rebuild("silver", "job_industries", pairs)
+    changes = store.changes("silver", "job_industries")
+    return changes.select("column", "rows_before", "rows", "nulls_before", "nulls", "same")
+
+
+@query
+def panel_from_stored_layout(spark, sf_dir):
+    """The panel over analytics stored in ranges of industries."""
+    store, _ = _store(spark, "ranges")
+    analytics = store.rebuild("gold", "job_analytics", gold.by_industry(_analytics(spark, sf_dir)))
+    return panels.titles_panel(analytics, PANEL_INDUSTRY)
