@@ -15,22 +15,27 @@ from pyspark.sql import functions as F
 
 from jobtide.llm.common import packed, stored, unpacked
 
-#: name -> (measure, bad above, good below, bad below, good above); None: no such limit.
-RULES: dict[str, tuple[str, float | None, float | None, float | None, float | None]] = {
-    "length": ("n_words", None, None, 50, 100),
-    "word_length": ("word_chars / n_words", 14, 11, 2.5, None),
-    "symbols": ("n_symbols / n_words", 0.10, 0.03, None, None),
-    "symbol_share": ("n_symbols / word_chars", 0.04, 0.01, None, None),
-    "letters": ("n_letters / word_chars", None, None, 0.85, 0.93),
-    "dup_lines": ("n_dup_lines / n_lines", 0.50, 0.20, None, None),
-    "repeats": ("n_repeat_words / n_words", 0.40, 0.20, None, None),
-    "vocabulary": ("n_distinct / n_words", None, None, 0.10, 0.25),
+#: name -> tests of (measure, bad above, good below, bad below, good above); None: no such limit.
+#: Measures that see the same fault are tests of one rule, as the model takes rules as independent.
+RULES: dict[str, tuple[tuple[str, float | None, float | None, float | None, float | None], ...]] = {
+    "length": (("n_words", None, None, 50, 100),),
+    "word_length": (("word_chars / n_words", 14, 11, 2.5, None),),
+    "symbols": (
+        ("n_symbols / n_words", 0.10, 0.03, None, None),
+        ("n_symbols / word_chars", 0.04, 0.01, None, None),
+    ),
+    "letters": (("n_letters / word_chars", None, None, 0.85, 0.93),),
+    "dup_lines": (("n_dup_lines / n_lines", 0.50, 0.20, None, None),),
+    "repeats": (("n_repeat_words / n_words", 0.40, 0.20, None, None),),
+    "vocabulary": (("n_distinct / n_words", None, None, 0.10, 0.25),),
 }
-ROUNDS = 100
-#: Beliefs about votes on good and on bad documents: how often right, and worth what share of
-#: all documents. A rule seldom accuses good documents but knows one fault only.
-RIGHT_ON_GOOD = (0.99, 0.5)
-RIGHT_ON_BAD = (0.4, 0.05)
+ROUNDS = 300
+#: Beliefs about votes on good and on bad documents: how often right, and worth how many documents.
+RIGHT_ON_GOOD = (0.99, 50)
+RIGHT_ON_BAD = (0.4, 50)
+#: Rules are written to accuse good documents seldom. Without this, a fault that one rule alone sees
+#: would be taken for that rule's mistake on good documents, as votes cannot tell these apart.
+LEAST_RIGHT_ON_GOOD = 0.99
 KEEP_FROM = 0.5
 
 _WS = r" \t\n\x0B\f\r"
@@ -125,49 +130,65 @@ def base_failed() -> Column:
 
 
 def votes(rules: Mapping[str, tuple] = RULES) -> dict[str, Column]:
-    """Each rule as a column of 1, 0 or -1; a ratio without a denominator abstains."""
-    found = {}
-    for name, (ratio, bad_above, good_below, bad_below, good_above) in rules.items():
-        over, _, under = ratio.partition(" / ")
-        x = F.col(over).cast("double")
-        x = F.try_divide(x, F.col(under)) if under else x
-        vote = F.lit(None).cast("int")
-        cases = [
-            (bad_above, lambda v: x > v, -1),
-            (bad_below, lambda v: x < v, -1),
-            (good_below, lambda v: x < v, 1),
-            (good_above, lambda v: x > v, 1),
-        ]
-        for limit, holds, value in cases:
-            if limit is not None:
-                vote = F.coalesce(vote, F.when(holds(limit), F.lit(value)))
-        found[name] = F.coalesce(vote, F.lit(0))
-    return found
-
-
-def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS) -> dict:
+    """Each rule as a column of 1, 0 or -1: bad if one of its tests is, good if all are.
+
+    A ratio without a denominator abstains.
+    """
+    return {name: F.least(*[_vote(test) for test in tests]) if len(tests) > 1 else _vote(tests[0])
+            for name, tests in rules.items()}
+
+
+def _vote(test: tuple) -> Column:
+    ratio, bad_above, good_below, bad_below, good_above = test
+    over, _, under = ratio.partition(" / ")
+    x = F.col(over).cast("double")
+    x = F.try_divide(x, F.col(under)) if under else x
+    vote = F.lit(None).cast("int")
+    cases = [
+        (bad_above, lambda v: x > v, -1),
+        (bad_below, lambda v: x < v, -1),
+        (good_below, lambda v: x < v, 1),
+        (good_above, lambda v: x > v, 1),
+    ]
+    for limit, holds, value in cases:
+        if limit is not None:
+            vote = F.coalesce(vote, F.when(holds(limit), F.lit(value)))
+    return F.coalesce(vote, F.lit(0))
+
+
+def estimate(
+    patterns: list[tuple[tuple[int, ...], int]],
+    rounds: int = ROUNDS,
+    on_good: tuple[float, float] = RIGHT_ON_GOOD,
+    on_bad: tuple[float, float] = RIGHT_ON_BAD,
+    least_right_on_good: float = LEAST_RIGHT_ON_GOOD,
+) -> dict:
     """Expectation-maximisation over (votes, documents) pairs.
 
     Returns ``good`` (share of good documents) and for each rule ``right_good`` and ``right_bad``:
-    how often its votes on good, and on bad documents are right. ``RIGHT_ON_GOOD`` and
-    ``RIGHT_ON_BAD`` are the prior beliefs; rules that see the same fault confirm each other.
+    how often its votes on good, and on bad documents are right. ``on_good`` and ``on_bad`` are
+    where the search starts and prior beliefs, worth a fixed number of documents, so that with many
+    documents the votes decide. Ends when nothing changes any more.
     """
     n_rules = len(patterns[0][0]) if patterns else 0
     total = sum(n for _, n in patterns)
-    (g0, g_share), (b0, b_share) = RIGHT_ON_GOOD, RIGHT_ON_BAD
-    g_weight, b_weight = max(1.0, total * g_share), max(1.0, total * b_share)
+    (g0, g_weight), (b0, b_weight) = on_good, on_bad
     good, right_good, right_bad = 0.85, [g0] * n_rules, [b0] * n_rules
     for _ in range(rounds):
         q = [posterior(v, good, right_good, right_bad) for v, _ in patterns]
         good = (sum(p * n for p, (_, n) in zip(q, patterns)) + 8) / (total + 10)
+        before = [*right_good, *right_bad]
         for j in range(n_rules):
             cast = [(p, n, v[j]) for p, (v, n) in zip(q, patterns) if v[j]]
-            on_good = sum(p * n for p, n, _ in cast)
-            on_bad = sum((1 - p) * n for p, n, _ in cast)
+            voted_good = sum(p * n for p, n, _ in cast)
+            voted_bad = sum((1 - p) * n for p, n, _ in cast)
             hit_good = sum(p * n for p, n, v in cast if v > 0)
             hit_bad = sum((1 - p) * n for p, n, v in cast if v < 0)
-            right_good[j] = (hit_good + g0 * g_weight) / (on_good + g_weight)
-            right_bad[j] = (hit_bad + b0 * b_weight) / (on_bad + b_weight)
+            right = (hit_good + g0 * g_weight) / (voted_good + g_weight)
+            right_good[j] = max(least_right_on_good, right)
+            right_bad[j] = (hit_bad + b0 * b_weight) / (voted_bad + b_weight)
+        if max((abs(x - y) for x, y in zip(before, [*right_good, *right_bad])), default=0) < 1e-9:
+            break
     return {"good": good, "right_good": right_good, "right_bad": right_bad}
 
 
