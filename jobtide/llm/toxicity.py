@@ -26,13 +26,14 @@ DECAY = 0.6
 RELATED = 0.40
 #: A word is read in windows of so many letters that overlap by ``OVERLAP``.
 LONGEST, OVERLAP = 24, 12
+#: Stands before the first letter of words and landmarks: where a word begins counts as well.
+START = "\x02"
 STEM_LENGTHS = range(4, 10)
-MOST_LANDMARKS = 48
-#: A landmark marks so many more toxic documents than clean ones, which count ``CLEAN_COST``
-#: times, and this share of the toxic ones.
-LEAST_DOCUMENTS, CLEAN_COST, LEAST_SHARE = 3, 2, 0.015
+#: In each half of the sample, a landmark marks so many more toxic documents than clean ones, which
+#: count ``CLEAN_COST`` times. Landmarks whose weight turns out below ``LEAST_WEIGHT`` are let go.
+LEAST_DOCUMENTS, CLEAN_COST, LEAST_WEIGHT = 3, 2, 0.05
 #: Words of a passage; values of one landmark add up to ``MOST`` at most.
-PASSAGE, MOST = 150, 3.0
+PASSAGE, MOST = 30, 3.0
 SAMPLE = 700
 ROUNDS, STEPS, PENALTY = 3, 600, 1e-4
 #: Words a Python worker remembers; then it starts afresh.
@@ -126,8 +127,11 @@ def related(strings: list[str], landmarks: list[str]) -> np.ndarray:
 def _windows(token: str) -> list[str]:
     """The letters of a token, in windows; too few letters give none."""
     word = _OTHERS.sub("", token)
+    if len(word) < LETTERS:
+        return []
+    word = START + word
     if len(word) <= LONGEST:
-        return [word] if len(word) >= LETTERS else []
+        return [word]
     return [word[i : i + LONGEST] for i in range(0, len(word) - OVERLAP, LONGEST - OVERLAP)]
 
 
@@ -179,51 +183,64 @@ def normal(text: str) -> str:
 
 
 def choose_landmarks(texts: list[str], labels: list[int]) -> list[str]:
-    """Word stems by the toxic documents they mark, less ``CLEAN_COST`` times the clean ones.
+    """Word stems, behind ``START``, by the toxic documents they mark less ``CLEAN_COST`` times the
+    clean ones: by one word that begins with the stem, or by two of a passage if that tells more.
 
-    Near copies count once or twice: what is counted is different smallest word hashes of the
-    documents. Of stems that begin alike the better is taken, of equals the longer, then the first.
+    The documents fall into halves by a hash, and a stem must mark enough in both: what happens to
+    fit one half is held against the other. Near copies count once or twice: what is counted is
+    different smallest word hashes of the documents. There may be any number of landmarks. Of stems
+    that begin alike the better is taken, of equals the longer, then the first.
     """
-    marks: dict[str, set[int]] = {}
-    hidden: dict[str, set[int]] = {}
-    kinds = set()
+    counted: list[dict] = [{}, {}]  # for each half, (level, stem) -> kinds of toxic and clean documents
     for text, y in zip(texts, labels):
         kind = min((zlib.crc32(w.encode()) for w in set(text.split())), default=0)
-        if y:
-            kinds.add(kind)
-        for stem in _stems(text):
-            (marks if y else hidden).setdefault(stem, set()).add(kind)
-    least = max(LEAST_DOCUMENTS, LEAST_SHARE * len(kinds))
-    gain = {
-        s: len(found) - CLEAN_COST * len(hidden.get(s, ()))
-        for s, found in marks.items()
-        if len(found) >= least
-    }
+        half = counted[kind >> 7 & 1]
+        for level, stems in enumerate(_stems(text)):
+            for stem in stems:
+                half.setdefault((level, stem), (set(), set()))[0 if y else 1].add(kind)
+    gain: dict[str, int] = {}
+    for key in counted[0].keys() & counted[1].keys():
+        each = [len(half[key][0]) - CLEAN_COST * len(half[key][1]) for half in counted]
+        if min(each) >= LEAST_DOCUMENTS:
+            gain[key[1]] = max(gain.get(key[1], 0), sum(each))
     chosen: list[str] = []
     for stem in sorted(gain, key=lambda s: (-gain[s], -len(s), s)):
-        if gain[stem] < least or len(chosen) == MOST_LANDMARKS:
-            break
         if not any(stem.startswith(c) or c.startswith(stem) for c in chosen):
             chosen.append(stem)
-    return chosen
+    return [START + stem for stem in chosen]
 
 
 def _variants(landmarks: list[str], seed: int) -> list[str]:
-    """Each landmark with a strange letter at each inner place."""
+    """Each landmark's letters with a strange one at each inner place."""
     rng = np.random.default_rng(seed)
     letters = [chr(c) for c in range(ord("a"), ord("z") + 1)]
-    return [s[:i] + rng.choice(letters) + s[i:] for s in landmarks for i in range(1, len(s))]
-
-
-def _stems(text: str) -> set[str]:
-    words = {_OTHERS.sub("", token) for token in set(text.split())}
-    return {w[:n] for w in words for n in STEM_LENGTHS if len(w) >= n}
+    plain = [s.removeprefix(START) for s in landmarks]
+    return [s[:i] + rng.choice(letters) + s[i:] for s in plain for i in range(1, len(s))]
+
+
+def _stems(text: str) -> tuple[set[str], set[str]]:
+    """Beginnings of words, and those that two words of a passage have."""
+    once: set[str] = set()
+    twice: set[str] = set()
+    last: dict[str, int] = {}
+    for i, token in enumerate(text.split()):
+        word = _OTHERS.sub("", token)
+        for n in STEM_LENGTHS:
+            if len(word) < n:
+                break
+            stem = word[:n]
+            if i - last.get(stem, -PASSAGE) < PASSAGE:
+                twice.add(stem)
+            last[stem] = i
+    once.update(last)
+    return once, twice
 
 
 def train(texts: pa.Array, labels: list[int], seed: int = SEED) -> Model:
     """Landmarks, then a support vector machine over passages, then a logistic curve.
 
-    All passages of clean documents are clean. Of each toxic document with a related word, the
+    Landmarks that get next to no weight are let go, and the rest is fitted again. All passages of
+    clean documents are clean. Of each toxic document with a related word, the
     passage the machine finds worst is its witness, chosen again after each round; landmarks with
     a letter put in are toxic too. Without both classes or without landmarks every score is the
     share of toxic ones.
@@ -234,12 +251,29 @@ def train(texts: pa.Array, labels: list[int], seed: int = SEED) -> Model:
     if not landmarks:
         share = min(max(float(y.mean()) if len(y) else 0.0, 0.01), 0.99)
         return Model([], np.zeros(0), 0.0, 0.0, float(np.log(share / (1 - share))))
-    weights, bias = np.ones(len(landmarks)), 0.0
-    reader = Reader(Model(landmarks, weights, bias, 1.0, 0.0))
     tokens = [t.split() for t in plain]
+    while True:
+        bags = _bags(tokens, landmarks)
+        weights, bias = _fitted(bags, y, landmarks, seed)
+        useful = weights >= LEAST_WEIGHT
+        if useful.all() or not useful.any():
+            break
+        landmarks = [s for s, u in zip(landmarks, useful) if u]
+    slope, shift = _logistic(np.array([(b @ weights).max() + bias for b in bags]), y)
+    return Model(landmarks, weights, bias, slope, shift)
+
+
+def _bags(tokens: list[list[str]], landmarks: list[str]) -> list[np.ndarray]:
+    reader = Reader(Model(landmarks, np.ones(len(landmarks)), 0.0, 1.0, 0.0))
     reader.learn({w for ws in tokens for w in ws})
-    bags = [reader.passages(ws) for ws in tokens]
+    return [reader.passages(ws) for ws in tokens]
+
 
+def _fitted(
+    bags: list[np.ndarray], y: np.ndarray, landmarks: list[str], seed: int
+) -> tuple[np.ndarray, float]:
+    """Weights of the landmarks' kernel values, learned in their Nystroem space, and bias."""
+    weights, bias = np.ones(len(landmarks)), 0.0
     own = [kernel(coded([a]), a)[0] for a in landmarks]
     gram = np.array([kernel(coded(landmarks), b) for b in landmarks], float)
     gram /= np.sqrt(np.outer(own, own))
@@ -260,8 +294,7 @@ def train(texts: pa.Array, labels: list[int], seed: int = SEED) -> Model:
         weight = np.concatenate((share / share.sum(), worth / worth.sum())) / 2
         inner, bias = _machine(np.concatenate((clean, hot)) @ whiten, sign, weight)
         weights = whiten @ inner
-    slope, shift = _logistic(np.array([(b @ weights).max() + bias for b in bags]), y)
-    return Model(landmarks, weights, bias, slope, shift)
+    return weights, bias
 
 
 def _machine(x: np.ndarray, sign: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, float]:
