@@ -14,12 +14,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtide.llm.byte_text import Piece, pieces, word_hashes, words
-
-#: Buckets of two-byte n-grams (exact), three-byte n-grams and words (hashed), and of word pairs
-#: that are one word twice: they share a bucket, as a second one close by does.
-PAIRS, TRIPLES, WORDS = 1 << 16, 1 << 17, 1 << 16
-AGAIN = PAIRS + TRIPLES + WORDS
+from jobtide.llm.byte_text import Piece, is_space, pieces, word_hashes, words
+
+#: Hashed buckets of n-grams of code points within words, and of words. Two more are for word pairs
+#: that are one word twice, next to each other or close by: an average of what a text holds cannot
+#: tell how it repeats itself (README has the figures without them).
+SIZES = (3, 4)
+GRAMS, WORDS = 1 << 18, 1 << 16
+AGAIN = GRAMS + WORDS
 NEAR = AGAIN + 1
 BUCKETS = NEAR + 1
 CLOSE_BY = 6
@@ -41,22 +43,25 @@ class Model(NamedTuple):
 
 
 def _grams(piece: Piece) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(bucket, True where the n-gram lies in one row) for two and three bytes at each start."""
-    memory, size = piece.memory, int(piece.bounds[-1])
-    wide = np.zeros(size + 3, np.uint32)
-    wide[: min(len(memory), size + 3)] = memory[: size + 3]
-    pair = (wide[:-1] << np.uint32(8)) | wide[1:]
-    triple = ((pair[:-1] << np.uint32(8)) | wide[2:]) * np.uint32(0x9E3779B1)
+    """(row, bucket) of all n-grams: for each size, in the order of rows. They are runs of code points
+    inside one word, whatever number of bytes these have."""
+    size = int(piece.bounds[-1])
+    rows, starts, ends = words(piece)
+    memory = piece.memory[:size]
+    first = np.flatnonzero((memory & 0xC0) != 0x80)  # where code points begin
+    letter = ~is_space(memory[first])
+    at = first[letter]
+    word = np.searchsorted(starts, at, side="right") - 1
+    stop = np.append(first, size)
+    place = np.flatnonzero(letter)
     found = []
-    for n, bucket in ((2, pair[:size]), (3, PAIRS + (triple[:size] >> np.uint32(15)))):
-        inside = np.ones(size, bool)
-        for back in range(1, n):
-            if back > piece.tail:
-                at = piece.bounds[1:] - back
-                inside[at[at >= piece.bounds[:-1]]] = False
-            elif len(piece.bounds) > 2:
-                raise ValueError("only a piece of one row can have a tail")
-        found.append((bucket, inside))
+    for n in SIZES:
+        last = place + n
+        fits = last < len(stop)
+        fits[fits] = stop[last[fits]] <= ends[word[fits]]
+        low, high = at[fits], stop[last[fits]]
+        hashes = word_hashes(piece, low, high)
+        found.append((rows[word[fits]], (hashes >> np.uint64(46)).astype(np.int64)))
     return found
 
 
@@ -64,7 +69,7 @@ def _word_buckets(piece: Piece) -> tuple[np.ndarray, np.ndarray]:
     """(row, bucket) of each word, and of each word that has just been there."""
     rows, starts, ends = words(piece)
     hashes = word_hashes(piece, starts, ends)
-    plain = PAIRS + TRIPLES + (hashes >> np.uint64(48)).astype(np.int64)
+    plain = GRAMS + (hashes >> np.uint64(48)).astype(np.int64)
     near = np.zeros(len(rows), bool)
     for back in range(1, CLOSE_BY + 1):
         same = (hashes[back:] == hashes[:-back]) & (rows[back:] == rows[:-back])
@@ -81,14 +86,10 @@ def features(values: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     """(buckets, weights that add up to n / (n + ZEROS)) of each text of n n-grams and words."""
     parts: list[list[np.ndarray]] = [[] for _ in range(len(values))]
     for piece in pieces(values):
-        grams = _grams(piece)
-        rows, buckets = _word_buckets(piece)
-        for k in range(len(piece.bounds) - 1):
-            low, high = piece.bounds[k], piece.bounds[k + 1]
-            for bucket, inside in grams:
-                parts[piece.first + k].append(bucket[low:high][inside[low:high]].astype(np.int64))
-            a, b = np.searchsorted(rows, [k, k + 1])
-            parts[piece.first + k].append(buckets[a:b])
+        for rows, buckets in (*_grams(piece), _word_buckets(piece)):
+            at = np.searchsorted(rows, np.arange(len(piece.bounds)))
+            for k in range(len(piece.bounds) - 1):
+                parts[piece.first + k].append(buckets[at[k] : at[k + 1]])
     found = []
     for part in parts:
         ids, counts = np.unique(
@@ -108,6 +109,7 @@ def train(
 ) -> Model:
     """Gradient descent over one document at a time, in a seeded order, the rate falling to 0.
 
+    NULL counts as empty; texts are read whole, of any length, in pieces of about a megabyte.
     Without both classes among the labels there is nothing to learn: every score is then the
     share of class 1 among them, 0.5 for none.
     """
@@ -143,20 +145,15 @@ def train(
 
 
 def score(values: pa.Array, model: Model) -> np.ndarray:
-    """Probability of class 1 for each text; a text without n-grams gets the bias's."""
+    """Probability of class 1 for each text, NULL counting as empty; a text without words gets the
+    bias's. Texts are read whole, of any length, in pieces of about a megabyte."""
     total, count = np.zeros(len(values)), np.zeros(len(values))
     for piece in pieces(values):
         n = len(piece.bounds) - 1
         span = slice(piece.first, piece.first + n)
-        low, high = piece.bounds[:-1], piece.bounds[1:]
-        for bucket, inside in _grams(piece):
-            sums = np.concatenate(([0.0], np.cumsum(model.scores[bucket] * inside, dtype=float)))
-            total[span] += sums[high] - sums[low]
-            seen = np.concatenate(([0], np.cumsum(inside)))
-            count[span] += seen[high] - seen[low]
-        rows, buckets = _word_buckets(piece)
-        total[span] += np.bincount(rows, model.scores[buckets], n)
-        count[span] += np.bincount(rows, minlength=n)
+        for rows, buckets in (*_grams(piece), _word_buckets(piece)):
+            total[span] += np.bincount(rows, model.scores[buckets], n)
+            count[span] += np.bincount(rows, minlength=n)
     return 1 / (1 + np.exp(-(total / (count + ZEROS) + model.bias)))
 
 

@@ -43,6 +43,40 @@ def test_quality(words):
         assert len(set(quality_classifier.score(pa.array(good), flat))) == 1
 
 
+def test_quality_scores_by_brute_force(words):
+    """Buckets of every n-gram and word counted one by one, over Latin, Cyrillic and Chinese text."""
+    from jobtide.llm import byte_text
+
+    q = quality_classifier
+    rng = np.random.default_rng(4)
+    model = q.Model(rng.normal(size=q.BUCKETS).astype(np.float32), 0.3)
+
+    def hashed(text):
+        piece = next(byte_text.pieces(pa.array([text])))
+        return int(byte_text.word_hashes(piece, np.array([0]), np.array([len(text.encode())]))[0])
+
+    def score(text):
+        total, n, seen = 0.0, 0, []
+        for word in (text or "").replace("\n", " ").split(" "):
+            if not word:
+                continue
+            for size in q.SIZES:
+                for i in range(len(word) - size + 1):
+                    total += model.scores[hashed(word[i : i + size]) >> 46]
+                    n += 1
+            total += model.scores[q.GRAMS + (hashed(word) >> 48)]
+            n += 1
+            if word in seen[-q.CLOSE_BY :]:
+                total += model.scores[q.AGAIN if seen[-1] == word else q.NEAR]
+                n += 1
+            seen.append(word)
+        return 1 / (1 + np.exp(-(total / (n + q.ZEROS) + model.bias)))
+
+    texts = [None, "", " ", "a", "ab abc abc", "привет мир привет", "日本語の文章です。 日本語", "😀😀😀😀 é",
+             *[" ".join(words() for _ in range(k)) for k in (3, 30)], "same same same other same\nsame"]
+    assert np.allclose(q.score(pa.array(texts), model), [score(t) for t in texts], atol=1e-5)
+
+
 def test_quality_reads_whole_texts_in_pieces(words):
     texts = pa.array([" ".join(words() for _ in range(600)) for _ in range(3)] + ["a"])
     model = quality_classifier.Model(np.random.default_rng(0).normal(size=quality_classifier.BUCKETS).astype(np.float32), 0.1)
