@@ -72,3 +72,41 @@ def test_long_texts_in_runs():
         n, flat, found = d.scan(text.encode(), d.tables(pairs), run_bytes=40)
         hits = sum(b - a for a, b in zip(flat[::2], flat[1::2]))
         assert (n, hits, sorted(found)) == brute(text, items)
+
+
+def test_texts_together_or_apart():
+    items, texts = case(n=80)
+    built = d.tables([(str(i), t.encode()) for i, t in items if t])
+    data = [(t or "").encode() for t in texts]
+    for run_bytes in (60, 500, 1 << 20):
+        found = d.scan_all(data, built, run_bytes)
+        hits = [(n, sum(b - a for a, b in zip(flat[::2], flat[1::2])), sorted(own)) for n, flat, own in found]
+        assert hits == [brute(t, items) for t in texts]
+    assert d.scan_all([], built) == [] and d.scan_all([b"a b"], d.tables([])) == [(2, [], set())]
+
+
+def test_odd_column_names(table):
+    rows = [(1, "x a b c y", 2, 3, 4), (2, None, 2, 3, 4)]
+    docs = table(rows, "doc_id long, text string, `a.b` int, `a b` int, `a-b` int")
+    for options in ({}, {"pass_bytes": 1}):
+        found = d.find_contamination(docs, table([(1, "a b c"), (2, "b c y")], "item_id long, text string"), **options)
+        by = {r.doc_id: r for r in found.collect()}
+        assert found.columns[:5] == ["doc_id", "a.b", "a b", "a-b", "text"]
+        assert (by[1].n_hit, by[1]["items"], by[2].contaminated) == (4, ["1", "2"], False)
+
+
+def test_large_benchmark_is_compact():
+    import tracemalloc
+
+    rng = random.Random(1)
+    words = [f"word{i}" for i in range(30_000)]
+    pairs = [(str(i), " ".join(rng.choices(words, k=200)).encode()) for i in range(1_500)]
+    tracemalloc.start()
+    built = d.tables(pairs * 2)
+    used, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    size = 2 * sum(len(t) for _, t in pairs)
+    assert used < 20 * size  # 16 MiB of benchmark take less than 350 MB
+    text = b"other words " + pairs[7][1][:400] + b" and more"
+    n, hits, found = d.scan(text, built)
+    assert found == {"7"} and 0 < hits[1] - hits[0] < n
