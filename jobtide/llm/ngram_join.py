@@ -1,8 +1,9 @@
 """N-gram Jaccard join: MinHash bands find candidates, full n-gram sets decide.
 
 Texts with equal sets of word n-grams are one class, which is searched for once. Bands of MinHash
-values send similar classes to the same buckets; classes connected by buckets form blocks, and in
-a block all pairs are compared on their full sets, in cells of bounded size.
+values send similar classes to the same buckets. Buckets with the same least member are one group,
+whose pairs are compared on their full sets, in cells of bounded size; groups do not grow over
+chains of buckets.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from jobtide.llm.byte_text import mix, pieces, word_hashes, words
 from jobtide.llm.common import packed, stored, unpacked
@@ -23,7 +25,7 @@ N = 5
 THRESHOLD = 0.8
 RECALL = 0.999
 MOST_HASHES = 256
-#: A block is cut into chunks of so many classes or n-grams; a cell holds two chunks.
+#: A group is cut into chunks of so many classes or n-grams; a cell holds two chunks.
 CHUNK_ROWS, CHUNK_NGRAMS = 1_024, 1_500_000
 SEED = 10
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -218,51 +220,88 @@ def _roots(linked: np.ndarray, nodes: np.ndarray) -> np.ndarray:
         roots = new
 
 
-def _cell(rows: list[tuple], threshold: float, n: int) -> pa.RecordBatch | None:
+def _owned(linked: np.ndarray, leaders: list[list[int]], root: int) -> np.ndarray:
+    """Links whose two ends share no leader before ``root``; each link is counted in one group."""
+    if all(own[0] == root for own in leaders):  # sorted
+        return linked
+    width = max(len(own) for own in leaders)
+    table = np.full((len(leaders), width), np.iinfo(np.int64).max)
+    for k, own in enumerate(leaders):
+        table[k, : len(own)] = own
+    a, b = np.nonzero(linked)
+    seen = np.zeros(len(a), bool)
+    for column in range(width):
+        some = np.flatnonzero((table[a, column] < root) & ~seen)
+        if not len(some):
+            continue
+        for low in range(0, len(some), 200_000):
+            part = some[low : low + 200_000]
+            seen[part] = (table[b[part]] == table[a[part], column][:, None]).any(axis=1)
+    owned = linked.copy()
+    owned[a[seen], b[seen]] = False
+    return owned
+
+
+def _cell(rows: list[tuple], threshold: float) -> pa.RecordBatch | None:
     """Links within one cell: (node, texts it is linked to, smallest node connected)."""
-    _, left, right = rows[0][:3]
-    sets = gram_sets(pa.array([r[7] for r in rows], pa.large_binary()), n)
-    # A repeated row, or another text under the same id, is not the class this row stands for.
-    alone = {(r[3], r[6]): k for k, r in enumerate(rows) if _digest(sets[k])[0] == r[6]}
-    rows = [rows[k] for k in alone.values()]
+    root, left, right = rows[0][:3]
+    rows = list({(r[3], r[6]): r for r in rows}.values())  # a repeated row counts in ``texts``
     nodes = np.array([r[3] for r in rows], np.int64)
     weight = np.array([r[4] for r in rows], np.int64)
     chunk = np.array([r[5] for r in rows])
-    linked = compare([sets[k] for k in alone.values()], threshold)
+    linked = compare([np.frombuffer(r[8], np.uint64) for r in rows], threshold)
     if left != right:  # pairs within a chunk belong to another cell
         linked &= chunk[:, None] != chunk[None, :]
     some = linked.any(1)
     if not some.any():
         return None
     roots = _roots(linked, nodes)
+    links = _owned(linked, [r[7] for r in rows], root) @ weight
     return pa.RecordBatch.from_arrays(
-        [pa.array(nodes[some]), pa.array((linked @ weight)[some]), pa.array(roots[some])],
+        [pa.array(nodes[some]), pa.array(links[some]), pa.array(roots[some])],
         names=["node", "links", "root"],
     )
 
 
-def verified(cells: DataFrame, threshold: float, n: int) -> DataFrame:
+def verified(cells: DataFrame, threshold: float) -> DataFrame:
     """Rows sorted by cell -> node, links, root for each cell a node is linked in."""
 
     def check(batches):
         held: list[tuple] = []
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(8)]
+            columns = [batch.column(i).to_pylist() for i in range(9)]
             for row in zip(*columns):
                 if held and held[0][:3] != row[:3]:
-                    found = _cell(held, threshold, n)
+                    found = _cell(held, threshold)
                     if found is not None:
                         yield found
                     held = []
                 held.append(row)
         if held:
-            found = _cell(held, threshold, n)
+            found = _cell(held, threshold)
             if found is not None:
                 yield found
 
     return cells.mapInArrow(check, "node long, links long, root long")
 
 
+def _sets(texts: DataFrame, n: int) -> DataFrame:
+    """``texts`` with their sorted n-gram hashes, ``grams``, in place of the text; rows whose text is
+    not that of the class they were joined to are left out."""
+    rest = [c for c in texts.columns if c != "text"]
+
+    def read(batches):
+        for batch in batches:
+            sets = gram_sets(batch.column("text"), n)
+            same = [_digest(x)[0] == k for x, k in zip(sets, batch.column("key1").to_pylist())]
+            grams = pa.array([x.tobytes() for x in sets], pa.binary())
+            columns = [*[batch.column(c) for c in rest], grams]
+            yield pa.RecordBatch.from_arrays(columns, names=[*rest, "grams"]).filter(pa.array(same, pa.bool_()))
+
+    schema = T.StructType([*texts.select(*rest).schema, T.StructField("grams", T.BinaryType())])
+    return texts.mapInArrow(read, schema)
+
+
 def jaccard_join(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -281,10 +320,12 @@ def jaccard_join(
     A pair at the threshold is found with probability ``recall``, more similar ones more surely;
     what is found is exact.
 
-    Copies count without being paired. Buckets give one edge per member, to their smallest
-    member. The pairs of a block, which may be many, are compared in memory, cell by cell; only
-    sums and one root per member leave a cell. A block of k chunks has k (k + 1) / 2 cells on as
-    many tasks, so no task holds a large block; there is no cap on blocks, buckets or partners.
+    Copies count without being paired. A class goes to the group of each of its buckets' smallest
+    members, a few for copies of one text, as these mostly share it, and as many as there are bands
+    at most; its set of n-grams is made once. The pairs of a group are compared in memory, cell by
+    cell; only sums and one root per member leave a cell, and a pair of several groups counts in the
+    first. A group of k chunks has k (k + 1) / 2 cells on as many tasks, so no task holds a large
+    one; there is no cap on groups, buckets or partners. Chains of buckets do not make groups grow.
 
     NULL texts and texts without words have no n-grams, no links and a class of their own. Rows
     with a NULL id are linked too, and have a negative number from their text for an id in
@@ -303,19 +344,20 @@ def jaccard_join(
     keyed = some.join(classes.select(*key, "node"), key).where("id = node")
     buckets = keyed.select("node", F.explode("bands").alias("bucket"))
     least = buckets.groupBy("bucket").agg(F.min("node").alias("b"), F.max("node").alias("last"))
-    edges = buckets.join(least.where("b < last").select("bucket", "b"), "bucket")
-    blocks = components(edges.selectExpr("node a", "b"))
-    blocks = blocks.unionByName(blocks.selectExpr("root node", "root").distinct())
-
-    members = classes.join(blocks, "node").select("node", "root", "texts", "n_grams", "key1")
-    sizes = members.groupBy("root").agg(F.count("*").alias("m"), F.sum("n_grams").alias("g"))
+    led = buckets.join(least.where("b < last").select("bucket", "b"), "bucket")
+    leaders = led.groupBy("node").agg(F.array_sort(F.collect_set("b")).alias("leaders"))
+    members = stored(classes.join(leaders, "node"), "group-members")
+    sizes = members.select(F.explode("leaders").alias("root"), "n_grams")
+    sizes = sizes.groupBy("root").agg(F.count("*").alias("m"), F.sum("n_grams").alias("g"))
     chunks = F.greatest(F.ceil(F.col("m") / chunk_rows), F.ceil(F.col("g") / chunk_ngrams))
-    members = members.join(sizes.select("root", chunks.alias("chunks")), "root").withColumn(
-        "chunk", F.pmod(F.xxhash64("node"), F.col("chunks"))
+    own = members.select(F.col("node").alias("id"), "texts", "key1", "leaders")
+    sets = _sets(_identified(docs, id_col, text_col).drop("doc").join(own, "id"), n)
+    cells = sets.withColumn("root", F.explode("leaders")).join(
+        sizes.select("root", chunks.alias("chunks")), "root"
     )
-    texts = _identified(docs, id_col, text_col).join(members.withColumnRenamed("node", "id"), "id")
+    cells = cells.withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")))
     cells = (
-        texts.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
+        cells.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
         .select(
             "root",
             F.least("chunk", "other").alias("low"),
@@ -324,12 +366,13 @@ def jaccard_join(
             "texts",
             "chunk",
             "key1",
-            F.col("text").cast("binary").alias("text"),
+            "leaders",
+            "grams",
         )
         .repartition("root", "low", "high")
         .sortWithinPartitions("root", "low", "high", "id")
     )
-    found = stored(verified(cells, threshold, n), "links")
+    found = stored(verified(cells, threshold), "links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     joined = components(found.selectExpr("node a", "root b"))
 
@@ -355,18 +398,6 @@ def jaccard_join(
     )
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options):
-    """``docs`` without all but the document with the smallest id of each class.
-
-    Rows with a NULL id stay, as nothing tells them apart; of rows that share an id, all stay or
-    none. ``keep_one_row`` decides by row.
-    """
-    found = jaccard_join(docs, id_col, text_col, **options)
-    dropped = found.where("id <> class_id").select("id").distinct()
-    rows = docs.select(packed(docs).alias("row"), docs[id_col].cast("bigint").alias("id"))
-    return unpacked(rows.join(dropped, "id", "left_anti"), "row", docs.columns)
-
-
 def keep_one_row(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options):
     """``docs`` with exactly one row of each class of near duplicates, whatever the ids.
 

@@ -69,13 +69,6 @@ def test_same_as_all_pairs(docs_of, chunk):
     assert [found[i].copy_of for i in range(len(texts))] == first
 
 
-def test_keep_one(docs_of):
-    texts = corpus()
-    kept = j.keep_one(docs_of(texts))
-    assert kept.columns == docs_of(texts).columns
-    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(brute(texts)[1]))
-
-
 def test_missing_and_repeated_ids(table):
     text = " ".join(f"w{i}" for i in range(30))
     rows = [(None, text), (None, text), (5, text + " x"), (5, text + " x"), (6, "other words here"), (None, None)]
@@ -85,8 +78,7 @@ def test_missing_and_repeated_ids(table):
         by.setdefault(r.id, []).append((r.n_links, r.class_id < 0 if r.class_id is not None else None))
     assert by[5] == [(3, True), (3, True)] and by[6] == [(0, False)]
     assert sorted(by[None], key=repr)[:2] != [] and sum(n for n, _ in by[None]) == 6
-    kept = j.keep_one(table(rows, "doc_id long, text string"))
-    assert sorted((r.doc_id for r in kept.collect()), key=repr) == [6, None, None, None]
+
 
 
 def one_row_of_each(spark, docs):
@@ -115,7 +107,49 @@ def test_pipeline_keeps_one_row_of_each_class(spark, table, docs_of):
 
 def test_empty_table(docs_of):
     assert j.jaccard_join(docs_of([])).collect() == []
-    assert j.keep_one(docs_of([])).collect() == []
+
+
+def chained(n, seed=4, step=12, size=300):
+    """Windows that slide over one long text: each is linked to its next few, all are one class."""
+    rng = random.Random(seed)
+    words = [f"w{rng.randint(0, 3_000)}" for _ in range(n * step + size)]
+    return [" ".join(words[i * step : i * step + size]) for i in range(n)]
+
+
+def test_chain_is_not_one_block(docs_of, monkeypatch):
+    rows = {}
+    verified = j.verified
+
+    def counted(cells, threshold):
+        rows[len(rows)] = cells.count()
+        return verified(cells, threshold)
+
+    monkeypatch.setattr(j, "verified", counted)
+    for n in (60, 240):
+        texts = chained(n)
+        found = {r.id: r for r in j.jaccard_join(docs_of(texts), chunk_rows=16).collect()}
+        links, classes = brute(texts)
+        assert [found[i].n_links for i in range(n)] == links and max(links) < 8
+        assert [found[i].class_id for i in range(n)] == classes
+    assert rows[1] < 5 * rows[0] and rows[1] < 240 * 30
+
+
+def test_recall_against_all_rows(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = {r.id: r for r in j.jaccard_join(docs).collect()}
+    sets = {r.doc_id: gram_set(r.text) for r in docs.collect()}
+    asked = [i for i in sets if i % 100 == 0 or found[i].n_links][:60]
+    for i in asked:
+        near = [k for k, s in sets.items() if k != i and len(s & sets[i]) * 5 >= 4 * len(s | sets[i]) > 0]
+        assert found[i].n_links == len(near)
+        assert all(found[k].class_id == found[i].class_id for k in near)
+
+
+def test_links_are_owned_once():
+    linked = np.ones((4, 4), bool)
+    np.fill_diagonal(linked, False)
+    owned = j._owned(linked, [[1, 5], [5], [1, 3, 5], [3, 5]], 5)
+    assert not owned[0, 2] and not owned[2, 3] and owned[0, 1] and owned[0, 3] and owned[1, 2] and (owned == owned.T).all()
 
 
 def test_bands():
