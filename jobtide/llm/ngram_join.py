@@ -27,6 +27,9 @@ RECALL = 0.999
 MOST_HASHES = 256
 #: A group is cut into chunks of so many classes or n-grams; a cell holds two chunks.
 CHUNK_ROWS, CHUNK_NGRAMS = 1_024, 1_500_000
+#: Members of groups are sent to the tasks that read texts up to so many bytes; beyond, both sides of
+#: that join are shuffled by id.
+BROADCAST_BYTES = 32 << 20
 SEED = 10
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
@@ -351,6 +354,9 @@ def jaccard_join(
     sizes = sizes.groupBy("root").agg(F.count("*").alias("m"), F.sum("n_grams").alias("g"))
     chunks = F.greatest(F.ceil(F.col("m") / chunk_rows), F.ceil(F.col("g") / chunk_ngrams))
     own = members.select(F.col("node").alias("id"), "texts", "key1", "leaders")
+    count, entries = members.agg(F.count("*"), F.coalesce(F.sum(F.size("leaders")), F.lit(0))).first()
+    if 64 * count + 8 * entries <= BROADCAST_BYTES:
+        own = F.broadcast(own)  # few texts have a candidate: the others need not move
     sets = _sets(_identified(docs, id_col, text_col).drop("doc").join(own, "id"), n)
     cells = sets.withColumn("root", F.explode("leaders")).join(
         sizes.select("root", chunks.alias("chunks")), "root"

@@ -57,8 +57,9 @@ def corpus(seed=3):
     return texts
 
 
-@pytest.mark.parametrize("chunk", [1_024, 7])
-def test_same_as_all_pairs(docs_of, chunk):
+@pytest.mark.parametrize(("chunk", "sent"), [(1_024, 32 << 20), (7, 0)])
+def test_same_as_all_pairs(docs_of, chunk, sent, monkeypatch):
+    monkeypatch.setattr(j, "BROADCAST_BYTES", sent)
     texts = corpus()
     found = {r.id: r for r in j.jaccard_join(docs_of(texts), chunk_rows=chunk).collect()}
     links, classes = brute(texts)
