@@ -34,8 +34,9 @@ def assign_shards(
     ``rows_per_bin`` rows, however the sources are sized, and only counts per bin are accumulated
     in sequence (a source's bins, then all bins).
 
-    A NULL source is a source of its own. NULL ids share one random key, repeated ids too: they
-    are ordered by a hash of the row. An empty table gives an empty table. Columns of ``rows``
+    A NULL source is a source of its own. A NULL id draws its random key from a hash of the row, so
+    many of them spread over the bins. Repeated ids share one key: their rows are ordered by a hash
+    of the row. An empty table gives an empty table. Columns of ``rows``
     named ``shard`` or ``slot`` are replaced; other names never clash.
     """
     if n_shards < 1:
@@ -45,8 +46,11 @@ def assign_shards(
     keyed = rows.select(
         packed(rows).alias("row"),
         key_text(rows[source_col]).alias("source"),
-        seeded_number(rows[id_col], seed).alias("key"),
-    ).withColumn("bin", F.floor(F.col("key") * F.lit(unit)))
+        rows[id_col].cast("string").alias("id"),
+    )
+    own = F.concat(F.lit("row "), F.xxhash64("row").cast("string"))
+    keyed = keyed.withColumn("key", seeded_number(F.coalesce("id", own), seed)).drop("id")
+    keyed = keyed.withColumn("bin", F.floor(F.col("key") * F.lit(unit)))
 
     of_source = Window.partitionBy("source")
     counts = keyed.groupBy("source", "bin").agg(F.count("*").alias("n"))
