@@ -10,6 +10,7 @@ last row of a file is padded. Beside it, ``.docs`` says where each document begi
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -301,7 +302,7 @@ def write_token_files(
     id only; NULL ids come first; repeated ids follow each other in the order of their texts'
     hashes. An empty table gives no file. ``folder`` must be on storage that all executors
     share. Files carry a new name for each attempt and only those of finished tasks are in the
-    result, so a lost executor's half-written file is never read.
+    result, so a lost executor's half-written file is never read; ``remove_unlisted`` deletes it.
     """
     system, path = _locate(folder)
     system.create_dir(path, recursive=True)
@@ -342,6 +343,21 @@ def write_token_files(
     return stored(ordered.select("id", "text").mapInArrow(write, kinds), "token-file-list")
 
 
+def remove_unlisted(files: DataFrame, folder: str) -> list[str]:
+    """Delete the files below ``folder`` that tasks which failed or ran twice have left: those that
+    are not in ``files``, the result of ``write_token_files``. Call it when nothing writes there any
+    more; returns the names deleted. Files of other names stay."""
+    kept = {r.file.rsplit("/", 1)[-1] for r in files.select("file").collect()}  # a row per file
+    system, path = _locate(folder)
+    gone = []
+    for info in system.get_file_info(fs.FileSelector(path)):
+        name = re.match(r"part-\d{6}-[0-9a-f]{32}\.arrow", info.base_name)
+        if info.is_file and name and name[0] not in kept:
+            system.delete_file(info.path)
+            gone.append(info.base_name)
+    return sorted(gone)
+
+
 def _slices(bounds: np.ndarray) -> Iterator[tuple[int, int]]:
     """Runs of rows of about ``SLICE_BYTES`` bytes; a longer row is a run of its own."""
     low, n = 0, len(bounds) - 1

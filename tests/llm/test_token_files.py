@@ -85,3 +85,15 @@ def test_empty_table(table, tmp_path):
     docs = table([], "doc_id long, text string")
     files = t.write_token_files(docs, str(tmp_path / "o"), PATH)
     assert files.collect() == [] and t.read_token_files(files).collect() == []
+
+
+def test_files_of_failed_tasks_are_removed(table, tmp_path):
+    folder = tmp_path / "o"
+    files = t.write_token_files(table([(i, f"text {i}") for i in range(20)], "doc_id long, text string"), str(folder), PATH)
+    before = sorted(p.name for p in folder.iterdir())
+    half = "part-000000-" + "0" * 32 + ".arrow"
+    for name in (half, f"{half}.docs", "notes.txt"):
+        (folder / name).write_bytes(b"half")
+    assert t.remove_unlisted(files, str(folder)) == [half, f"{half}.docs"]
+    assert sorted(p.name for p in folder.iterdir() if not p.name.startswith(".")) == sorted([*[b for b in before if not b.startswith(".")], "notes.txt"])
+    assert t.read_token_files(files).count() == 20
