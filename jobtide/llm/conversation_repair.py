@@ -5,8 +5,8 @@ conversation costs from each state of that pattern is a vector of four costs, co
 turn to the first. All turns, sorted, are cut into chunks of one size wherever conversations end.
 Every chunk starts at once: from the end of a conversation with true costs, amid one with a guess.
 Fix-up passes rerun the chunks whose guess differs from what the chunk after them found by more than
-a constant, until there are none. The stitched backward costs then lead a trace from the front, whose
-entry states are settled the same way.
+a constant; what has not converged after a few passes is put together by doubling. The stitched
+backward costs then lead a trace from the front, whose entry states are settled the same way.
 """
 
 from __future__ import annotations
@@ -39,6 +39,10 @@ Vector = tuple[int, int, int, int]
 END: Vector = (0, 2 * INSERT, INSERT, 0)
 GUESS: Vector = (0, 0, 0, 0)
 GUESSED_STATE = ASSISTANT
+FAR = 1 << 40
+#: So many fix-up passes, each over the chunks that are still wrong; stretches that have not
+#: converged by then are settled by doubling.
+PASSES = 4
 
 
 @lru_cache(1 << 16)
@@ -53,7 +57,7 @@ def step(after: Vector, kind: int, status: int) -> tuple[Vector, int]:
 
 def _choices(after: Vector, kind: int, status: int, q: int) -> tuple[int, int, int, int]:
     """(cheapest, delete, keep, rerole) for a row met in state ``q``."""
-    delete, far = DELETE + after[q], 1 << 40
+    delete, far = DELETE + after[q], FAR
     if status == MUST_GO:
         return delete, delete, far, far
     extra = LEFT_TRUNCATED if status == TRUNCATED else 0
@@ -107,6 +111,18 @@ class Chunk(NamedTuple):
             costs.append(now)
         return costs[::-1]
 
+    def transfer(self) -> list[int]:
+        """Costs from each state before the first row to each after the last, by rows; of a chunk
+        that lies within one conversation."""
+        columns = []
+        for k in range(4):
+            now, spent = tuple(0 if q == k else FAR for q in range(4)), 0
+            for kind, status in zip(reversed(self.kinds), reversed(self.statuses), strict=True):
+                now, least = step(now, kind, status)
+                spent += least
+            columns.append([min(FAR, c + spent) for c in now])
+        return [columns[k][q] for q in range(4) for k in range(4)]
+
     def exit_state(self, last: Vector, entry: int) -> int:
         q, costs = entry, self.backward(last)
         for i, (kind, status, end) in enumerate(zip(self.kinds, self.statuses, self.ends, strict=True)):
@@ -209,24 +225,105 @@ def _traces(batches):
         )
 
 
-def settled(chunks: DataFrame, first: DataFrame, run, schema: str, neighbour: int, flag: str) -> DataFrame:
-    """Rerun chunks until each has begun with what its neighbour found.
+def _transfers(batches):
+    """(g, t): how the costs after a chunk become those before it."""
+    for batch in batches:
+        found = [c.transfer() for c in _chunks(batch)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("g"), pa.array(found, pa.list_(pa.int64()))], names=["g", "t"]
+        )
 
-    ``first`` has ``g``, ``flag``, ``used`` and ``found`` of every chunk. A chunk with ``flag`` set
-    depends on chunk ``g + neighbour``. A pass joins neighbours by number, so no conversation meets
-    in one task, and reruns only what had another start. Vectors are kept less their minimum: equal
-    means that they differ by a constant. Usually costs converge within a chunk and one pass is
-    enough; a stretch that never converges takes a pass per chunk.
+
+def _exits(batches):
+    """(g, t): how the state before a chunk becomes that after it."""
+    for batch in batches:
+        last = [tuple(v) for v in batch.column("costs").to_pylist()]
+        found = [[c.exit_state(v, q) for q in range(4)] for c, v in zip(_chunks(batch), last, strict=True)]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("g"), pa.array(found, pa.list_(pa.int64()))], names=["g", "t"]
+        )
+
+
+class Pass(NamedTuple):
+    """A direction of passes: what chunks run, the neighbour that a chunk with ``flag`` depends on;
+    and for doubling, ``functions`` of chunks within one conversation, how two in a row are put
+    together (SQL of ``t`` and ``next_t``) and applied to what the neighbour found (``t``, ``found``)."""
+
+    run: object
+    schema: str
+    neighbour: int
+    flag: str
+    functions: object
+    compose: str
+    apply: str
+
+
+_FOUND = "transform(sequence(0, 3), i -> array_min(transform(sequence(0, 3), k -> t[i * 4 + k] + found[k])))"
+BACKWARD = Pass(
+    _costs,
+    "g bigint, goes_on boolean, used array<bigint>, found array<bigint>",
+    1,
+    "goes_on",
+    _transfers,
+    f"""transform(sequence(0, 15), x -> least({FAR}L, array_min(transform(sequence(0, 3),
+        k -> t[(x div 4) * 4 + k] + next_t[k * 4 + x % 4]))))""",
+    f"transform(array({_FOUND}), v -> transform(v, c -> c - array_min(v)))[0]",
+)
+FORWARD = Pass(
+    _states,
+    "g bigint, came_on boolean, used int, found int",
+    -1,
+    "came_on",
+    _exits,
+    "transform(next_t, q -> t[cast(q as int)])",
+    "cast(t[found] as int)",
+)
+
+
+def settled(chunks: DataFrame, begun: DataFrame, way: Pass, passes: int = PASSES) -> DataFrame:
+    """g and ``used`` of every chunk: what it begins with once all agree with their neighbours.
+
+    ``begun`` are the chunks with the ``used`` that is guessed first. A pass joins neighbours by
+    number, so no conversation meets in one task, and reruns only what had another start. Vectors are
+    kept less their minimum: equal means that they differ by a constant. Usually costs converge within
+    a chunk and one pass is enough. Where they do not, a pass goes one chunk further only; after
+    ``passes`` of them, the functions of the chunks that lie within one conversation are put together
+    in twos, fours and so on, which settles a stretch of n chunks in log2(n) joins.
     """
-    now = stored(first, "chunk-costs")
-    while True:
-        found = now.select((F.col("g") - neighbour).alias("g"), F.col("found").alias("need"))
-        wrong = now.where(flag).join(found, "g").where("need <> used").select("g", "need")
+    now = stored(begun.mapInArrow(way.run, way.schema), "chunk-costs")
+    for _ in range(passes):
+        found = now.select((F.col("g") - way.neighbour).alias("g"), F.col("found").alias("need"))
+        wrong = now.where(way.flag).join(found, "g").where("need <> used").select("g", "need")
         wrong = stored(wrong, "chunks-to-rerun")
         if wrong.isEmpty():
-            return now
-        redone = chunks.join(wrong.withColumnRenamed("need", "used"), "g").mapInArrow(run, schema)
+            return now.select("g", "used")
+        redone = chunks.join(wrong.withColumnRenamed("need", "used"), "g").mapInArrow(way.run, way.schema)
         now = stored(now.join(wrong, "g", "left_anti").unionByName(redone), "chunk-costs")
+    return _doubled(chunks, now, way)
+
+
+def _doubled(chunks: DataFrame, now: DataFrame, way: Pass) -> DataFrame:
+    """``settled`` from functions of chunks; those of all other chunks have found what is true."""
+    inside = chunks.where((F.col("cells")[0]["key"] == F.element_at("cells", -1)["key"]) & F.col("goes_on"))
+    if way.flag == "came_on":
+        inside = inside.where("came_on")
+    chains = inside.mapInArrow(way.functions, "g bigint, t array<bigint>")
+    chains = stored(chains.withColumn("to", F.col("g") + way.neighbour), "chunk-functions")
+    while not chains.join(chains.select(F.col("g").alias("to")), "to", "left_semi").isEmpty():
+        further = chains.select(F.col("g").alias("to"), F.col("t").alias("next_t"), F.col("to").alias("next_to"))
+        chains = stored(
+            chains.join(further, "to", "left").select(
+                "g",
+                F.when(F.col("next_to").isNull(), F.col("t")).otherwise(F.expr(way.compose)).alias("t"),
+                F.coalesce("next_to", "to").alias("to"),
+            ),
+            "chunk-functions",
+        )
+    true = now.join(chains, "g", "left_anti").select("g", "found")
+    led = chains.join(true.withColumnRenamed("g", "to"), "to").select("g", F.expr(way.apply).alias("found"))
+    found = true.unionByName(led).select((F.col("g") - way.neighbour).alias("g"), F.col("found").alias("need"))
+    used = F.when(F.col(way.flag), F.coalesce("need", "used")).otherwise(F.col("used"))
+    return stored(now.join(found, "g", "left").select("g", used.alias("used")), "chunk-costs")
 
 
 class Repair(NamedTuple):
@@ -245,6 +342,7 @@ def repair(
     role_col: str = "role",
     text_col: str = "text",
     chunk_rows: int = CHUNK_ROWS,
+    passes: int = PASSES,
 ) -> Repair:
     """Count the faults of each conversation and repair it at least cost.
 
@@ -305,17 +403,14 @@ def repair(
     ordered = stored(ordered.withColumn("place", F.monotonically_increasing_id()), "ordered-turns")
 
     chunks = _chunked(spark, ordered, chunk_rows)
-    costs = "g bigint, goes_on boolean, used array<bigint>, found array<bigint>"
     begin = F.when(F.col("goes_on"), F.lit(list(GUESS))).otherwise(F.lit(list(END)))
     begun = chunks.withColumn("used", begin.cast("array<bigint>"))
-    backward = settled(chunks, begun.mapInArrow(_costs, costs), _costs, costs, 1, "goes_on")
-    chunks = chunks.join(backward.select("g", F.col("used").alias("costs")), "g")
+    backward = settled(chunks, begun, BACKWARD, passes)
+    chunks = chunks.join(backward.withColumnRenamed("used", "costs"), "g")
 
-    states = "g bigint, came_on boolean, used int, found int"
     begin = F.when(F.col("came_on"), F.lit(GUESSED_STATE)).otherwise(F.lit(EMPTY))
-    begun = chunks.withColumn("used", begin)
-    forward = settled(chunks, begun.mapInArrow(_states, states), _states, states, -1, "came_on")
-    chunks = chunks.join(forward.select("g", "used"), "g")
+    forward = settled(chunks, chunks.withColumn("used", begin), FORWARD, passes)
+    chunks = chunks.join(forward, "g")
     traced = stored(chunks.mapInArrow(_traces, f"{PARTS}, {EDITS}"), "traced-chunks")
 
     return Repair(_report(ordered, traced), _turns(ordered, traced, _places(spark, ordered, chunk_rows), chunk_rows))

@@ -105,10 +105,12 @@ def test_same_as_search(table, seed, convs, longest, chunk):
     assert found == brute(rows)
 
 
-def test_costs_that_never_converge(table):
+@pytest.mark.parametrize("passes", [0, 1, 3, 100])
+def test_costs_that_never_converge(table, passes):
     rows = [(1, i, "user", f"never ends {i}") for i in range(60)]
-    found = queries.repaired(table(rows, DDL), chunk_rows=4).collect()
-    assert [tuple(r)[1:] for r in found] == [brute(rows)[1]]
+    rows += [(2, i, ["user", "assistant", "tool"][i * i % 3], f"{i}." if i % 4 else "open") for i in range(30)]
+    found = queries.repaired(table(rows, DDL), chunk_rows=4, passes=passes).collect()
+    assert {r.conv_id: tuple(r)[1:] for r in found} == brute(rows)
 
 
 def test_turn_repeated_very_often(table):
