@@ -16,6 +16,8 @@ from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -72,14 +74,18 @@ class Part(NamedTuple):
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[Part]:
     now = None
     for batch in batches:
-        at = list(zip(batch.column("file").to_pylist(), batch.column("start").to_pylist(), strict=True))
         lines, low = batch.column("value").to_pylist(), 0
-        while low < len(at):
-            high = low + 1
-            while high < len(at) and at[high] == at[low]:
-                high += 1
-            yield Part(*at[low], at[low] != now, lines[low:high])
-            now, low = at[low], high
+        # Equal values side by side are made once, as a file has far more lines than parts.
+        file, start = (pc.run_end_encode(batch.column(c)) for c in ("file", "start"))
+        ends = [run.run_ends.to_pylist() for run in (file, start)]
+        values = [run.values.to_pylist() for run in (file, start)]
+        nth = [0, 0]
+        while low < len(lines):
+            high = min(ends[0][nth[0]], ends[1][nth[1]])
+            at = values[0][nth[0]], values[1][nth[1]]
+            yield Part(*at, at != now, lines[low:high])
+            now, low = at, high
+            nth = [n + (e[n] == high) for n, e in zip(nth, ends, strict=True)]
 
 
 def _rows(rows: list[tuple], names: tuple[str, ...], kinds: tuple) -> pa.RecordBatch:
@@ -90,12 +96,13 @@ def _rows(rows: list[tuple], names: tuple[str, ...], kinds: tuple) -> pa.RecordB
 
 
 class Cutter(NamedTuple):
-    """How a format is cut. ``after(line, state)`` is the state after a line, which states it starts
-    from being ``guesses``; ``cutting(state, first)`` makes an object whose ``feed(line)`` returns
-    finished pieces as (part, text) and whose ``rest()`` returns the last, (None, text) being whole."""
+    """How a format is cut. ``after(lines, state)`` is the state after lines, which states it starts
+    from being ``guesses``; ``cutting(state, first)`` makes an object whose ``feed(lines)`` returns
+    finished pieces as (part, header, text) and whose ``rest()`` returns the last, those of part None
+    being whole."""
 
     guesses: tuple[int, ...]
-    after: Callable[[str, int], int]
+    after: Callable[[list[str], int], int]
     cutting: Callable[[int, bool], object]
 
 
@@ -112,21 +119,21 @@ def _survey(cutter: Cutter):
                     yield _rows([(*now, states)], names, kinds)
                 now = part.file, part.start, part.lines[0].endswith("\r")
                 states = list(cutter.guesses)
-            for line in part.lines:
-                states = [cutter.after(line, s) for s in states]
+            states = [cutter.after(part.lines, s) for s in states]
         if now is not None:
             yield _rows([(*now, states)], names, kinds)
 
     return survey
 
 
-def _cut(cutter: Cutter, states: dict[tuple[str, int], int], returns: set[str], whole: bool):
-    """Records that lie within their part (``whole``), or the pieces at its ends. Lines of the files
-    ``returns`` end with ``\\r\\n``."""
+def _cut(cutter: Cutter, found: Broadcast, whole: bool):
+    """Records that lie within their part (``whole``), or the pieces at its ends. ``found`` holds the
+    states that parts begin in, and the files whose lines end with ``\\r\\n``."""
     names = ("record",) if whole else ("file", "start", "part", "header", "text")
     kinds = (pa.string(),) if whole else (pa.string(), pa.int64(), pa.int32(), pa.bool_(), pa.string())
 
     def cut(batches):
+        states, returns = found.value
         now, cutting = None, None
         for part in _parts(batches):
             if part.fresh:
@@ -137,7 +144,7 @@ def _cut(cutter: Cutter, states: dict[tuple[str, int], int], returns: set[str],
             lines = part.lines
             if part.file in returns:
                 lines = [line.removesuffix("\r") for line in lines]
-            yield from wanted(now, [piece for line in lines for piece in cutting.feed(line)])
+            yield from wanted(now, cutting.feed(lines))
         if cutting is not None:
             yield from wanted(now, cutting.rest())
 
@@ -171,9 +178,11 @@ def _records(
 ) -> DataFrame:
     spark = lines.sparkSession
     path = scratch_path(spark, "pieces-of-records")
-    lines.mapInArrow(_cut(cutter, states, returns, False), PIECE).write.parquet(path)
+    # Once a worker, not once a task: there are as many states as tasks.
+    found = spark.sparkContext.broadcast((states, returns))
+    lines.mapInArrow(_cut(cutter, found, False), PIECE).write.parquet(path)
     pieces = spark.read.schema(PIECE).parquet(path)
-    whole = lines.mapInArrow(_cut(cutter, states, returns, True), "record string")
+    whole = lines.mapInArrow(_cut(cutter, found, True), "record string")
     return whole.unionByName(_put_together(pieces)).where("trim(both ' \t\r\n' from record) <> ''")
 
 
@@ -195,11 +204,18 @@ def quoted_after(line: str, quoted: int) -> int:
                 return 1
             quoted = int(line[at + 1 : at + 2] == '"')
             at += 1 + quoted
-        at = line.find(',', at) + 1
-        if not at:
+        at = line.find(',"', at) + 2
+        if at < 2:
             return 0
-        if line[at : at + 1] == '"':
-            quoted, at = 1, at + 1
+        quoted = 1
+
+
+def quoted_after_all(lines: list[str], quoted: int) -> int:
+    """``quoted_after`` of one line after another."""
+    for line in lines:
+        if '"' in line:
+            quoted = quoted_after(line, quoted)
+    return quoted
 
 
 class _CsvCutting:
@@ -209,29 +225,34 @@ class _CsvCutting:
         self.quoted, self.open, self.inherited = quoted, [], bool(quoted)
         self.header = first  # the first record of a file is not data
 
-    def feed(self, line: str):
-        before, self.quoted = self.quoted, quoted_after(line, self.quoted)
-        if self.quoted:
-            self.open.append(line)
-            return
-        if not before:
-            if not line.strip():
-                return
-            text, part = line, None
-        else:
-            text, part = "\n".join([*self.open, line]), HEAD if self.inherited else None
-            self.open, self.inherited = [], False
-        if part is None and self.header:
-            self.header = False
-            return
-        yield part, False, text
+    def feed(self, lines: list[str]):
+        quoted = self.quoted
+        for line in lines:
+            before = quoted
+            if '"' in line:
+                quoted = quoted_after(line, quoted)
+            if quoted:
+                self.open.append(line)
+                continue
+            if not before:
+                if not line or line.isspace():
+                    continue
+                text, part = line, None
+            else:
+                text, part = "\n".join([*self.open, line]), HEAD if self.inherited else None
+                self.open, self.inherited = [], False
+            if part is None and self.header:
+                self.header = False
+                continue
+            yield part, False, text
+        self.quoted = quoted
 
     def rest(self):
         if self.open:
             yield THROUGH if self.inherited else TAIL, self.header, "\n".join(self.open)
 
 
-CSV = Cutter((0, 1), quoted_after, _CsvCutting)
+CSV = Cutter((0, 1), quoted_after_all, _CsvCutting)
 
 
 def csv_records(lines: DataFrame) -> DataFrame:
@@ -276,12 +297,14 @@ def csv_records(lines: DataFrame) -> DataFrame:
 # --- JSON ---
 
 _TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|[\[\]{},]')
+_TEXT = re.compile(r'"(?:[^"\\\n]|\\.)*"')
 _DEEPER = {"[": 1, "{": 1, "]": -1, "}": -1}
 
 
-def depth_after(line: str, depth: int) -> int:
-    """Brackets open after ``line``; a text ends in the line it begins in."""
-    return depth + sum(_DEEPER.get(t, 0) for t in _TOKEN.findall(line))
+def depth_after(lines: list[str], depth: int) -> int:
+    """Brackets open after ``lines``; a text ends in the line it begins in."""
+    marks = _TEXT.sub("", "\n".join(lines))
+    return depth + sum(deeper * marks.count(mark) for mark, deeper in _DEEPER.items())
 
 
 class _JsonCutting:
@@ -291,23 +314,24 @@ class _JsonCutting:
         self.depth, self.open, self.cut = depth, [], False
         self.outside = first
 
-    def feed(self, line: str):
-        begin = 0
-        for token in _TOKEN.finditer(line):
-            mark = token[0]
-            if self.depth == 0:
-                if mark != "[" or not self.outside or line[begin : token.start()].strip():
-                    raise ValueError(f"not an array of JSON records: {line[:80]!r}")
-                self.outside, self.depth, self.cut, begin = False, 1, True, token.end()
-                continue
-            self.depth += _DEEPER.get(mark, 0)
-            if self.depth == 0 or self.depth == 1 and mark == ",":
-                self.open.append(line[begin : token.start()])
-                yield self._piece(HEAD)
-                begin = token.end()
-        if self.depth == 0 and line[begin:].strip():
-            raise ValueError(f"not an array of JSON records: {line[:80]!r}")
-        self.open.append(line[begin:])
+    def feed(self, lines: list[str]):
+        for line in lines:
+            begin = 0
+            for token in _TOKEN.finditer(line):
+                mark = token[0]
+                if self.depth == 0:
+                    if mark != "[" or not self.outside or line[begin : token.start()].strip():
+                        raise ValueError(f"not an array of JSON records: {line[:80]!r}")
+                    self.outside, self.depth, self.cut, begin = False, 1, True, token.end()
+                    continue
+                self.depth += _DEEPER.get(mark, 0)
+                if self.depth == 0 or self.depth == 1 and mark == ",":
+                    self.open.append(line[begin : token.start()])
+                    yield self._piece(HEAD)
+                    begin = token.end()
+            if self.depth == 0 and line[begin:].strip():
+                raise ValueError(f"not an array of JSON records: {line[:80]!r}")
+            self.open.append(line[begin:])
 
     def _piece(self, part: int):
         text, self.open = "\n".join(self.open), []

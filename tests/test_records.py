@@ -7,11 +7,13 @@ import json
 import random
 
 import pytest
+from pyspark.serializers import CloudPickleSerializer
 
 from jobtide.plans import silver
 from jobtide.sources import readers, records
 from jobtide.sources.store import TableStore
 from jobtide.streaming import ingest
+from workload import registry
 
 
 @contextlib.contextmanager
@@ -137,3 +139,28 @@ def test_quoting_rules():
     after = records.quoted_after
     assert [after(x, 0) for x in ("a", 'a"b', '"a', '"a""', '"a"', 'x,"', 'x,"",y', 'x, "', '""', '"""')] == [0, 0, 1, 1, 0, 1, 0, 0, 0, 1]
     assert [after(x, 1) for x in ("a", 'a"', 'a""', 'a"""', '",', '","', '"x",y')] == [1, 0, 1, 0, 0, 1, 0]
+
+
+def test_states_of_parts_do_not_travel_with_every_task(spark):
+    found = spark.sparkContext.broadcast(({(f"file:/in/part-{i:05d}.csv", 0): 1 for i in range(20_000)}, set()))
+    assert len(CloudPickleSerializer().dumps(records._cut(records.CSV, found, True))) < 20_000
+
+
+def test_arrays_are_written_many_records_to_a_file(spark, tmp_path):
+    rows = [(i % 5000, i % 7) for i in range(6000)] + [(None, 1), (None, 1), (3, None)]
+    df = spark.createDataFrame(rows, "job_id bigint, industry_id bigint").repartition(3)
+    registry.write_arrays(df, "job_id", f"{tmp_path}/in", per_file=2500)
+    files = list(tmp_path.glob("in/*/part-*"))
+    assert len(files) == 3  # two of 2500 jobs each, one without a job
+    texts = [f.read_text() for f in files]
+    got = [(e.get("job_id"), e.get("industry_id")) for t in texts for e in json.loads(t)]
+    assert sorted(got, key=str) == sorted(rows, key=str) and all("\n" in t for t in texts)
+
+
+def test_parts_grow_with_the_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x" * 64_000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for least, size in ((1000, 4000), (5000, 5000)):
+        with registry._small_parts(spark, str(tmp_path), least, 16):
+            assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(size)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before

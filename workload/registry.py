@@ -11,7 +11,7 @@ from collections.abc import Callable
 from contextlib import contextmanager
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +22,7 @@ from jobtide.operators.flatten import explode_elements, variant_field
 from jobtide.operators.joins import heavy_keys
 from jobtide.plans import gold, panels, reports, silver
 from jobtide.sources import readers
+from jobtide.sources.records import largest_file
 from jobtide.sources.store import TableStore, files, scratch_path
 from jobtide.streaming import ingest
 from workload import relations as r
@@ -438,6 +439,22 @@ def write_csv(df: DataFrame, folder: str) -> None:
     )
 
 
+def write_arrays(df: DataFrame, key: str, folder: str, per_file: int = 1 << 17) -> None:
+    """Files of one JSON array each over several lines, ``per_file`` values of ``key`` to a file.
+
+    An element is a row until it is written, so no array must fit one value.
+    """
+    file = Window.partitionBy("document").orderBy(*df.columns)
+    rows = df.withColumn("document", F.floor(F.col(key) / per_file))
+    rows = rows.withColumn("nth", F.row_number().over(file))
+    element = F.regexp_replace(F.to_json(F.struct(*df.columns)), ",", ",\n  ")
+    begin = F.when(F.col("nth") == 1, "[").otherwise("  ")
+    end = F.when(F.lead(F.lit(1)).over(file).isNull(), "]").otherwise(",")
+    line = F.concat(begin, element, end).alias("line")
+    lines = rows.select("document", "nth", line).sortWithinPartitions("document", "nth")
+    lines.drop("nth").write.partitionBy("document").text(folder)
+
+
 @query
 def csv_bronze_roundtrip(spark, sf_dir):
     folder = scratch_path(spark, "postings-csv")
@@ -470,10 +487,12 @@ def json_records_bronze(spark, sf_dir):
 
 
 @contextmanager
-def _small_parts(spark, size=1 << 18):
-    """Files are read in parts of ``size`` bytes meanwhile, as very large ones are in Spark's."""
+def _small_parts(spark, folder, least=1 << 18, parts=16):
+    """Files are read in parts meanwhile, as very large ones are in Spark's: the largest of ``folder``
+    in ``parts``, of ``least`` bytes at least. So tasks grow with the files, not with their bytes."""
     keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
     before = {key: spark.conf.get(key) for key in keys}
+    size = max(least, largest_file(spark, folder) // parts)
     for key in keys:
         spark.conf.set(key, str(size))
     try:
@@ -489,7 +508,7 @@ def csv_multiline_split(spark, sf_dir):
     store, base = _store(spark, "postings-split")
     postings = r.job_postings(spark, sf_dir).withColumn("description", F.expr(r.LONG_DESCRIPTION))
     write_csv(postings.select(*schemas.JOB_POSTINGS), f"{base}/job_postings")
-    with _small_parts(spark):
+    with _small_parts(spark, f"{base}/job_postings"):
         ingest.load_table(store, base, "job_postings")
     return store.read("bronze", "job_postings")
 
@@ -498,10 +517,8 @@ def csv_multiline_split(spark, sf_dir):
 def json_array_split(spark, sf_dir):
     """Arrays of industries over several lines, cut at their elements over many tasks."""
     store, base = _store(spark, "industries-array")
-    packed = r.packed_documents(r.job_industries(spark, sf_dir), "job_id")
-    lines = F.regexp_replace("json", ",", ",\n  ").alias("json")
-    packed.select("document", lines).write.partitionBy("document").text(f"{base}/job_industries")
-    with _small_parts(spark, 1 << 16):
+    write_arrays(r.job_industries(spark, sf_dir), "job_id", f"{base}/job_industries")
+    with _small_parts(spark, f"{base}/job_industries", 1 << 16):
         ingest.load_table(store, base, "job_industries", json_layout="array")
     return silver.job_industries(store.read("bronze", "job_industries"))
 
