@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,9 +65,17 @@ def job_postings(
     on_bad_id: str = "fail",
     on_bad_epoch: str = "fail",
     key: Sequence[str | Column] = ("job_id",),
+    form: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """One clean row per job. Rows are dropped first, so that only kept ones are cleaned."""
+    """One clean row per job. Rows are dropped first, so that only kept ones are cleaned.
+
+    Where the declared columns are made of fewer or narrower ones, ``bronze`` may hold those, with
+    what rows are dropped by, and ``form`` makes the declared columns of kept rows: rows that are
+    dropped, and those that are moved and sorted to find them, are then never made in full.
+    """
     kept = latest_postings(bronze, tie_break, undated, key)
+    if form is not None:
+        kept = form(kept)
     return kept.select(
         *[
             clean_posting_column(c, on_bad_id, on_bad_epoch).alias(c)

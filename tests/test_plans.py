@@ -1,8 +1,11 @@
 """Shapes of physical plans that must hold at any size."""
 
+import re
+
 import pytest
 
 from workload import registry
+from workload import relations as r
 
 QUERIES = registry.QUERIES
 WRITING = {
@@ -50,3 +53,17 @@ def test_scan_reads_only_the_columns_a_report_needs(spark, tmp_path, sf_dir):
     plan = plan_of(reports.top_industries(spark.read.parquet(path)))
     assert "ReadSchema: struct<industry_id:bigint>" in plan and "IsNotNull(industry_id)" in plan
     assert "TakeOrderedAndProject" in plan
+
+
+def test_postings_move_as_what_they_are_made_of(spark, sf_dir):
+    """The step that drops rows carries no text that is made of other columns."""
+    plan = QUERIES["silver_job_postings"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    below = plan.split("Window [")[1]
+    assert " AS job_id" in below and not re.search(r" AS (company_name|pay_period|work_type|expiry|title)#", below)
+
+
+def test_posting_lines_are_the_postings(spark, sf_dir):
+    made = r.as_postings(r.posting_lines(spark, sf_dir))
+    postings = r.job_postings(spark, sf_dir)
+    assert made.columns == postings.columns
+    assert made.exceptAll(postings).isEmpty() and postings.exceptAll(made).isEmpty()

@@ -222,7 +222,8 @@ def flatten_companies(spark, sf_dir):
 
 @query
 def silver_job_postings(spark, sf_dir):
-    return silver.job_postings(r.job_postings(spark, sf_dir), r.POSTING_ARRIVAL)
+    lines = r.posting_lines(spark, sf_dir)
+    return silver.job_postings(lines, r.POSTING_ARRIVAL, form=r.as_postings)
 
 
 @query
@@ -265,9 +266,8 @@ def silver_company_specialities(spark, sf_dir):
 
 @query
 def gold_job_postings(spark, sf_dir):
-    return gold.job_postings(
-        silver.job_postings(r.job_postings(spark, sf_dir), r.POSTING_ARRIVAL)
-    )
+    lines = r.posting_lines(spark, sf_dir)
+    return gold.job_postings(silver.job_postings(lines, r.POSTING_ARRIVAL, form=r.as_postings))
 
 
 @query

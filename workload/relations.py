@@ -101,6 +101,29 @@ def job_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: What postings are made of.
+POSTING_SOURCE = (
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate",
+    "l_linestatus", "p_name", "p_type", "p_brand",
+)
+#: The same values under the names that tell which of two equal postings came first.
+_ARRIVAL_OF = {value: name for name, value in POSTING.items() if name in POSTING_ARRIVAL}
+
+
+def posting_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per row of ``job_postings``: what it is made of, and what postings are dropped by."""
+    return _lines_with_part(spark, sf_dir).selectExpr(
+        *[f"{c} AS {_ARRIVAL_OF.get(c, c)}" for c in POSTING_SOURCE],
+        *[f"{POSTING[c]} AS {c}" for c in ("job_id", "listed_time")],
+    )
+
+
+def as_postings(lines: DataFrame) -> DataFrame:
+    """Rows of ``posting_lines`` as rows of ``job_postings``."""
+    source = lines.selectExpr(*[f"{_ARRIVAL_OF.get(c, c)} AS {c}" for c in POSTING_SOURCE])
+    return source.selectExpr(*[f"{value} AS {name}" for name, value in POSTING.items()])
+
+
 def posting_companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only the company column of ``job_postings``: a narrow scan, without the join."""
     return table(spark, sf_dir, "lineitem").selectExpr(f"{COMPANY_REFERENCE} AS company_name")
