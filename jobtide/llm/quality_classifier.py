@@ -26,6 +26,7 @@ NEAR = AGAIN + 1
 BUCKETS = NEAR + 1
 CLOSE_BY = 6
 #: Zero vectors that every document has besides its own, which keeps tiny texts near the bias.
+TOGETHER = 32
 ZEROS = 20
 DIM = 8
 EPOCHS = 6
@@ -83,7 +84,17 @@ def _word_buckets(piece: Piece) -> tuple[np.ndarray, np.ndarray]:
 
 
 def features(values: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(buckets, weights that add up to n / (n + ZEROS)) of each text of n n-grams and words."""
+    """(buckets, weights that add up to n / (n + ZEROS)) of each text of n n-grams and words.
+
+    A few texts at a time, as their n-grams take many times a text's bytes until they are counted.
+    """
+    found = []
+    for at in range(0, len(values), TOGETHER):
+        found += _features(values.slice(at, TOGETHER))
+    return found
+
+
+def _features(values: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
     parts: list[list[np.ndarray]] = [[] for _ in range(len(values))]
     for piece in pieces(values):
         for rows, buckets in (*_grams(piece), _word_buckets(piece)):

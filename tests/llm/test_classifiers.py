@@ -267,3 +267,21 @@ def test_one_document_language_leaves_the_others_their_dictionaries(spark, small
     for cut in (60, None):
         assert right(after, cut) > right(before, cut) - 0.01
     assert after.identify("kwelu zuqo vexi mirra pajo bexo taloon kwelu")[0] == "zz"
+
+
+def test_features_of_many_texts_need_no_more_memory_than_those_of_few():
+    import tracemalloc
+
+    rng = random.Random(1)
+    words = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(50)]
+    texts = pa.array([" ".join(rng.choices(words, k=2_000)) for _ in range(400)])
+    tracemalloc.start()
+    try:
+        found = quality_classifier.features(texts)
+        now, peak = tracemalloc.get_traced_memory()
+    finally:
+        tracemalloc.stop()
+    assert len(found) == 400 and peak - now < 80 << 20
+    for at in (0, 31, 32, 399):
+        alone = quality_classifier.features(texts.slice(at, 1))[0]
+        assert all((a == b).all() for a, b in zip(found[at], alone, strict=True))
