@@ -3,9 +3,10 @@
 Large files are read by many tasks, whatever their form: CSV with one record per line, CSV with line
 breaks inside quoted fields (``multiline``, the default of postings alone, whose descriptions have
 them), JSON with one object or one whole array per line, and a JSON array over any lines (``array``).
-Where records span lines, files too large for one task are cut by ``records``; smaller ones, and the
-JSON layouts ``records`` and ``document``, are read by Spark directly, a file per task. A file in
-another form than declared fails the load; it is never read wrongly.
+Where records may span lines, files too large for one task are cut by ``records`` if they do, which
+one pass over their lines tells, and by Spark itself if each is a line; smaller ones, and the JSON
+layouts ``records`` and ``document``, are read by Spark directly, a file per task. A file in another
+form than declared fails the load; it is never read wrongly.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobtide.schemas import CSV_TABLES, DOCUMENT, JSON_TABLES, text_schema
-from jobtide.sources.records import csv_records, json_elements, lines_of, worth_splitting
+from jobtide.sources.records import csv_records, files_to_cut, json_elements, lines_of, worth_splitting
 
 #: Inputs whose fields may hold line breaks.
 WITH_LINE_BREAKS = ("job_postings",)
@@ -59,10 +60,20 @@ def cut_by_records(spark: SparkSession, path: str | list[str], table: str, optio
 def read_csv(spark: SparkSession, path: str | list[str], table: str, **options) -> DataFrame:
     """Rows of one of the CSV inputs, every column text. ``options`` as in ``csv_options``, and
     ``split`` as in ``cut_by_records``; ``multiline`` is on for ``WITH_LINE_BREAKS`` unless given."""
-    if cut_by_records(spark, path, table, options):
-        return parsed_csv(lines_of(spark.read, path), table, **options)
     schema = text_schema(CSV_TABLES[table])
-    return spark.read.schema(schema).options(**csv_options(**options)).csv(path)
+    reader = spark.read.schema(schema)
+    if not cut_by_records(spark, path, table, options):
+        return reader.options(**csv_options(**options)).csv(path)
+    lines = lines_of(spark.read, path)
+    # Every field is read whichever columns are asked for, so that no malformed record passes.
+    by_line = csv_options(**options | {"multiline": False}) | {"columnPruning": "false"}
+    rows = reader.options(**by_line).csv(path)
+    to_cut = files_to_cut(lines)
+    if not to_cut:
+        return rows.select(*schema.names)
+    # Files are told apart as they are listed, so none is opened by both.
+    cut = parsed_csv(lines.where(F.col("file").isin(to_cut)), table, **options)
+    return rows.where(~F.col("_metadata.file_path").isin(to_cut)).select(*schema.names).unionByName(cut)
 
 
 def parsed_csv(lines: DataFrame, table: str, **options) -> DataFrame:

@@ -18,7 +18,7 @@ from typing import NamedTuple
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from jobtide.sources.store import files, scratch_path
@@ -189,6 +189,9 @@ def _records(
 # --- CSV ---
 
 
+_QUOTED = r'(^|,)"[^"]*+(?:""[^"]*+)*+"'
+
+
 def quoted_after(line: str, quoted: int) -> int:
     """Whether a field is still open after ``line``, by the rules of quoting: a quote opens at the
     start of a field only, and two quotes are one inside."""
@@ -218,6 +221,25 @@ def quoted_after_all(lines: list[str], quoted: int) -> int:
     return quoted
 
 
+def left_open(line: Column) -> Column:
+    """``quoted_after(line, 0)`` as Spark computes it."""
+    # Quotes in pairs never change the state, and of the others the last decides, if it may open.
+    single = F.replace(line, F.lit('""'), F.lit(""))
+    ends = F.concat(F.lit('"'), F.substring_index(single, '"', -1))
+    may_open = (single == ends) | single.endswith(F.concat(F.lit(","), ends))
+    return F.contains(single, F.lit('"')) & may_open & F.regexp_replace(line, _QUOTED, "").rlike('^"|,"')
+
+
+def files_to_cut(lines: DataFrame) -> list[str]:
+    """CSV files that may have a record over several lines, or lines ended by ``\\r\\n``; told from
+    every line. In the others no line leaves a field open, so each record is a line and any reader
+    may cut them at lines.
+    """
+    several = left_open(F.col("value")) | F.contains("value", F.lit("\r"))
+    found = lines.where(several).select("file").distinct()
+    return [r.file for r in found.collect()]  # files, as Spark lists them
+
+
 class _CsvCutting:
     """Lines to records; a record ends with a line after which no field is open."""
 

@@ -141,6 +141,44 @@ def test_quoting_rules():
     assert [after(x, 1) for x in ("a", 'a"', 'a""', 'a"""', '",', '","', '"x",y')] == [1, 0, 1, 0, 0, 1, 0]
 
 
+def test_spark_tells_lines_that_leave_a_field_open(spark):
+    rng = random.Random(5)
+    lines = ["".join(rng.choice(['"', '"', '""', ",", "a", " ", "\u2028"]) for _ in range(rng.randint(0, 14))) for _ in range(4000)]
+    rows = spark.createDataFrame([(x,) for x in lines], "value string")
+    got = rows.select("value", records.left_open(rows.value).alias("left_open")).collect()
+    assert [r.left_open for r in got] == [bool(records.quoted_after(r.value, 0)) for r in got]
+    assert len({r.left_open for r in got}) == 2
+
+
+def test_files_of_a_record_a_line_are_left_to_spark(spark, tmp_path):
+    # One file has records over lines and one other line ends: those two are cut, under odd names.
+    plain = "job_id,inferred,type\n\n" + "".join(f'{i},"a, ""{i}""",\n' for i in range(400))
+    for name in ("a.csv", "b [1] %20ü.csv", "empty.csv"):
+        (tmp_path / name).write_text(plain if name != "empty.csv" else "")
+
+    def read():
+        rows = readers.read_csv(spark, str(tmp_path), "benefits", multiline=True)  # large: split unasked
+        return rows, rows._jdf.queryExecution().executedPlan().toString()
+
+    with parts_of(spark, 1000):
+        rows, plan = read()
+        assert "MapInArrow" not in plan and rows.rdd.getNumPartitions() > 6
+        assert sorted(map(tuple, rows.collect())) == sorted((str(i), f'a, "{i}"', None) for i in range(400) for _ in "ab")
+        (tmp_path / "c [1] %20ü.csv").write_text(plain + 'x,"two\n2,""lines""",y\n')
+        (tmp_path / "d.csv").write_bytes(b'job_id,inferred,type\r\n1,"2",3\r\n')
+        rows, plan = read()
+        assert "MapInArrow" in plan
+        got = sorted(map(tuple, rows.collect()), key=repr)
+    whole = readers.read_csv(spark, str(tmp_path), "benefits", multiline=True, split=False)
+    assert got == sorted(map(tuple, whole.collect()), key=repr) and len(got) == 3 * 400 + 2
+
+
+def test_no_malformed_record_passes_a_narrow_read(spark, tmp_path):
+    (tmp_path / "b.csv").write_text("job_id,inferred,type\n0,0,0\n1,2\n5,5,5\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.read_csv(spark, str(tmp_path), "benefits", multiline=True, split=True).select("job_id").collect()
+
+
 def test_states_of_parts_do_not_travel_with_every_task(spark):
     found = spark.sparkContext.broadcast(({(f"file:/in/part-{i:05d}.csv", 0): 1 for i in range(20_000)}, set()))
     assert len(CloudPickleSerializer().dumps(records._cut(records.CSV, found, True))) < 20_000
